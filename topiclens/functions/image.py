@@ -21,11 +21,11 @@ def _c(c) -> Column:
 
 
 def image_bytes_to_array(data) -> Column:
-    """``BINARY`` image bytes (unsigned) to ``ARRAY<INT>``."""
-    hexed = F.hex(_c(data))
-    n = F.length(hexed) / 2
-    return F.transform(F.sequence(F.lit(0), (n - 1).cast("int")),
-                       lambda i: F.conv(F.substring(hexed, i * 2 + 1, 2), 16, 10).cast("int"))
+    """``BINARY`` image bytes (unsigned) to ``ARRAY<INT>``: the hex string is split in
+    two-character pieces by one regex, then each piece is converted (no per-element
+    re-evaluation of the whole string)."""
+    pieces = F.regexp_extract_all(F.hex(_c(data)), F.lit("[0-9A-F]{2}"), 0)
+    return F.transform(pieces, lambda h: F.conv(h, 16, 10).cast("int"))
 
 
 def to_gray(pixels, order: str = "BGR") -> Column:

@@ -79,14 +79,15 @@ def correct_repeated(docs: DataFrame, vocabulary: DataFrame, lexicon: DataFrame
     joined = docs.join(per_doc, id_col, "left")
     txt = F.col(text_col)
     if whole_word:
-        mapping = F.map_from_arrays(F.col("_fix.word"), F.col("_fix.correction"))
+        # the map is its own column: a lambda re-evaluates any expression it references
+        joined = joined.withColumn("_map", F.map_from_arrays(F.col("_fix.word"), F.col("_fix.correction")))
         pieces = TX.word_pieces(txt)
-        fixed = F.array_join(F.transform(pieces, lambda p: F.coalesce(F.element_at(mapping, p), p)), "")
+        fixed = F.array_join(F.transform(pieces, lambda p: F.coalesce(F.element_at(F.col("_map"), p), p)), "")
         new = F.when(F.col("_fix").isNull(), txt).otherwise(fixed)
     else:
         new = F.when(F.col("_fix").isNull(), txt).otherwise(
             F.aggregate(F.col("_fix"), txt, lambda acc, e: F.regexp_replace(acc, e["word"], e["correction"])))
-    return joined.withColumn(text_col, new).drop("_fix")
+    return joined.withColumn(text_col, new).drop("_fix", "_map")
 
 
 # ---------------------------------------------------------------------------

@@ -227,7 +227,8 @@ def covariance_long(long_df: DataFrame, dims: int) -> DataFrame:
     centred = long_df.join(st, "dim").select("id", "dim", "n", (F.col("value") - F.col("mean")).alias("x"))
     rows = centred.groupBy("id").agg(
         F.array_sort(F.collect_list(F.struct("dim", "x"))).alias("_v"), F.first("n").alias("n"))
-    x = F.col("_v.x")
+    rows = rows.select(F.col("_v.x").alias("_x"), "n")
+    x = F.col("_x")
     upper = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.transform(
         F.sequence(i, F.lit(dims - 1)), lambda j: F.element_at(x, i + 1) * F.element_at(x, j + 1))))
     agg = rows.select(array_to_vector(upper).alias("op"), "n").agg(

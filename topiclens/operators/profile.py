@@ -94,12 +94,12 @@ def suggest_types(df: DataFrame) -> DataFrame:
             signed_np = F.lit("int64")
             signed_sp = F.lit("BIGINT")
             for sp, np_, lo, hi in reversed(SIGNED_RANGES):
-                ok = (mn >= lo) & (mx <= hi)
+                ok = (mn >= F.lit(float(lo))) & (mx <= F.lit(float(hi)))
                 signed_np = F.when(ok, np_).otherwise(signed_np)
                 signed_sp = F.when(ok, sp).otherwise(signed_sp)
             unsigned_np = F.lit("uint64")
             for np_, hi in reversed(UNSIGNED_RANGES):
-                unsigned_np = F.when(mx <= hi, np_).otherwise(unsigned_np)
+                unsigned_np = F.when(mx <= F.lit(float(hi)), np_).otherwise(unsigned_np)
             int_np = F.when(mn >= 0, unsigned_np).otherwise(signed_np)
             keep = F.lit(_numpy_name(f.dataType))
             is_float_col = isinstance(f.dataType, _FLOAT_TYPES)

@@ -177,10 +177,10 @@ def u_mass(doc_terms: DataFrame, top: DataFrame, n_docs: int | DataFrame, eps: f
     # k*T rows: bounded by the number of topics times the top-term count
     present = doc_terms.select("doc_id", "term").distinct().join(F.broadcast(top), "term")
     masks = (present.groupBy("doc_id", "topic")
-             .agg(F.bit_or(F.shiftleft(F.lit(1).cast("long"), F.col("rank") - 1)).alias("mask"))
+             .agg(F.bit_or(F.pow(F.lit(2), F.col("rank") - 1).cast("long")).alias("mask"))
              .groupBy("topic", "mask").agg(F.count(F.lit(1)).alias("docs")))
     ranks = F.sequence(F.lit(1), F.lit(t_max))
-    bit = lambda r: F.shiftleft(F.lit(1).cast("long"), r - 1)
+    bit = lambda r: F.pow(F.lit(2), r - 1).cast("long")  # noqa: E731  (exact up to 2^62)
     has = lambda r: (F.col("mask").bitwiseAND(bit(r))) != 0
     singles = masks.select("topic", "docs", F.explode(F.filter(ranks, has)).alias("rank_j"))
     occ = singles.groupBy("topic", "rank_j").agg(F.sum("docs").alias("d_w"))

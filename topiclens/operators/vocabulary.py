@@ -2,9 +2,8 @@
 
 Plan shape (no collect, at most one shuffle per step):
 
-* ``term_counts``: tokens are counted *inside each document row* (sort + run-length with
-  array functions), then exploded to ``(doc_id, term, tf)``.  No shuffle: a document is one
-  row, so its counts never leave its partition.
+* ``term_counts``: explode + ``groupBy(doc_id, term)``; the partial aggregate runs before
+  the shuffle, so only one row per distinct (document, term) is shuffled.
 * ``build_vocabulary``: ``groupBy(term)`` with map-side partial aggregation; a hot term
   ("the" in every document) is combined before the shuffle.
 * ``filter_extremes`` keeps at most ``keep_n`` terms (distributed top-k), so the vocabulary
@@ -27,25 +26,6 @@ from .indexing import with_global_index
 BROADCAST_VOCAB_MAX_TERMS = 2_000_000
 
 
-def term_count_array(tokens: Column | str) -> Column:
-    """Per-row ``array<struct<term, tf>>`` of distinct tokens with their counts (sorted by term)."""
-    toks = F.col(tokens) if isinstance(tokens, str) else tokens
-    s = F.array_sort(toks)
-    n = F.size(s)
-    starts = F.filter(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-        lambda i: (i == 1) | (F.element_at(s, i) != F.element_at(s, i - 1)),
-    )
-    counts = F.transform(
-        starts,
-        lambda st, k: F.struct(
-            F.element_at(s, st).alias("term"),
-            (F.coalesce(F.try_element_at(starts, k + 2), n + 1) - st).cast("long").alias("tf"),
-        ),
-    )
-    return F.when(n > 0, counts).otherwise(F.array().cast("array<struct<term:string,tf:bigint>>"))
-
-
 def tokenize_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                        pattern: str = T.DEFAULT_TOKEN_PATTERN, lower: bool = True) -> DataFrame:
     """``(doc_id, tokens)``: T1 (lower/strip) then T7 (regex tokens)."""
@@ -68,10 +48,14 @@ def collect_tokens(long_df: DataFrame, term_col: str = "term") -> DataFrame:
 
 
 def term_counts(tokens_df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
-    """``(doc_id, term, tf)`` for every distinct token of every document, without a shuffle."""
-    return tokens_df.select(
-        "doc_id", F.explode(term_count_array(tokens_col)).alias("_tc")
-    ).select("doc_id", "_tc.term", "_tc.tf")
+    """``(doc_id, term, tf)`` for every distinct token of every document.
+
+    explode + ``groupBy(doc_id, term)``: a document is one row, so the map-side partial
+    aggregate already holds its complete counts and the shuffle moves one row per
+    distinct (document, term), never one per token.
+    """
+    return (tokens_df.select("doc_id", F.explode(tokens_col).alias("term"))
+            .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
 def build_vocabulary(counts: DataFrame) -> DataFrame:

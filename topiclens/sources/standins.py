@@ -95,8 +95,8 @@ def fixed_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gray_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """8 x 8 gray images: pixel ``i`` = ``floor(255 * (e_i - min) / (max - min))``."""
-    e = embeddings_double(spark, sf_dir)
-    mn, mx = F.array_min("vec"), F.array_max("vec")
+    e = embeddings_double(spark, sf_dir).withColumn("_mn", F.array_min("vec")).withColumn("_mx", F.array_max("vec"))
+    mn, mx = F.col("_mn"), F.col("_mx")
     px = F.transform("vec", lambda v: F.floor(F.lit(255.0) * (v - mn) / (mx - mn)).cast("int"))
     return e.select(F.col("vec_id").alias("image_id"), F.lit(PATCH).alias("height"),
                     F.lit(PATCH).alias("width"), F.lit(1).alias("n_channels"), px.alias("pixels"))
