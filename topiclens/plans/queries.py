@@ -22,7 +22,7 @@ from ..operators import images as IO
 from ..operators import sampling as SA
 from ..operators import topics as TP
 from ..operators import vocabulary as VO
-from ..session import scratch_path
+from ..session import local_path, scratch_path
 from ..sources import readers as RD
 from ..sources import standins as SI
 
@@ -564,7 +564,8 @@ def write_patch_pngs(spark, d) -> str:
     """Write every gray patch as a PNG file (plus one corrupt file) under the shared folder.
 
     Files are written by the executors (``foreachPartition``), one per image."""
-    out = scratch_path(spark, "patch_png")
+    uri = scratch_path(spark, "patch_png")
+    out = local_path(uri)
     os.makedirs(out, exist_ok=True)
     with open(os.path.join(out, "corrupt.png"), "wb") as fh:
         fh.write(b"\x89PNG\r\n\x1a\nnot an image")
@@ -577,7 +578,7 @@ def write_patch_pngs(spark, d) -> str:
                 fh.write(_png_bytes(8, 8, rows8))
 
     SI.gray_patches(spark, d).select("image_id", "pixels").foreachPartition(write)
-    return out
+    return uri
 
 
 def load_images(spark, d):

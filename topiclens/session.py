@@ -55,3 +55,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def local_path(uri: str) -> str:
+    """A ``file:`` URI as a plain path for Python file writes (other schemes are refused)."""
+    if uri.startswith("file:"):
+        path = uri[len("file:"):]
+        while path.startswith("//"):
+            path = path[1:]
+        return path
+    if "://" in uri:
+        raise ValueError(f"{uri}: Python file writes need a locally mounted shared folder")
+    return uri
