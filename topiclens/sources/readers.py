@@ -29,9 +29,22 @@ PHOTO_SCHEMA = T.StructType([
 ])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over the cluster's cores when it has fewer splits than cores.
+
+    A big input already has many splits (files, row groups) and is returned as is, so the
+    extra shuffle only happens for small single-file inputs, where one task would otherwise
+    run all the per-row regex work.  The check reads only file metadata (no job).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the parquet tables of a test-data folder."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the parquet tables of a test-data folder, spread over the cores if needed."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def json_scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
