@@ -79,8 +79,10 @@ def _c(c) -> Column:
 
 
 def lower_strip(c) -> Column:
-    """Lower case, then strip leading/trailing (Unicode) whitespace."""
-    return F.regexp_replace(F.lower(_c(c)), STRIP_PATTERN, "")
+    """Lower case, then strip leading/trailing (Unicode) whitespace.
+
+    ``btrim`` with an explicit character set: no regex, only the two ends are looked at."""
+    return F.btrim(F.lower(_c(c)), F.lit(PY_WHITESPACE))
 
 
 def remove_url(c) -> Column:

@@ -158,11 +158,12 @@ MAX_TOP_TERMS = 62  # ranks are bits of one BIGINT mask
 
 
 def u_mass(doc_terms: DataFrame, top: DataFrame, n_docs: int | DataFrame, eps: float = 1e-12,
-           smoothing: str = "eps") -> DataFrame:
+           smoothing: str = "eps", n_top: int | None = None) -> DataFrame:
     """``(topic, coherence)`` by u_mass over each topic's ranked top terms.
 
     ``doc_terms(doc_id, term)``: the terms present in each document.
-    ``top(topic, term, rank)``: the ranked top terms (rank 1 = highest weight, at most 62).
+    ``top(topic, term, rank)``: the ranked top terms (rank 1 = highest weight, at most 62;
+    ``n_top`` = the largest rank, when known).
     For pairs with rank_i > rank_j: ln((D(wi,wj)/N + eps) / (D(wj)/N)) (``smoothing="eps"``)
     or ln((D(wi,wj) + 1) / D(wj)) (``"plus_one"``, Mimno et al. 2011).  Mean over pairs.
 
@@ -171,7 +172,8 @@ def u_mass(doc_terms: DataFrame, top: DataFrame, n_docs: int | DataFrame, eps: f
     counts come from the distinct masks only.  No self-join of documents.
     """
     top = top.select("topic", "term", "rank")
-    t_max = top.agg(F.max("rank")).first()[0] or 0
+    # the caller usually knows how many top terms it kept; otherwise read it (a small job)
+    t_max = n_top if n_top is not None else (top.agg(F.max("rank")).first()[0] or 0)
     if t_max > MAX_TOP_TERMS:
         raise ValueError(f"at most {MAX_TOP_TERMS} top terms per topic")
     # k*T rows: bounded by the number of topics times the top-term count

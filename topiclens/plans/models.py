@@ -122,7 +122,7 @@ def topic_report(model, terms: list[str], doc_terms: DataFrame, n_docs: int, n:
                  coherence_terms: int = 20) -> DataFrame:
     """Per topic, its top ``n`` terms with weights and its u_mass coherence."""
     top = describe_topics(model, terms, max(n, coherence_terms))
-    coh = TP.u_mass(doc_terms, top.filter(F.col("rank") <= coherence_terms), n_docs)
+    coh = TP.u_mass(doc_terms, top.filter(F.col("rank") <= coherence_terms), n_docs, n_top=coherence_terms)
     words = (top.filter(F.col("rank") <= n).groupBy("topic")
              .agg(F.array_sort(F.collect_list(F.struct("rank", "term", "weight"))).alias("terms")))
     return words.join(coh, "topic").select("topic", F.col("terms.term").alias("terms"),
@@ -139,7 +139,7 @@ def coherence_sweep(vectors: DataFrame, terms: list[str], doc_terms: DataFrame,
     for k in ks:
         model = lda_fit(data, k, seed=seed, max_iter=max_iter)
         top = describe_topics(model, terms, top_n)
-        c = TP.mean_coherence(TP.u_mass(doc_terms, top, n_docs)).first()[0]
+        c = TP.mean_coherence(TP.u_mass(doc_terms, top, n_docs, n_top=top_n)).first()[0]
         rows.append((int(k), round(float(c), 2)))
     return spark.createDataFrame(rows, "num_topics int, coherence double")
 

@@ -314,7 +314,7 @@ def topic_distance(spark, d):
 def u_mass(spark, d):
     m = _proxy_model(spark, d)
     top = TP.top_terms(m["topic_term"], COHERENCE_TOP)
-    c = TP.u_mass(m["doc_terms"], top, m["n_docs"])
+    c = TP.u_mass(m["doc_terms"], top, m["n_docs"], n_top=COHERENCE_TOP)
     return c.select("topic", F.round("coherence", 6).alias("coherence"))
 
 
