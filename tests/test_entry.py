@@ -20,4 +20,4 @@ def test_every_query_runs_on_smallest_sf(spark):
         if name in skip:
             continue
         df = fn(spark, "/root/testdata/sf0.001")
-        df.limit(1).collect()
+        df.write.format("noop").mode("overwrite").save()

@@ -83,9 +83,11 @@ def lda_fit(vectors: DataFrame, k: int, seed: int = 16, max_iter: int = 50, feat
         data = data.repartition(num_partitions)
     data = checkpointed(data)
     n = data.count()
-    lda = LDA(k=k, seed=seed, maxIter=max_iter, optimizer=optimizer, featuresCol=features,
-              docConcentration=[1.0 / k], topicConcentration=1.0 / k,
-              subsamplingRate=min(1.0, 2000.0 / max(n, 1)) if optimizer == "online" else 0.05)
+    lda = LDA(k=k, seed=seed, maxIter=max_iter, optimizer=optimizer, featuresCol=features)
+    if optimizer == "online":
+        # symmetric 1/k priors; EM needs priors > 1 and keeps Spark's automatic choice
+        lda.setDocConcentration([1.0 / k]).setTopicConcentration(1.0 / k)
+        lda.setSubsamplingRate(min(1.0, 2000.0 / max(n, 1)))
     return lda.fit(data)
 
 
@@ -253,17 +255,18 @@ def visual_dictionary(descriptors: DataFrame, n_words="sqrt", seed: int = 16, n_
     return model
 
 
-def embed_images(images: DataFrame, make_predict_fn, dim: int, batch_size: int = 64,
+def embed_images(images: DataFrame, make_predict_fn, dim: int, in_dim: int, batch_size: int = 64,
                  pixels: str = "pixels") -> DataFrame:
     """M7: batch inference with a user-supplied model (``predict_batch_udf``).
 
-    ``make_predict_fn()`` returns ``fn(batch: np.ndarray[n, p]) -> np.ndarray[n, dim]``; it
+    ``make_predict_fn()`` returns ``fn(batch: np.ndarray[n, in_dim]) -> np.ndarray[n, dim]``; it
     is built once per Python worker and fed fixed-size Arrow batches.
     """
     from pyspark.ml.functions import predict_batch_udf
     from pyspark.sql.types import ArrayType, FloatType
 
-    udf = predict_batch_udf(make_predict_fn, return_type=ArrayType(FloatType()), batch_size=batch_size)
+    udf = predict_batch_udf(make_predict_fn, return_type=ArrayType(FloatType()), batch_size=batch_size,
+                            input_tensor_shapes=[[in_dim]])
     return images.withColumn("embedding", udf(F.col(pixels).cast("array<float>")))
 
 

@@ -22,7 +22,7 @@ from ..operators import images as IO
 from ..operators import sampling as SA
 from ..operators import topics as TP
 from ..operators import vocabulary as VO
-from ..session import local_path, scratch_path
+from ..session import local_path, materialize, scratch_path
 from ..sources import readers as RD
 from ..sources import standins as SI
 
@@ -193,10 +193,12 @@ def pos_filter(spark, d):
 
 
 def _corpus(spark, d, keep_n=KEEP_N):
+    """Tokens, per-document counts (computed once, checkpointed), N and the filtered
+    vocabulary (at most ``keep_n`` rows, checkpointed)."""
     toks = SI.tokens(spark, d)
-    counts = VO.term_counts(toks)
-    n_docs = toks.count()
-    vocab = VO.filter_extremes(VO.build_vocabulary(counts), n_docs, NO_BELOW, NO_ABOVE, keep_n)
+    counts = materialize(VO.term_counts(toks))
+    n_docs = SI.documents(spark, d).count()
+    vocab = materialize(VO.filter_extremes(VO.build_vocabulary(counts), n_docs, NO_BELOW, NO_ABOVE, keep_n))
     return toks, counts, n_docs, vocab
 
 
@@ -225,8 +227,8 @@ def tfidf(spark, d):
 
 def tfidf_top_terms(spark, d):
     """Flagship: top-10 TF-IDF terms per language."""
-    toks, vocab, w = _tfidf(spark, d)
-    langs = toks.select("doc_id", "lang")
+    _, vocab, w = _tfidf(spark, d)
+    langs = SI.documents(spark, d).select("doc_id", "lang")
     per = (w.join(langs, "doc_id").groupBy("lang", "term_id").agg(F.sum("weight").alias("score"))
            .join(F.broadcast(vocab.select("term_id", "term")), "term_id"))
     top = TP.top_terms(per.withColumn("score_r", F.round("score", 9)), TOP_TERMS, topic="lang", weight="score_r")
@@ -251,19 +253,25 @@ def sparse_to_wide(spark, d):
 
 
 def _proxy_model(spark, d):
+    """A topic model stand-in: topic = language, p(w|t) from term counts of known terms.
+
+    The per-document counts and their known-term subset are checkpointed once; every
+    diagnostic below reads them.  Topic totals are a k-row table (broadcast)."""
     toks = SI.tokens(spark, d)
-    counts = VO.term_counts(toks)
+    langs = SI.documents(spark, d).select("doc_id", F.col("lang").alias("topic"))
+    counts = materialize(VO.term_counts(toks))
     known = VO.build_vocabulary(counts).filter(F.col("df") >= 5).select("term")
-    kc = counts.join(known, "term").join(toks.select("doc_id", F.col("lang").alias("topic")), "doc_id")
+    kc = materialize(counts.join(known, "term").join(langs, "doc_id"))
     per = kc.groupBy("topic", "term").agg(F.sum("tf").alias("c"))
-    topic_term = per.select("topic", "term", F.round(
-        F.col("c") / F.sum("c").over(Window.partitionBy("topic")), 12).alias("p"))
-    doc_topic = toks.select("doc_id", F.col("lang").alias("topic"), F.lit(1.0).alias("p"))
+    totals = F.broadcast(per.groupBy("topic").agg(F.sum("c").alias("_total")))
+    topic_term = materialize(per.join(totals, "topic").select(
+        "topic", "term", F.round(F.col("c") / F.col("_total"), 12).alias("p")))
+    doc_topic = langs.select("doc_id", "topic", F.lit(1.0).alias("p"))
     doc_len = kc.groupBy("doc_id").agg(F.sum("tf").alias("n_tokens"))
     term_freq = TP.term_frequency(kc)
     doc_terms = kc.select("doc_id", "term")
     return dict(topic_term=topic_term, doc_topic=doc_topic, doc_len=doc_len, term_freq=term_freq,
-                doc_terms=doc_terms, n_docs=toks.count())
+                doc_terms=doc_terms, n_docs=SI.documents(spark, d).count())
 
 
 def term_frequency(spark, d):
@@ -547,7 +555,7 @@ def embed_images(spark, d):
     from . import models as MD
 
     g = SI.gray_patches(spark, d)
-    return MD.embed_images(g, MD.random_projection_model(64, 16), 16).select("image_id", "embedding")
+    return MD.embed_images(g, MD.random_projection_model(64, 16), 16, 64).select("image_id", "embedding")
 
 
 def _png_bytes(width: int, height: int, gray_rows: list[list[int]]) -> bytes:

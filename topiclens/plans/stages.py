@@ -45,6 +45,7 @@ class LowerStrip(_ColumnTransformer):
     @keyword_only
     def __init__(self, inputCol="text", outputCol="text"):
         super().__init__()
+        self._setDefault(inputCol="text", outputCol="text")
         self._set_kw(self._input_kwargs)
 
     def _col(self):
@@ -57,6 +58,7 @@ class UrlRemover(_ColumnTransformer):
     @keyword_only
     def __init__(self, inputCol="text", outputCol="text"):
         super().__init__()
+        self._setDefault(inputCol="text", outputCol="text")
         self._set_kw(self._input_kwargs)
 
     def _col(self):
@@ -69,6 +71,7 @@ class EscapeRemover(_ColumnTransformer):
     @keyword_only
     def __init__(self, inputCol="text", outputCol="text"):
         super().__init__()
+        self._setDefault(inputCol="text", outputCol="text")
         self._set_kw(self._input_kwargs)
 
     def _col(self):
@@ -83,7 +86,7 @@ class RegexTokens(_ColumnTransformer):
     @keyword_only
     def __init__(self, inputCol="text", outputCol="tokens", pattern=TX.DEFAULT_TOKEN_PATTERN):
         super().__init__()
-        self._setDefault(pattern=TX.DEFAULT_TOKEN_PATTERN)
+        self._setDefault(pattern=TX.DEFAULT_TOKEN_PATTERN, inputCol="text", outputCol="tokens")
         self._set_kw(self._input_kwargs)
 
     def _col(self):

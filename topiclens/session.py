@@ -67,3 +67,11 @@ def local_path(uri: str) -> str:
     if "://" in uri:
         raise ValueError(f"{uri}: Python file writes need a locally mounted shared folder")
     return uri
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and read it back (reliable
+    checkpoint): a table that several branches of a plan read is computed once, and its
+    lineage is cut so a lost executor recomputes nothing upstream."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
