@@ -21,3 +21,11 @@ def test_every_query_runs_on_smallest_sf(spark):
             continue
         df = fn(spark, "/root/testdata/sf0.001")
         df.write.format("noop").mode("overwrite").save()
+
+
+def test_review_semi_join_is_broadcast(spark):
+    df = E.queries()["semi_join_reviews"](spark, "/root/testdata/sf0.001")
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    assert "PushedFilters: [IsNotNull(l_partkey), In(l_linenumber" in plan or "In(l_linenumber" in plan

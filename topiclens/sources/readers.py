@@ -29,6 +29,9 @@ PHOTO_SCHEMA = T.StructType([
 ])
 
 
+SPREAD_MIN_BYTES = 4 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan over the cluster's cores when it has fewer splits than cores.
 
@@ -37,9 +40,11 @@ def spread(df: DataFrame) -> DataFrame:
     run all the per-row regex work.  The check reads only file metadata (no job).
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    # estimated from file sizes by the planner (no job); tiny tables are not worth a shuffle
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size >= SPREAD_MIN_BYTES else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
