@@ -2,8 +2,8 @@
 
 Plan shape (no collect, at most one shuffle per step):
 
-* ``term_counts``: explode + ``groupBy(doc_id, term)``; the partial aggregate runs before
-  the shuffle, so only one row per distinct (document, term) is shuffled.
+* ``term_counts``: counted inside each document row (sort + run lengths), then exploded to
+  ``(doc_id, term, tf)``: no shuffle, a document never leaves its partition.
 * ``build_vocabulary``: ``groupBy(term)`` with map-side partial aggregation; a hot term
   ("the" in every document) is combined before the shuffle.
 * ``filter_extremes`` keeps at most ``keep_n`` terms (distributed top-k), so the vocabulary
@@ -48,14 +48,28 @@ def collect_tokens(long_df: DataFrame, term_col: str = "term") -> DataFrame:
 
 
 def term_counts(tokens_df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
-    """``(doc_id, term, tf)`` for every distinct token of every document.
+    """``(doc_id, term, tf)`` for every distinct token of every document, with no shuffle.
 
-    explode + ``groupBy(doc_id, term)``: a document is one row, so the map-side partial
-    aggregate already holds its complete counts and the shuffle moves one row per
-    distinct (document, term), never one per token.
+    A document is one row, so its counts are computed inside the row: sort the tokens,
+    find where runs of equal tokens start, and emit one ``(term, run length)`` per run.
+    The sorted array and the run starts are separate projections (materialised columns):
+    a lambda that referenced the sorting expression itself would re-run it per element.
     """
-    return (tokens_df.select("doc_id", F.explode(tokens_col).alias("term"))
-            .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
+    s = tokens_df.select("doc_id", F.sort_array(tokens_col).alias("_s"))
+    s = s.select("doc_id", "_s", F.size("_s").alias("_n"), F.filter(
+        F.sequence(F.lit(1), F.greatest(F.size("_s"), F.lit(1))),
+        lambda i: (i == 1) | (F.element_at(F.col("_s"), i) != F.element_at(F.col("_s"), i - 1))).alias("_st"))
+    runs = F.transform(F.col("_st"), lambda st, k: F.struct(
+        F.element_at(F.col("_s"), st).alias("term"),
+        (F.coalesce(F.try_element_at(F.col("_st"), k + 2), F.col("_n") + 1) - st).cast("long").alias("tf")))
+    out = s.select("doc_id", F.explode(F.when(F.col("_n") > 0, runs)).alias("_c"))
+    return out.select("doc_id", F.col("_c.term").alias("term"), F.col("_c.tf").alias("tf"))
+
+
+def term_counts_grouped(long_tokens: DataFrame) -> DataFrame:
+    """``(doc_id, term, tf)`` from a long ``(doc_id, term)`` table (a document spread over
+    many rows): ``groupBy`` with a partial aggregate before the shuffle."""
+    return long_tokens.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def build_vocabulary(counts: DataFrame) -> DataFrame:

@@ -261,7 +261,7 @@ def _proxy_model(spark, d):
     langs = SI.documents(spark, d).select("doc_id", F.col("lang").alias("topic"))
     counts = materialize(VO.term_counts(toks))
     known = VO.build_vocabulary(counts).filter(F.col("df") >= 5).select("term")
-    kc = materialize(counts.join(known, "term").join(langs, "doc_id"))
+    kc = counts.join(known, "term").join(langs, "doc_id")
     per = kc.groupBy("topic", "term").agg(F.sum("tf").alias("c"))
     totals = F.broadcast(per.groupBy("topic").agg(F.sum("c").alias("_total")))
     topic_term = materialize(per.join(totals, "topic").select(

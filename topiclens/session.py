@@ -69,9 +69,11 @@ def local_path(uri: str) -> str:
     return uri
 
 
-def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and read it back (reliable
-    checkpoint): a table that several branches of a plan read is computed once, and its
-    lineage is cut so a lost executor recomputes nothing upstream."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    A table that several branches of a plan read is computed once (columnar, compressed),
+    and the lineage is cut there, so a lost executor recomputes nothing upstream."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
