@@ -63,7 +63,7 @@ def word_corrections(words: DataFrame, vocabulary: DataFrame, lexicon: DataFrame
 
 def correct_repeated(docs: DataFrame, vocabulary: DataFrame, lexicon: DataFrame | None = None,
                      text_col: str = "text", id_col: str = "doc_id", n: int = 3,
-                     whole_word: bool = True) -> DataFrame:
+                     whole_word: bool = True, materialize_found: bool = True) -> DataFrame:
     """``docs`` with ``text_col`` corrected.
 
     Words holding a letter ``n`` times in a row are replaced by their correction.  With
@@ -71,6 +71,11 @@ def correct_repeated(docs: DataFrame, vocabulary: DataFrame, lexicon: DataFrame
     every occurrence of the word as a regular expression, in first-appearance order.
     """
     found = docs.select(id_col, F.posexplode(TX.find_repeated(text_col, n)).alias("pos", "word"))
+    if materialize_found:
+        # two branches read the found words; scan the text for them once
+        from ..session import materialize
+
+        found = materialize(found, "found_words")
     fixes = word_corrections(found, vocabulary, lexicon).filter(F.col("word") != F.col("correction"))
     first = found.groupBy(id_col, "word").agg(F.min("pos").alias("pos"))
     per_doc = (first.join(fixes, "word")
@@ -95,6 +100,25 @@ def correct_repeated(docs: DataFrame, vocabulary: DataFrame, lexicon: DataFrame
 # ---------------------------------------------------------------------------
 
 
+def clean_token_arrays(df: DataFrame, tokens_col: str = "tokens", stop_words=None,
+                       custom_stop_words=None, drop_numbers: bool = True) -> DataFrame:
+    """T8 without a lexicon, inside each document row: the token array is filtered in place
+    (no explode, no shuffle).  Word lists are fixed and small; ``isin`` on them becomes a
+    hash-set lookup.  Without a lexicon the lemma is the token, so custom stop words (tested
+    on the lemma) and stop words (tested on the form) test the same string."""
+    words = list(dict.fromkeys(list(stop_words or []) + list(custom_stop_words or [])))
+
+    def keep(t):
+        drop = TX.is_punct(t) | TX.is_space(t) | TX.is_digit(t)
+        if drop_numbers:
+            drop = drop | TX.like_number(t)
+        if words:
+            drop = drop | t.isin(*words)
+        return ~drop
+
+    return df.withColumn(tokens_col, F.filter(F.col(tokens_col), keep))
+
+
 def clean_tokens(tokens: DataFrame, stop_words: DataFrame | None = None,
                  lexicon: DataFrame | None = None, pos_to_keep=None,
                  custom_stop_words: DataFrame | None = None,

@@ -161,7 +161,7 @@ def u_mass(doc_terms: DataFrame, top: DataFrame, n_docs: int | DataFrame, eps: f
            smoothing: str = "eps", n_top: int | None = None) -> DataFrame:
     """``(topic, coherence)`` by u_mass over each topic's ranked top terms.
 
-    ``doc_terms(doc_id, term)``: the terms present in each document.
+    ``doc_terms(doc_id, term)``: the terms present in each document, one row per pair.
     ``top(topic, term, rank)``: the ranked top terms (rank 1 = highest weight, at most 62;
     ``n_top`` = the largest rank, when known).
     For pairs with rank_i > rank_j: ln((D(wi,wj)/N + eps) / (D(wj)/N)) (``smoothing="eps"``)
@@ -177,7 +177,9 @@ def u_mass(doc_terms: DataFrame, top: DataFrame, n_docs: int | DataFrame, eps: f
     if t_max > MAX_TOP_TERMS:
         raise ValueError(f"at most {MAX_TOP_TERMS} top terms per topic")
     # k*T rows: bounded by the number of topics times the top-term count
-    present = doc_terms.select("doc_id", "term").distinct().join(F.broadcast(top), "term")
+    # doc_terms has one row per (document, term) (a bag of words); only rows of top terms
+    # survive the broadcast join, so the shuffle below moves a small fraction of it
+    present = doc_terms.select("doc_id", "term").join(F.broadcast(top), "term")
     masks = (present.groupBy("doc_id", "topic")
              .agg(F.bit_or(F.pow(F.lit(2), F.col("rank") - 1).cast("long")).alias("mask"))
              .groupBy("topic", "mask").agg(F.count(F.lit(1)).alias("docs")))

@@ -173,9 +173,8 @@ def _kept_text(long_kept, docs):
 
 def clean_tokens(spark, d):
     toks = SI.tokens(spark, d)
-    stop = CL.word_table(spark, CL.default_stop_words("english"))
-    kept = CL.clean_tokens(VO.explode_tokens(toks), stop_words=stop)
-    return _kept_text(kept, toks.select("doc_id"))
+    kept = CL.clean_token_arrays(toks, stop_words=CL.default_stop_words("english"))
+    return kept.select("doc_id", F.array_join("tokens", " ").alias("text"))
 
 
 def pos_filter(spark, d):

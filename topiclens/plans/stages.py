@@ -133,6 +133,10 @@ class TokenCleaner(Transformer, _Stage):
         spark = df.sparkSession
         lex = spark.read.parquet(self.getOrDefault(self.lexiconPath)) if self.isSet(self.lexiconPath) else None
         custom = self.getOrDefault(self.customStopWords)
+        if lex is None:  # no lemmas or parts of speech: filter each token array in place
+            kept = CL.clean_token_arrays(df.select("doc_id", "tokens"), "tokens",
+                                         self.getOrDefault(self.stopWords), custom)
+            return kept.select("doc_id", "tokens", F.array_join("tokens", " ").alias("text"))
         kept = CL.clean_tokens(VO.explode_tokens(df.select("doc_id", "tokens")),
                                CL.word_table(spark, self.getOrDefault(self.stopWords)), lex,
                                self.getOrDefault(self.posToKeep) if lex is not None else None,
