@@ -18,11 +18,13 @@ CENTROID_BLOCK_VALUES = 1 << 18
 def label_codes(df: DataFrame, label: str, name: str = "label_code") -> DataFrame:
     """``df`` plus ``name`` = 0-based code of ``label`` in sorted label order.
 
-    Codes are numbered on the *distinct* labels (partial aggregate first), then joined back.
+    Codes are numbered on the *distinct* labels (partial aggregate first) with a distributed
+    index (no single-partition window), then joined back.
     """
-    codes = df.select(label).distinct().withColumn(
-        name, (F.dense_rank().over(Window.orderBy(label)) - 1).cast("int"))
-    return df.join(codes, label)
+    from .indexing import with_global_index
+
+    codes = with_global_index(df.select(label).distinct(), [label], "_code")
+    return df.join(codes.select(label, F.col("_code").cast("int").alias(name)), label)
 
 
 def contingency(df: DataFrame, true_col: str = "label_code", pred_col: str = "cluster") -> DataFrame:
@@ -166,6 +168,8 @@ def bovw_histogram(assigned: DataFrame, image_col: str = "image_id", word_col: s
 
 
 MAX_WIDE_COLUMNS = 500
+# Each row carries d(d+1)/2 products in covariance_long; above this use MLlib's Gramian.
+MAX_COVARIANCE_DIM = 512
 
 
 def long_to_wide(long_df: DataFrame, row_key: str, col_key: str, value: str, col_values: list,
@@ -223,6 +227,10 @@ def covariance_long(long_df: DataFrame, dims: int) -> DataFrame:
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
 
+    if dims > MAX_COVARIANCE_DIM:
+        raise ValueError(f"{dims} dimensions: use plans.models.pca_reduce (MLlib Gramian) above "
+                         f"{MAX_COVARIANCE_DIM}")
+
     st = F.broadcast(column_stats(long_df).select("dim", "n", "mean"))  # d rows
     centred = long_df.join(st, "dim").select("id", "dim", "n", (F.col("value") - F.col("mean")).alias("x"))
     rows = centred.groupBy("id").agg(
