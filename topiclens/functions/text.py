@@ -66,7 +66,6 @@ ENGLISH_STOP_WORDS = (
 ).split()
 
 _WS_CLASS = "[" + PY_WHITESPACE + "]"
-STRIP_PATTERN = "^" + _WS_CLASS + "+|" + _WS_CLASS + "+$"
 
 
 def _c(c) -> Column:

@@ -17,7 +17,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 IMAGE_SCHEMA = "image_id long, height int, width int, n_channels int, pixels array<int>"
 
@@ -201,5 +200,3 @@ def descriptor_energy(vec) -> "F.Column":
     c = F.col(vec) if isinstance(vec, str) else vec
     return F.sqrt(F.aggregate(F.transform(c.cast("array<double>"), lambda x: x * x), F.lit(0.0), lambda a, x: a + x))
 
-
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("math", "np", "pd", "T")]

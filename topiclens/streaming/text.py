@@ -11,7 +11,6 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as TX
@@ -48,4 +47,4 @@ def write_parquet(stream: DataFrame, path: str, checkpoint: str, available_now:
     return w.start()
 
 
-__all__ = ["read_text_stream", "clean_stream", "vectorize_stream", "write_parquet", "F"]
+__all__ = ["read_text_stream", "clean_stream", "vectorize_stream", "write_parquet"]
