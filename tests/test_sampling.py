@@ -73,3 +73,11 @@ def test_semi_and_anti_join_plan(spark):
     assert semi.count() == 2
     assert "BroadcastHashJoin" in semi._jdf.queryExecution().executedPlan().toString()
     assert SA.anti_join(big, ids, "business_id").count() == 998
+
+
+def test_sample_n_large_path_equals_top_k(spark, monkeypatch):
+    df = spark.range(0, 300).withColumnRenamed("id", "doc_id")
+    small = sorted(r.doc_id for r in SA.sample_n(df, "doc_id", 50).collect())
+    monkeypatch.setattr(SA, "TOP_K_MAX", 10)
+    big = sorted(r.doc_id for r in SA.sample_n(df.repartition(4), "doc_id", 50).collect())
+    assert small == big

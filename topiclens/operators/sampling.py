@@ -44,9 +44,18 @@ def stratified_sample_n(df: DataFrame, label: str, key: str, n: int, seed: int =
     return out
 
 
+# Up to this n a sample is a top-k (each task keeps n rows, one task merges them);
+# above it the rows are ranked by a distributed sort and filtered, so no task holds n rows.
+TOP_K_MAX = 100_000
+
+
 def sample_n(df: DataFrame, key: str, n: int, seed: int = 16) -> DataFrame:
-    """``n`` rows chosen by seeded hash order (distributed top-k: TakeOrderedAndProject)."""
-    return df.orderBy(seeded_hash(key, seed), F.col(key)).limit(int(n))
+    """``n`` rows chosen by seeded hash order (the same rows for any partitioning)."""
+    order = [seeded_hash(key, seed), F.col(key)]
+    if n <= TOP_K_MAX:
+        return df.orderBy(*order).limit(int(n))  # TakeOrderedAndProject
+    ranked = with_global_index(df.withColumn("_h", order[0]), ["_h", key], "_rank")
+    return ranked.filter(F.col("_rank") < int(n)).drop("_h", "_rank")
 
 
 def chunk_sample(df: DataFrame, order: list[Column | str], match: Column, size: int,

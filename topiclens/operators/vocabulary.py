@@ -6,9 +6,9 @@ Plan shape (no collect, at most one shuffle per step):
   ``(doc_id, term, tf)``: no shuffle, a document never leaves its partition.
 * ``build_vocabulary``: ``groupBy(term)`` with map-side partial aggregation; a hot term
   ("the" in every document) is combined before the shuffle.
-* ``filter_extremes`` keeps at most ``keep_n`` terms (distributed top-k), so the vocabulary
-  that later joins broadcast has a proven size bound.  Without ``keep_n`` the ids come from
-  a distributed index and the joins are left to AQE's runtime size check.
+* ``filter_extremes`` keeps at most ``keep_n`` terms, ranked by a distributed index, so the
+  vocabulary that later joins broadcast has a proven size bound; without ``keep_n`` (or
+  above ``BROADCAST_VOCAB_MAX_TERMS``) the joins are left to AQE's runtime size check.
 * ``tfidf``: one shuffle on ``doc_id`` for the per-document norm window.
 """
 
@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from .indexing import with_global_index
 
-# Above this many terms a vocabulary is not broadcast by hint; AQE decides from runtime size.
-BROADCAST_VOCAB_MAX_TERMS = 2_000_000
+# Above this many terms (about 10 MB) a vocabulary is not broadcast by hint; AQE decides
+# from the runtime size instead.
+BROADCAST_VOCAB_MAX_TERMS = 200_000
 
 
 def tokenize_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
@@ -88,17 +89,17 @@ def filter_extremes(vocab: DataFrame, n_docs: int, no_below: int = 0, no_above:
                     keep_n: int | None = 100_000) -> DataFrame:
     """A2: keep ``no_below <= df <= int(no_above * N)``, then the ``keep_n`` most frequent.
 
-    Ids are ``0..`` in ``(df desc, term)`` order over the kept terms.
+    Ids are ``0..`` in ``(df desc, term)`` order over the kept terms.  The ranking is a
+    distributed sort with per-partition offsets (``with_global_index``), so neither a
+    single task nor the driver ever holds more than one range partition of the vocabulary;
+    ``keep_n`` then is a filter on the id.
     """
     upper = int(no_above * n_docs)
     kept = vocab.filter((F.col("df") >= no_below) & (F.col("df") <= upper))
     order = [F.col("df").desc(), F.col("term").asc()]
-    if keep_n is not None:
-        top = kept.orderBy(*order).limit(int(keep_n))  # distributed top-k, <= keep_n rows
-        w = Window.orderBy(*order)  # single partition, but bounded by keep_n
-        return top.withColumn("term_id", (F.row_number().over(w) - 1).cast("int")).select(
-            "term", "term_id", "df", "cf")
     indexed = with_global_index(kept, order, "term_id")
+    if keep_n is not None:
+        indexed = indexed.filter(F.col("term_id") < int(keep_n))
     return indexed.select("term", F.col("term_id").cast("int").alias("term_id"), "df", "cf")
 
 
