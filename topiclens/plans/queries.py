@@ -254,13 +254,14 @@ def sparse_to_wide(spark, d):
 def _proxy_model(spark, d):
     """A topic model stand-in: topic = language, p(w|t) from term counts of known terms.
 
-    The per-document counts and their known-term subset are checkpointed once; every
-    diagnostic below reads them.  Topic totals are a k-row table (broadcast)."""
+    The per-document counts, their known-term subset and p(w|t) are each written once
+    (Parquet under the checkpoint folder); every diagnostic below reads them.  Topic
+    totals are a k-row table (broadcast)."""
     toks = SI.tokens(spark, d)
     langs = SI.documents(spark, d).select("doc_id", F.col("lang").alias("topic"))
     counts = materialize(VO.term_counts(toks))
     known = VO.build_vocabulary(counts).filter(F.col("df") >= 5).select("term")
-    kc = counts.join(known, "term").join(langs, "doc_id")
+    kc = materialize(counts.join(known, "term").join(langs, "doc_id"), "known_counts")
     per = kc.groupBy("topic", "term").agg(F.sum("tf").alias("c"))
     totals = F.broadcast(per.groupBy("topic").agg(F.sum("c").alias("_total")))
     topic_term = materialize(per.join(totals, "topic").select(
