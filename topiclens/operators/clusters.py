@@ -57,7 +57,8 @@ def match_clusters(cont: DataFrame, leftover: str = "smallest_missing") -> DataF
     Each cluster may only claim its own best label (W6: ties to the smallest label); a
     label goes to the purest claiming cluster (ties to the smallest cluster).  Clusters
     left over get the smallest label nobody claimed (``smallest_missing``), or missing
-    labels in ascending order by cluster id (``one_to_one``).
+    labels in ascending order by cluster id (``one_to_one``); when no label is left (more
+    clusters than labels) a leftover cluster keeps its own best label.
     """
     pur = purity_matrix(cont)
     best = (pur.withColumn("_r", F.row_number().over(
@@ -66,20 +67,22 @@ def match_clusters(cont: DataFrame, leftover: str = "smallest_missing") -> DataF
     ranked = best.withColumn("_w", F.row_number().over(
         Window.partitionBy("best").orderBy(F.col("purity").desc(), F.col("cluster"))))
     winners = ranked.filter(F.col("_w") == 1).select("cluster", F.col("best").alias("label_code"))
-    losers = ranked.filter(F.col("_w") > 1).select("cluster")
+    losers = ranked.filter(F.col("_w") > 1).select("cluster", "best")
     labels = cont.select("label_code").distinct()
     missing = labels.join(winners.select("label_code"), "label_code", "left_anti")
     if leftover == "smallest_missing":
-        smallest = missing.agg(F.min("label_code").alias("label_code"))
+        smallest = missing.agg(F.min("label_code").alias("label_code"))  # one row
         fill = losers.crossJoin(smallest)
     elif leftover == "one_to_one":
         lr = losers.withColumn("_i", F.row_number().over(Window.orderBy("cluster")))
         mr = missing.withColumn("_i", F.row_number().over(Window.orderBy("label_code")))
-        fill = lr.join(mr, "_i", "left").select("cluster", "label_code")
+        fill = lr.join(mr, "_i", "left")
     else:
         raise ValueError("leftover must be 'smallest_missing' or 'one_to_one'")
+    # with no label left to give, a leftover cluster keeps its own best label
+    fill = fill.select("cluster", F.coalesce("label_code", "best").alias("label_code"))
     out = winners.unionByName(fill)
-    return out.select("cluster", F.coalesce(F.col("label_code"), F.lit(-1)).cast("int").alias("label_code"))
+    return out.select("cluster", F.col("label_code").cast("int").alias("label_code"))
 
 
 def apply_matching(df: DataFrame, mapping: DataFrame, pred_col: str = "cluster",

@@ -329,7 +329,7 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY best ORDER BY purity DESC,
 winners AS (SELECT cluster, best AS label_code FROM ranked WHERE w = 1),
 missing AS (SELECT DISTINCT label_code FROM cont WHERE label_code NOT IN (SELECT label_code FROM winners)),
 mapping AS (SELECT cluster, label_code FROM winners UNION ALL
-            SELECT cluster, (SELECT min(label_code) FROM missing) FROM ranked WHERE w > 1),
+            SELECT cluster, coalesce((SELECT min(label_code) FROM missing), best) FROM ranked WHERE w > 1),
 matched AS (SELECT p.label_code, m.label_code AS matched FROM pts p LEFT JOIN mapping m USING (cluster)),
 mcont AS (SELECT label_code, matched, count(*) AS n FROM matched GROUP BY label_code, matched)"""
 
@@ -374,8 +374,7 @@ SELECT image_id, desc_ix, round(energy, 6) AS energy FROM (
   SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY energy DESC, desc_ix) AS r FROM en) WHERE r <= 3""",
         "confusion_matrix": f"WITH {CLUSTERED} SELECT label_code, cluster, n FROM cont",
         "purity_matrix": f"WITH {CLUSTERED} SELECT label_code, cluster, n, round(purity, 6) AS purity FROM pur",
-        "match_clusters": f"WITH {CLUSTERED} SELECT cluster, CAST(coalesce(label_code, -1) AS INTEGER) AS label_code "
-                          "FROM mapping",
+        "match_clusters": f"WITH {CLUSTERED} SELECT cluster, CAST(label_code AS INTEGER) AS label_code FROM mapping",
         "adjusted_rand_index": f"WITH {CLUSTERED} SELECT round({_ari('mcont', 'matched')}, 6) AS ari, "
                                f"round({_ari('cont', 'cluster')}, 6) AS raw_ari",
         "evaluate_clusters": f"WITH {CLUSTERED} SELECT label_code, matched, n FROM mcont",
