@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .simhash_dedup import simhash_dedup
 from .substring_dedup import substring_dedup
 
 
@@ -12,6 +13,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document (3-word shingles, 2 bits)."""
+    out = simhash_dedup(_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return out.select("doc_id", "fingerprint", "component_id")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words under a 13-word window that starts in an earlier document, removed."""
     out = substring_dedup(_table(spark, sf_dir, "documents"))
