@@ -24,12 +24,16 @@ def text_bytes(df: DataFrame, text: str = "text") -> int:
     return int(df.agg(F.sum(F.octet_length(F.col(text)).cast("long"))).first()[0] or 0)
 
 
-def block_of(columns: list[str], blocks: int) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(blocks)).cast("int")
+def block_count(df: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES) -> int:
+    return max(1, math.ceil(text_bytes(df, text) / block_bytes))
 
 
-def dealt(df: DataFrame, columns: list[str], text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``df[columns]`` with a column ``block``; rows of one block land in one partition."""
-    keep = df.select(*columns)
-    blocks = max(1, math.ceil(text_bytes(keep, text) / block_bytes))
-    return keep.withColumn("block", block_of(columns, blocks)).repartition("block")
+def block_column(blocks: int, key: str = "doc_id", text: str = "text") -> Column:
+    """The block of a row: a hash of its key (of its text, where the key is null)."""
+    spread = F.when(F.col(key).isNull(), F.col(text))
+    return F.pmod(F.xxhash64(F.col(key), spread), F.lit(blocks)).cast("int").alias("block")
+
+
+def dealt(df: DataFrame, blocks: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``df`` with a column ``block``; the rows of a block land in one partition."""
+    return df.select("*", block_column(blocks, key, text)).repartition("block")

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import queries as Q
+from .oracle import SQL
 
 
 def queries() -> dict:
-    return {name: fn for name, fn in vars(Q).items() if name.startswith("op") and callable(fn)}
+    own = {name: fn for name, fn in vars(Q).items() if name.startswith("op") and callable(fn)}
+    return own | {"pipeline": Q.pipeline}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    given = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return SQL | given
