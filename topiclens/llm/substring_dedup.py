@@ -3,6 +3,8 @@
 A window of ``n`` consecutive words is a repeat when the same words also start a window in
 a document with a smaller ``doc_id``.  Hashing all windows of a corpus is dear, so:
 
+0. *Whole copies.*  A document whose text equals that of a smaller doc_id loses all its words
+   at once (if it has a window at all); only first copies go on.
 1. *Anchors.*  D is a difference cover modulo ``period``: for any shift d some a, b in D
    have a - b = d (mod period).  Two equal windows at any two positions i, j therefore
    share a step t < period with i + t and j + t both at cover positions.  Only the
@@ -20,6 +22,7 @@ block, and the grouped streams keep one row of state, whatever the group's size.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .arrow_text import Spans, span_hashes, texts_of, window_hashes, window_starts, words_of
-from .blocks import BLOCK_BYTES, dealt
+from .blocks import BLOCK_BYTES, block_count, dealt
 
 WINDOW = 13
 PERIOD = 7
@@ -70,6 +74,25 @@ def _ids(table: pa.Table) -> np.ndarray:
     return table.column("doc_id").combine_chunks().fill_null(0).to_numpy(zero_copy_only=False)
 
 
+def _split(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
+    """The documents of a block, and which of them are marked as later copies."""
+    mark = np.asarray(table.column("mark").combine_chunks())
+    docs, marks = table.filter(pa.array(~mark)), table.filter(pa.array(mark))
+    copy = np.zeros(docs.num_rows, dtype=bool)
+    if marks.num_rows:
+        told = set(zip(marks.column("doc_id").to_pylist(), marks.column("text").to_pylist()))
+        ids = {d for d, _ in told}
+        t = texts_of(docs.column("text"))
+        for i, d in enumerate(docs.column("doc_id").to_pylist()):
+            copy[i] = d in ids and (d, hashlib.sha256(t.bytes(i)).hexdigest()) in told
+    return docs, copy
+
+
+def _firsts(table: pa.Table) -> pa.Table:
+    docs, copy = _split(table)
+    return docs.filter(pa.array(~copy)) if copy.any() else docs
+
+
 def _words(table: pa.Table):
     t = texts_of(table.column("text"))
     words = words_of(t)
@@ -78,7 +101,7 @@ def _words(table: pa.Table):
 
 def _anchors(n: int, period: int):
     def anchors(key: tuple, table: pa.Table) -> pa.Table:
-        _, words, wh = _words(table)
+        _, words, wh = _words(_firsts(table))
         at = _anchor_starts(words, n, period)
         h = np.unique(window_hashes(wh, at, n - period + 1, lane=1))
         block = np.full(len(h), key[0].as_py(), dtype=np.int32)
@@ -115,6 +138,7 @@ def _extended(n: int, period: int):
         empty = pa.table({"w": np.zeros(0, np.int64), "v": np.zeros(0, np.int64), "doc": np.zeros(0, np.int64)})
         if not docs.num_rows or not shared.num_rows:
             return empty
+        docs = _firsts(docs)
         _, words, wh = _words(docs)
         at = _anchor_starts(words, n, period)
         width = n - period + 1
@@ -162,18 +186,19 @@ def _preceded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hit = doc > least[group]
         last = (w[-1], high[-1], least[-1])
         yield pa.RecordBatch.from_pydict(
-            {"w": w[hit], "v": high[hit], "block": (v[hit] & np.int64(0xFFFFFFFF)).astype(np.int32)})
+            {"w": w[hit], "block": (v[hit] & np.int64(0xFFFFFFFF)).astype(np.int32)})
 
 
 def _removed(n: int):
     def removed(key: tuple, docs: pa.Table, later: pa.Table) -> pa.Table:
+        docs, copy = _split(docs)
         t, words, wh = _words(docs)
         rows = docs.num_rows
         gone = np.zeros(len(wh) + 1, dtype=np.int64)
         starts = window_starts(words, n)
         if len(starts):
             doc_of = np.repeat(np.arange(rows), words.counts)[starts]
-            known = _known(docs)[doc_of]
+            known = (_known(docs) & ~copy)[doc_of]
             starts, ids = starts[known], _ids(docs)[doc_of[known]]
         if len(starts):
             w = window_hashes(wh, starts, n, lane=2)
@@ -185,17 +210,12 @@ def _removed(n: int):
             least = ds[first][np.cumsum(first) - 1]
             hit = ds > least
             if later.num_rows:
-                lw, lv = later.column("w").to_numpy(), later.column("v").to_numpy()
-                key_type = np.dtype([("w", np.int64), ("v", np.int64)])
-                mine = np.empty(int(first.sum()), dtype=key_type)
-                mine["w"], mine["v"] = _signed(ws[first]), vs[first].astype(np.int64)
-                there = np.empty(len(lw), dtype=key_type)
-                there["w"], there["v"] = lw, lv
-                hit |= np.isin(mine, there)[np.cumsum(first) - 1]
+                hit |= np.isin(_signed(ws[first]), later.column("w").to_numpy())[np.cumsum(first) - 1]
             covered = starts[order][hit]
             np.add.at(gone, covered, 1)
             np.add.at(gone, covered + n, -1)
         keep = np.cumsum(gone)[:-1] == 0
+        keep &= ~np.repeat(copy & (words.counts >= n), words.counts)
         total = np.concatenate(([0], np.cumsum(~keep)))
         lost = total[words.first[1:]] - total[words.first[:-1]]
         kept = []
@@ -212,6 +232,16 @@ def _removed(n: int):
     return removed
 
 
+def _later_copies(given: DataFrame) -> DataFrame:
+    """A marked row (doc_id, SHA-256 of the text) per document whose text a smaller doc_id has."""
+    prints = materialize(given.filter("doc_id is not null and text is not null")
+                         .select("doc_id", F.sha2("text", 256).alias("text")), "copies")
+    first = prints.groupBy("text").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    first = first.filter("least < most").drop("most")
+    return (prints.join(first, "text").filter("doc_id > least")
+            .select("doc_id", "text", F.lit(True).alias("mark")).distinct())
+
+
 def substring_dedup(docs: DataFrame, n: int = WINDOW, period: int = PERIOD,
                     block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per input row: ``doc_id, n_words, n_removed, text`` (the kept words, one space apart).
@@ -224,7 +254,8 @@ def substring_dedup(docs: DataFrame, n: int = WINDOW, period: int = PERIOD,
     """
     if not 1 <= period <= n:
         raise ValueError("period must lie between 1 and the window")
-    blocks = dealt(docs, ["doc_id", "text"], block_bytes=block_bytes)
+    given = docs.select("doc_id", "text", F.lit(False).alias("mark"))
+    blocks = dealt(given.union(_later_copies(given)), block_count(given, block_bytes=block_bytes))
     anchors = blocks.groupBy("block").applyInArrow(_anchors(n, period), "h long, block int")
     shared = (anchors.repartition("h").sortWithinPartitions("h")
               .mapInArrow(_shared, "h long, block int"))
@@ -232,6 +263,6 @@ def substring_dedup(docs: DataFrame, n: int = WINDOW, period: int = PERIOD,
                .applyInArrow(_extended(n, period), "w long, v long, doc long"))
     later = (windows.repartition("w")
              .sortWithinPartitions("w", F.shiftright("v", 32), "doc")
-             .mapInArrow(_preceded, "w long, v long, block int"))
+             .mapInArrow(_preceded, "w long, block int"))
     return (blocks.groupBy("block").cogroup(later.groupBy("block"))
             .applyInArrow(_removed(n), "doc_id long, n_words long, n_removed long, text string"))
