@@ -194,6 +194,7 @@ def _rank(k: int):
                 for row, r in enumerate(range(a, min(a + 64, len(q)))):
                     seen = np.isin(unit, units[r])[at]
                     own = np.flatnonzero(seen)
+                    own = own[np.unique(least[own], return_index=True)[1]]  # a vector may come from two tables
                     s = scores[row][own]
                     if len(own) > k + 1:
                         bar = np.partition(s, len(s) - k - 1)[len(s) - k - 1]
@@ -259,7 +260,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, tables: int = TABL
                          .agg(F.collect_list("unit").alias("units")), "ann_probes")
     needed = wanted.select("chunk", F.explode("units").alias("unit")).distinct()
     sent = members.join(needed, "unit").withColumn("grp", group).select("grp", "chunk", "unit", "ids", "v")
-    asking = wanted.join(heads.select("rid", "v"), "rid").select("grp", "chunk", "rid", "v", "units")
+    asking = wanted.join(heads.select("rid", "v"), "rid").select(
+        *[F.col(c).alias(c) for c in ("grp", "chunk", "rid", "v", "units")])  # own columns: both sides come from wanted
     found = sent.groupBy("grp", "chunk").cogroup(asking.groupBy("grp", "chunk")) \
         .applyInArrow(_rank(k), "rid long, id long, score double")
 
