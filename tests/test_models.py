@@ -16,7 +16,7 @@ def test_lda_separates_planted_topics(spark):
     vocab = VO.filter_extremes(VO.build_vocabulary(counts), 200, keep_n=100)
     terms = MD.vocabulary_terms(vocab)
     vec = MD.count_vectors(toks, terms, out_col="features")
-    model = MD.lda_fit(vec, 2, seed=16, max_iter=30, optimizer="em", num_partitions=2)
+    model = MD.lda_fit(vec, 2, seed=16, max_iter=30, optimizer="em")
     top = MD.describe_topics(model, terms, 5).collect()
     groups = {}
     for r in top:

@@ -1,5 +1,7 @@
 import hashlib
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from topiclens.operators import sampling as SA
@@ -81,3 +83,31 @@ def test_sample_n_large_path_equals_top_k(spark, monkeypatch):
     monkeypatch.setattr(SA, "TOP_K_MAX", 10)
     big = sorted(r.doc_id for r in SA.sample_n(df.repartition(4), "doc_id", 50).collect())
     assert small == big
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_global_index_of_a_million_rows_with_payload(spark, adaptive):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        n = 1_000_000
+        df = spark.range(n).select((F.col("id") * 7919 % n).alias("v"), F.md5(F.col("id").cast("string")).alias("payload"))
+        got = with_global_index(df, ["v"], "ix")
+        row = got.agg(F.count(F.lit(1)), F.count_distinct("ix"), F.min("ix"), F.max("ix"),
+                      F.count_if(F.col("ix") != F.col("v"))).first()
+        assert tuple(row) == (n, n, 0, n - 1, 0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_large_sample_and_vocabulary_are_exact(spark):
+    from topiclens.operators.vocabulary import filter_extremes
+
+    df = spark.range(300_000).withColumnRenamed("id", "doc_id").withColumn("x", F.rand(1))
+    got = SA.sample_n(df, "doc_id", 150_000)
+    assert got.count() == 150_000 == got.select("doc_id").distinct().count()
+    vocab = spark.range(1_000_000).select(F.concat(F.lit("t"), F.col("id")).alias("term"), (F.col("id") % 50 + 1).alias("df"),
+                                          F.lit(1).cast("long").alias("cf"))
+    kept = filter_extremes(vocab, 100, 1, 1.0, 1_000_000)
+    row = kept.agg(F.count(F.lit(1)), F.count_distinct("term_id"), F.max("term_id")).first()
+    assert tuple(row) == (1_000_000, 1_000_000, 999_999)

@@ -43,7 +43,8 @@ def to_gray(pixels, order: str = "BGR") -> Column:
         b = F.element_at(p, base + b_off)
         return F.shiftright(r * GRAY_R + g * GRAY_G + b * GRAY_B + (1 << (GRAY_SHIFT - 1)), GRAY_SHIFT)
 
-    return F.transform(F.sequence(F.lit(0), n - 1), gray)
+    none = F.array().cast("array<int>")
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), gray)).when(n == 0, none)
 
 
 def swap_channels(pixels) -> Column:

@@ -48,7 +48,8 @@ def word_corrections(words: DataFrame, vocabulary: DataFrame, lexicon: DataFrame
     distinct = words.select(F.col(word_col).alias("word")).distinct()
     cand = distinct.select("word", F.posexplode(correction_candidates(F.col("word"))).alias("k", "form"))
     if lexicon is not None:
-        lem = lexicon.select(F.col("token").alias("form"), "lemma").dropDuplicates(["form"])
+        # one lemma per form whatever the partitioning: the smallest
+        lem = lexicon.groupBy(F.col("token").alias("form")).agg(F.min("lemma").alias("lemma"))
         cand = cand.join(lem, "form", "left").withColumn("lemma", F.coalesce("lemma", "form"))
     else:
         cand = cand.withColumn("lemma", F.col("form"))
@@ -138,11 +139,11 @@ def clean_tokens(tokens: DataFrame, stop_words: DataFrame | None = None,
         keep = keep & ~TX.like_number("term")
     t = t.filter(keep)
     if lexicon is not None:
-        lex = lexicon.select(F.col("token").alias("term"), "lemma", F.col("pos").alias("_tag"))
-        t = t.join(lex, "term", "left")
-        if pos_to_keep:
-            t = t.filter(F.col("_tag").isin(*pos_to_keep))
-        t = t.withColumn("lemma", F.coalesce("lemma", "term")).drop("_tag")
+        # a token has one lemma: the smallest among its entries (those with a kept tag)
+        lex = lexicon.filter(F.col("pos").isin(*pos_to_keep)) if pos_to_keep else lexicon
+        lex = lex.groupBy(F.col("token").alias("term")).agg(F.min("lemma").alias("lemma"))
+        t = t.join(lex, "term", "inner" if pos_to_keep else "left")
+        t = t.withColumn("lemma", F.coalesce("lemma", "term"))
     else:
         t = t.withColumn("lemma", F.col("term"))
     if custom_stop_words is not None:

@@ -7,12 +7,19 @@ counts, so a hot label costs one row per map task) and the label/cluster lookups
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-# Above this many doubles (centroids x dimension) a centroid block is split in several
-# blocks, so no single literal grows with the dictionary.
-CENTROID_BLOCK_VALUES = 1 << 18
+from ..session import materialize
+
+# Differences (points x centroids x dimension) held at once by nearest_centroid.
+CENTROID_BLOCK_VALUES = 1 << 20
 
 
 def label_codes(df: DataFrame, label: str, name: str = "label_code") -> DataFrame:
@@ -100,12 +107,17 @@ def adjusted_rand_index(cont: DataFrame) -> DataFrame:
     def c2(x: Column) -> Column:
         return x.cast("double") * (x.cast("double") - 1) / 2
 
-    cells = cont.agg(F.sum(c2(F.col("n"))).alias("I"), F.sum("n").cast("double").alias("N"))
-    rows = cont.groupBy("label_code").agg(F.sum("n").alias("a")).agg(F.sum(c2(F.col("a"))).alias("A"))
-    cols = cont.groupBy("cluster").agg(F.sum("n").alias("b")).agg(F.sum(c2(F.col("b"))).alias("B"))
-    t = cells.crossJoin(rows).crossJoin(cols)
+    # one pass: cells, row sums, column sums and the total are the cube's grouping levels
+    sums = cont.cube("label_code", "cluster").agg(F.sum("n").alias("n"), F.grouping_id().alias("level"))
+
+    def at(level: int, value: Column) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("level") == level, value)), F.lit(0.0))
+
+    pairs = c2(F.col("n"))
+    t = sums.agg(at(0, pairs).alias("I"), at(1, pairs).alias("A"), at(2, pairs).alias("B"),
+                 at(3, F.col("n").cast("double")).alias("N"))
     p = F.col("N") * (F.col("N") - 1) / 2
-    expected = F.col("A") * F.col("B") / p
+    expected = F.coalesce(F.col("A") * F.col("B") / F.nullif(p, F.lit(0.0)), F.lit(0.0))
     denom = (F.col("A") + F.col("B")) / 2 - expected
     return t.select(F.when(denom == 0, F.lit(1.0))
                     .otherwise((F.col("I") - expected) / denom).alias("ari"))
@@ -114,10 +126,11 @@ def adjusted_rand_index(cont: DataFrame) -> DataFrame:
 def evaluate_clusters(df: DataFrame, true_col: str = "label_code", pred_col: str = "cluster",
                       leftover: str = "smallest_missing") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(contingency after matching, ARI after matching, ARI on raw clusters)."""
-    raw = contingency(df, true_col, pred_col)
+    # labels x clusters rows, written once: everything below reads these and not the points
+    raw = materialize(contingency(df, true_col, pred_col), "contingency")
     mapping = match_clusters(raw, leftover)
-    matched = apply_matching(df.select(true_col, pred_col), mapping, pred_col)
-    cont = contingency(matched, true_col, "matched")
+    matched = apply_matching(raw, mapping, "cluster")
+    cont = matched.groupBy("label_code", F.col("matched").alias("cluster")).agg(F.sum("n").alias("n"))
     return cont, adjusted_rand_index(cont), adjusted_rand_index(raw)
 
 
@@ -131,37 +144,52 @@ def nearest_centroid(points: DataFrame, centroids: DataFrame, vec_col: str = "ve
     """``points`` plus ``word_id`` (nearest centroid, ties to the smallest id) and ``dist``
     (squared Euclidean distance).
 
-    ``centroids(word_id, centroid)`` is a fitted model (k x d values).  It is packed into
-    one-row tables of at most ``block_values`` values each; every block is broadcast (its
-    size is bounded by construction) and each point row is compared with the block inside
-    one projection (``transform`` + ``array_min``).  Points never move and no
-    point-centroid pair becomes a row.
+    ``centroids(word_id, centroid)`` is a fitted model (k x d values) and travels to the tasks
+    as one matrix.  Points stay where they are: each Arrow batch is compared in blocks of at
+    most ``block_values`` differences, so memory is bounded for any k.  A null vector gets nulls.
     """
-    k, dim = centroids.select(F.count(F.lit(1)), F.max(F.size("centroid"))).first()
-    if not k:
+    rows = centroids.select(F.col("word_id").cast("int").alias("word_id"),
+                            F.col("centroid").cast("array<double>").alias("c")).orderBy("word_id").collect()
+    if not rows:
         raise ValueError("no centroids")
-    per_block = max(1, block_values // max(int(dim), 1))
-    ids = centroids.select("word_id", F.col("centroid").cast("array<double>").alias("c"))
-    vec = F.col(vec_col).cast("array<double>")
-    out = points.withColumn("_vec", vec)
-    best = None
-    n_blocks = (int(k) + per_block - 1) // per_block
-    numbered = ids.withColumn("_b", F.floor(F.dense_rank().over(Window.orderBy("word_id")) - 1) / per_block) \
-        if n_blocks > 1 else ids.withColumn("_b", F.lit(0))
-    for b in range(n_blocks):
-        blk = (numbered.filter(F.floor(F.col("_b")) == b)
-               .agg(F.collect_list(F.struct("word_id", "c")).alias(f"_cb{b}")))
-        out = out.crossJoin(F.broadcast(blk))
-        def dist(c):
-            d = F.aggregate(F.zip_with(F.col("_vec"), c["c"], lambda x, y: (x - y) * (x - y)),
-                            F.lit(0.0), lambda a, x: a + x)
-            return F.round(d, round_to) if round_to is not None else d
-        cand = F.array_min(F.transform(F.col(f"_cb{b}"), lambda c: F.struct(
-            dist(c).alias("dist"), c["word_id"].cast("int").alias("word_id"))))
-        out = out.withColumn(f"_best{b}", cand).drop(f"_cb{b}")
-        best = F.col(f"_best{b}") if best is None else F.least(best, F.col(f"_best{b}"))
-    out = out.withColumn("_nc", best)
-    return out.select(*points.columns, F.col("_nc.word_id").alias("word_id"), F.col("_nc.dist").alias("dist"))
+    ids = np.array([r["word_id"] for r in rows], dtype=np.int32)
+    matrix = np.array([r["c"] for r in rows], dtype=np.float64)
+    names = points.columns
+
+    def nearest(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        best, dist = np.zeros(len(x), dtype=np.int64), np.full(len(x), np.inf)
+        per = max(1, block_values // max(1, matrix.shape[1]))  # point-centroid pairs at once
+        step = max(1, min(len(ids), per))
+        for a in range(0, len(ids), step):
+            for lo in range(0, len(x), max(1, per // step)):
+                part = x[lo:lo + max(1, per // step)]
+                d = ((part[:, None, :] - matrix[None, a:a + step, :]) ** 2).sum(axis=2)
+                d = np.round(d, round_to) if round_to is not None else d
+                k = d.argmin(axis=1)
+                low = d[np.arange(len(part)), k]
+                at = slice(lo, lo + len(part))
+                nearer = low < dist[at]
+                best[at] = np.where(nearer, k + a, best[at])
+                dist[at] = np.where(nearer, low, dist[at])
+        return ids[best], dist
+
+    def assign(batches):
+        for batch in batches:
+            vec = batch.column("_vec")
+            some = np.flatnonzero(~np.asarray(vec.is_null()))
+            x = vec.drop_null().flatten().to_numpy(zero_copy_only=False).reshape(len(some), matrix.shape[1])
+            word, dist = pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.float64())
+            if len(some):
+                w, near = nearest(x)
+                at = pa.array(np.where(np.isin(np.arange(batch.num_rows), some),
+                                       np.cumsum(~np.asarray(vec.is_null())) - 1, -1))
+                at = pc.if_else(pc.less(at, 0), None, at)
+                word, dist = pa.array(w).take(at), pa.array(near).take(at)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), word, dist],
+                                             [*names, "word_id", "dist"])
+
+    schema = StructType([*points.schema.fields, StructField("word_id", IntegerType()), StructField("dist", DoubleType())])
+    return points.withColumn("_vec", F.col(vec_col).cast("array<double>")).mapInArrow(assign, schema)
 
 
 def bovw_histogram(assigned: DataFrame, image_col: str = "image_id", word_col: str = "word_id") -> DataFrame:
@@ -170,20 +198,13 @@ def bovw_histogram(assigned: DataFrame, image_col: str = "image_id", word_col: s
             .agg(F.count(F.lit(1)).alias("cnt")))
 
 
-MAX_WIDE_COLUMNS = 500
-# Each row carries d(d+1)/2 products in covariance_long; above this use MLlib's Gramian.
-MAX_COVARIANCE_DIM = 512
-
-
 def long_to_wide(long_df: DataFrame, row_key: str, col_key: str, value: str, col_values: list,
                  rows: DataFrame | None = None, prefix: str = "w") -> DataFrame:
     """One column per ``col_values`` entry, missing cells 0.
 
-    ``rows`` (ids) keeps rows with no entry as all-zero rows.  Refuses more than
-    ``MAX_WIDE_COLUMNS`` columns: use the long table or a vector instead.
+    ``rows`` (ids) keeps rows with no entry as all-zero rows.  For thousands of columns
+    :func:`long_to_vector` gives the same table as one sparse vector per row.
     """
-    if len(col_values) > MAX_WIDE_COLUMNS:
-        raise ValueError(f"{len(col_values)} columns requested; keep the long form above {MAX_WIDE_COLUMNS}")
     wide = long_df.groupBy(row_key).pivot(col_key, list(col_values)).agg(F.first(value))
     if rows is not None:
         wide = rows.select(row_key).join(wide, row_key, "left")
@@ -192,6 +213,21 @@ def long_to_wide(long_df: DataFrame, row_key: str, col_key: str, value: str, col
     return wide.select(row_key, *cols)
 
 
+def long_to_vector(long_df: DataFrame, row_key: str, col_key: str, value: str,
+                   rows: DataFrame | None = None) -> DataFrame:
+    """R3/R4 at any width: ``(row_key, indices, weights)``, the non-zero cells of a row in column order.
+
+    ``rows`` (ids) keeps rows with no entry as empty vectors.
+    """
+    cells = long_df.groupBy(row_key).agg(F.array_sort(F.collect_list(F.struct(
+        F.col(col_key).alias("i"), F.col(value).alias("v")))).alias("_c"))
+    if rows is not None:
+        cells = rows.select(row_key).join(cells, row_key, "left")
+    kind = long_df.schema[value].dataType.simpleString()
+    return cells.select(row_key, F.coalesce(F.col("_c.i"), F.array().cast("array<int>")).alias("indices"),
+                        F.coalesce(F.col("_c.v"), F.array().cast(f"array<{kind}>")).alias("weights"))
+
+
 # ---------------------------------------------------------------------------
 # M1 standard scaling and covariance on long (id, dim, value) tables
 # ---------------------------------------------------------------------------
@@ -220,32 +256,34 @@ def standard_scale_long(long_df: DataFrame, ddof: int = 1) -> DataFrame:
                     .otherwise(0.0).alias("value"))
 
 
-def covariance_long(long_df: DataFrame, dims: int) -> DataFrame:
-    """``(dim_i, dim_j, cov)`` sample covariance for ``i <= j``.
+def covariance(df: DataFrame, vec_col: str) -> DataFrame:
+    """``(dim_i, dim_j, cov)`` sample covariance of an array column for ``i <= j``, any width.
 
-    One aggregation pass: each row's centred values give the upper triangle of their outer
-    product as one array (built by array expressions), and ``Summarizer.mean`` averages
-    those vectors with partial aggregates per partition.  No join, no pair rows.
+    Each task adds up the Gramian of its centred rows with matrix products and sends one row
+    per dimension; those rows are summed by key.  The means come from one earlier pass.
     """
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.stat import Summarizer
-
-    if dims > MAX_COVARIANCE_DIM:
-        raise ValueError(f"{dims} dimensions: use plans.models.pca_reduce (MLlib Gramian) above "
-                         f"{MAX_COVARIANCE_DIM}")
-
-    st = F.broadcast(column_stats(long_df).select("dim", "n", "mean"))  # d rows
-    centred = long_df.join(st, "dim").select("id", "dim", "n", (F.col("value") - F.col("mean")).alias("x"))
-    rows = centred.groupBy("id").agg(
-        F.array_sort(F.collect_list(F.struct("dim", "x"))).alias("_v"), F.first("n").alias("n"))
-    rows = rows.select(F.col("_v.x").alias("_x"), "n")
-    x = F.col("_x")
-    upper = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.transform(
-        F.sequence(i, F.lit(dims - 1)), lambda j: F.element_at(x, i + 1) * F.element_at(x, j + 1))))
-    agg = rows.select(array_to_vector(upper).alias("op"), "n").agg(
-        Summarizer.mean(F.col("op")).alias("m"), F.first("n").alias("n"))
-    ij = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.transform(
-        F.sequence(i, F.lit(dims - 1)), lambda j: F.struct(i.alias("dim_i"), j.alias("dim_j")))))
-    out = agg.select(F.explode(F.arrays_zip(ij.alias("ij"), vector_to_array("m").alias("mv"))).alias("e"), "n")
-    return out.select(F.col("e.ij.dim_i").alias("dim_i"), F.col("e.ij.dim_j").alias("dim_j"),
-                      (F.col("e.mv") * F.col("n") / (F.col("n") - 1)).alias("cov"))
+    x = df.select(F.col(vec_col).cast("array<double>").alias("x")).filter("x is not null")
+    first = x.agg(F.count(F.lit(1)).alias("n"), Summarizer.mean(array_to_vector("x")).alias("m")).first()
+    n = first["n"]
+    if not n:
+        return df.sparkSession.createDataFrame([], "dim_i int, dim_j int, cov double")
+    mean = first["m"].toArray()
+
+    def gramian(batches):
+        total = np.zeros((len(mean), len(mean)))
+        for batch in batches:
+            rows = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(mean)) - mean
+            total += rows.T @ rows
+        for i in range(len(mean)):
+            yield pa.RecordBatch.from_pydict({"dim_i": np.array([i], np.int32), "row": [total[i].tolist()]})
+
+    parts = x.mapInArrow(gramian, "dim_i int, row array<double>")
+    sums = parts.groupBy("dim_i").agg(Summarizer.sum(array_to_vector("row")).alias("s"))
+    cells = sums.select("dim_i", F.posexplode(vector_to_array("s")).alias("dim_j", "v")).filter("dim_j >= dim_i")
+    return cells.select("dim_i", "dim_j", (F.col("v") / F.nullif(F.lit(n - 1), F.lit(0))).alias("cov"))
+
+
+def covariance_long(long_df: DataFrame, dims: int) -> DataFrame:
+    """:func:`covariance` of a long ``(id, dim, value)`` table with ``dims`` values per id."""
+    rows = long_df.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("dim", "value"))).alias("_v"))
+    return covariance(rows.filter(F.size("_v") == dims).select(F.col("_v.value").alias("x")), "x")

@@ -55,7 +55,8 @@ def term_topic_distribution(estimates: DataFrame) -> DataFrame:
     """``(term, topic, share)``: how one term's estimated frequency splits over topics."""
     return estimates.select(
         "term", "topic",
-        (F.col("est_freq") / F.sum("est_freq").over(Window.partitionBy("term"))).alias("share"))
+        F.coalesce(F.col("est_freq") / F.nullif(F.sum("est_freq").over(Window.partitionBy("term")), F.lit(0.0)),
+                   F.lit(0.0)).alias("share"))
 
 
 def _p_term(term_freq: DataFrame) -> DataFrame:
@@ -68,7 +69,8 @@ def _p_term(term_freq: DataFrame) -> DataFrame:
 def _p_topic_given_term(topic_term: DataFrame, prevalence: DataFrame) -> DataFrame:
     pt = F.broadcast(prevalence.select("topic", F.col("share").alias("pt")))
     j = topic_term.join(pt, "topic").withColumn("joint", F.col("p") * F.col("pt"))
-    return j.withColumn("ptw", F.col("joint") / F.sum("joint").over(Window.partitionBy("term")))
+    total = F.nullif(F.sum("joint").over(Window.partitionBy("term")), F.lit(0.0))
+    return j.withColumn("ptw", F.coalesce(F.col("joint") / total, F.lit(0.0)))
 
 
 def term_saliency(topic_term: DataFrame, prevalence: DataFrame, term_freq: DataFrame,
@@ -90,12 +92,12 @@ def term_saliency(topic_term: DataFrame, prevalence: DataFrame, term_freq: DataF
 def term_relevance(topic_term: DataFrame, term_freq: DataFrame, lam: float = 0.6,
                    n: int | None = 30) -> DataFrame:
     """``(topic, term, relevance, rank)``: lam ln p(w|t) + (1-lam) ln(p(w|t)/p(w))
-    (Sievert and Shirley 2014); top ``n`` per topic."""
+    (Sievert and Shirley 2014); top ``n`` per topic, or every term without ``rank`` (``n=None``)."""
     j = topic_term.filter(F.col("p") > 0).join(_p_term(term_freq), "term")
     rel = j.select("topic", "term",
                    (F.lit(lam) * F.log("p") + F.lit(1.0 - lam) * F.log(F.col("p") / F.col("pw")))
                    .alias("relevance"))
-    return top_terms(rel, n or 1 << 30, weight="relevance")
+    return top_terms(rel, n, weight="relevance") if n else rel
 
 
 def topic_distance(topic_term: DataFrame) -> DataFrame:

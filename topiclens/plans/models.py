@@ -18,10 +18,6 @@ from pyspark.sql import functions as F
 from ..operators import topics as TP
 from ..session import ensure_checkpoint_dir
 
-# A d x d covariance lives on the driver: refuse dimensions above this.
-MAX_PCA_DIM = 10_000
-
-
 def checkpointed(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the session's shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -72,22 +68,20 @@ def log2_idf(vocab_ids: DataFrame, n_docs: int) -> list[float]:
 
 
 def lda_fit(vectors: DataFrame, k: int, seed: int = 16, max_iter: int = 50, features: str = "features",
-            optimizer: str = "online", num_partitions: int | None = None):
+            optimizer: str = "online", passes: float = 1.0):
     """M8: LDA with library-default-like settings: alpha = eta = 1/k, online optimizer.
 
-    The input is repartitioned to a fixed count and checkpointed so that the same seed
-    gives the same model.
+    Every iteration draws ``passes`` times as many documents as the corpus has (all of it by
+    default), from partitions of the input's own size, so the share of documents that no
+    iteration draws is about exp(-passes * max_iter), whatever the corpus.  The input is
+    checkpointed, so that the same seed gives the same model.
     """
-    data = vectors.select(features)
-    if num_partitions:
-        data = data.repartition(num_partitions)
-    data = checkpointed(data)
-    n = data.count()
+    data = checkpointed(vectors.select(features))
     lda = LDA(k=k, seed=seed, maxIter=max_iter, optimizer=optimizer, featuresCol=features)
     if optimizer == "online":
         # symmetric 1/k priors; EM needs priors > 1 and keeps Spark's automatic choice
         lda.setDocConcentration([1.0 / k]).setTopicConcentration(1.0 / k)
-        lda.setSubsamplingRate(min(1.0, 2000.0 / max(n, 1)))
+        lda.setSubsamplingRate(min(1.0, passes))
     return lda.fit(data)
 
 
@@ -164,30 +158,29 @@ def standard_scale(df: DataFrame, features: str = "features", out: str = "scaled
 
 def pca_reduce(df: DataFrame, n_components: int | float, features: str = "features",
                out: str = "pca", scale: bool = True, name_prefix: str | None = "C") -> DataFrame:
-    """M2/M3: PCA after standard scaling; ``n_components`` is a count or a variance fraction.
+    """M2/M3: PCA after scaling by the population std; ``n_components`` is a count or a variance fraction.
 
-    Signs are fixed so that each component's largest-magnitude loading is positive.
+    Signs are fixed so that each component's largest-magnitude loading is positive.  A variance
+    fraction takes the leading components of one full fit.
     """
     dim = len(df.select(features).first()[0])
-    if dim > MAX_PCA_DIM:
-        raise ValueError(f"dimension {dim} > {MAX_PCA_DIM}: the covariance would not fit the driver")
-    data = standard_scale(df, features, "_scaled") if scale else df.withColumn("_scaled", F.col(features))
+    data = standard_scale(df, features, "_scaled", ddof=0) if scale else df.withColumn("_scaled", F.col(features))
     data = checkpointed(data)
     if isinstance(n_components, float) and n_components < 1:
-        full = PCA(k=dim, inputCol="_scaled", outputCol="_p").fit(data)
+        model = PCA(k=dim, inputCol="_scaled", outputCol="_p").fit(data)
         cum, k = 0.0, dim
-        for i, v in enumerate(full.explainedVariance.toArray()):
+        for i, v in enumerate(model.explainedVariance.toArray()):
             cum += v
             if cum >= n_components:
                 k = i + 1
                 break
     else:
         k = int(n_components)
-    model = PCA(k=k, inputCol="_scaled", outputCol="_p").fit(data)
+        model = PCA(k=k, inputCol="_scaled", outputCol="_p").fit(data)
     pc = model.pc.toArray()
     signs = [1.0 if pc[abs(pc[:, j]).argmax(), j] >= 0 else -1.0 for j in range(k)]
     res = model.transform(data).withColumn(
-        out, F.transform(vector_to_array("_p"), lambda x, i: x * F.element_at(F.array(*[F.lit(s) for s in signs]), i + 1)))
+        out, F.transform(F.slice(vector_to_array("_p"), 1, k), lambda x, i: x * F.element_at(F.array(*[F.lit(s) for s in signs]), i + 1)))
     res = res.drop("_p", "_scaled")
     if name_prefix:
         res = res.select(*[c for c in res.columns if c != out],
@@ -213,7 +206,7 @@ def project_2d(df: DataFrame, features: str = "features", id_col: str = "id") ->
     return p.select(id_col, F.col("pca")[0].alias("x"), F.col("pca")[1].alias("y"))
 
 
-def kmeans_best_of(df: DataFrame, k: int, n_init: int = 5, seed: int = 16, features: str = "features",
+def kmeans_best_of(df: DataFrame, k: int, n_init: int = 30, seed: int = 16, features: str = "features",
                    max_iter: int = 100):
     """M4: ``n_init`` KMeans fits with seeds ``seed..seed+n_init-1``; keep the lowest cost.
 
@@ -236,7 +229,7 @@ def centroid_table(model, spark) -> DataFrame:
     return spark.createDataFrame(rows, "word_id int, centroid array<double>")
 
 
-def visual_dictionary(descriptors: DataFrame, n_words="sqrt", seed: int = 16, n_init: int = 3,
+def visual_dictionary(descriptors: DataFrame, n_words="sqrt", seed: int = 16, n_init: int = 15,
                       fit_fraction: float | None = None, vec_col: str = "descriptor"):
     """M5: KMeans dictionary of visual words; ``n_words="sqrt"`` = floor(sqrt(#descriptors)).
 

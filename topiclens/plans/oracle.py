@@ -229,6 +229,12 @@ named AS (SELECT p.lang, f.term, p.score, row_number() OVER (PARTITION BY p.lang
 SELECT lang, CAST(rk AS INTEGER) AS "rank", term, round(score, 6) AS score FROM named WHERE rk <= 10""",
         "vector_lookup": f"WITH {_tfidf_cte()} SELECT doc_id, term_id, round(weight, 6) AS weight FROM tfidf "
                          "WHERE doc_id = (SELECT min(doc_id) FROM documents)",
+        "sparse_vectors": f"WITH {_tfidf_cte()} SELECT d.doc_id, CAST(count(t.term_id) AS INTEGER) AS n_terms, "
+                          "coalesce(string_agg(CAST(t.term_id AS VARCHAR), ',' ORDER BY t.term_id), '') AS indices, "
+                          "round(coalesce(sum(t.weight), 0), 6) AS total_weight FROM documents d "
+                          "LEFT JOIN tfidf t ON t.doc_id = d.doc_id GROUP BY d.doc_id",
+        "nonzero_counts": f"WITH {_tfidf_cte()} SELECT term_id, count(*) AS n_rows, "
+                          "count(*) FILTER (WHERE weight > 0) AS n_nonzero FROM tfidf GROUP BY term_id",
         "sparse_to_wide": f"WITH {_tfidf_cte(20)} SELECT d.doc_id, {wide_cols} FROM documents d "
                           "LEFT JOIN tfidf t ON t.doc_id = d.doc_id GROUP BY d.doc_id",
     }
@@ -242,7 +248,7 @@ PROXY = f"""{COUNTS},
 known AS (SELECT term FROM vocab WHERE df >= 5),
 kc AS (SELECT c.doc_id, c.term, c.tf, d.lang AS topic FROM counts c JOIN known USING (term) JOIN doc_tokens d USING (doc_id)),
 per AS (SELECT topic, term, sum(tf) AS c FROM kc GROUP BY topic, term),
-tt AS (SELECT topic, term, round(c / sum(c) OVER (PARTITION BY topic), 12) AS p FROM per),
+tt AS (SELECT topic, term, c / sum(c) OVER (PARTITION BY topic) AS p FROM per),
 doc_len AS (SELECT doc_id, sum(tf) AS n_tokens FROM kc GROUP BY doc_id),
 prev AS (SELECT topic, size, size / sum(size) OVER () AS share FROM (
     SELECT d.lang AS topic, CAST(sum(1.0::DOUBLE * l.n_tokens) AS DOUBLE) AS size
@@ -407,21 +413,27 @@ def _suggest_types() -> str:
             continue
         is_float = t == "DOUBLE"
         ii = f"coalesce(bool_and({c} = floor({c})), true)" if is_float else "true"
-        ff = f"coalesce(bool_and(CAST(CAST({c} AS FLOAT) AS DOUBLE) = {c}), true)" if is_float else "true"
+        # a candidate type wins only if strictly smaller than the best so far, in the order
+        # unsigned, signed, float32; exact float32 matters for 8-byte columns alone
+        ff = (f"coalesce(bool_and(CAST(CAST({c} AS FLOAT) AS DOUBLE) = {c}), true)"
+              if t in ("DOUBLE", "BIGINT") else "false")
         stats = (f"(SELECT min({c})::DOUBLE AS mn, max({c})::DOUBLE AS mx, count(*) FILTER (WHERE {c} IS NULL) AS nn, "
                  f"{ii} AS ii, {ff} AS ff FROM lineitem)")
-        signed_np = ("CASE WHEN mn >= -128 AND mx <= 127 THEN 'int8' WHEN mn >= -32768 AND mx <= 32767 THEN 'int16' "
-                     "WHEN mn >= -2147483648 AND mx <= 2147483647 THEN 'int32' ELSE 'int64' END")
         signed_sp = ("CASE WHEN mn >= -128 AND mx <= 127 THEN 'TINYINT' WHEN mn >= -32768 AND mx <= 32767 THEN 'SMALLINT' "
                      "WHEN mn >= -2147483648 AND mx <= 2147483647 THEN 'INT' ELSE 'BIGINT' END")
-        unsigned = ("CASE WHEN mx <= 255 THEN 'uint8' WHEN mx <= 65535 THEN 'uint16' "
-                    "WHEN mx <= 4294967295 THEN 'uint32' ELSE 'uint64' END")
         keep = _NP[t]
-        float_np = f"CASE WHEN ff AND {str(is_float).lower()} THEN 'float32' ELSE '{keep}' END"
+        own = {"DOUBLE": 8, "BIGINT": 8, "INT": 4, "FLOAT": 4, "SMALLINT": 2, "TINYINT": 1}[t]
+        uw = "CASE WHEN NOT ii OR mn < 0 THEN 99 WHEN mx <= 255 THEN 1 WHEN mx <= 65535 THEN 2 WHEN mx <= 4294967295 THEN 4 ELSE 8 END"
+        sw = ("CASE WHEN NOT ii THEN 99 WHEN mn >= -128 AND mx <= 127 THEN 1 WHEN mn >= -32768 AND mx <= 32767 THEN 2 "
+              "WHEN mn >= -2147483648 AND mx <= 2147483647 THEN 4 ELSE 8 END")
+        fw = "CASE WHEN ff THEN 4 ELSE 99 END"
+        numpy = (f"CASE WHEN least({uw}, {sw}, {fw}) >= {own} THEN '{keep}' "
+                 f"WHEN {uw} <= least({sw}, {fw}) THEN 'uint' || CAST(8 * {uw} AS VARCHAR) "
+                 f"WHEN {sw} <= {fw} THEN 'int' || CAST(8 * {sw} AS VARCHAR) ELSE 'float32' END")
         float_sp = f"CASE WHEN ff AND {str(is_float).lower()} THEN 'FLOAT' ELSE '{t}' END"
         parts.append(
             f"{head}, CASE WHEN nn > 0 THEN '{keep}' WHEN mn IS NULL THEN '{keep}' "
-            f"WHEN ii THEN (CASE WHEN mn >= 0 THEN {unsigned} ELSE {signed_np} END) ELSE {float_np} END AS numpy_type, "
+            f"ELSE {numpy} END AS numpy_type, "
             f"CASE WHEN nn > 0 THEN '{t}' WHEN mn IS NULL THEN '{t}' WHEN ii THEN {signed_sp} ELSE {float_sp} END "
             f"AS suggested_type FROM {stats}")
     return "\nUNION ALL\n".join(parts)

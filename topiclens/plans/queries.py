@@ -32,6 +32,7 @@ WIDE_KEEP_N = 20
 TOP_TERMS = 10
 COHERENCE_TOP = 20
 RELEVANCE_LAMBDA = 0.6
+LDA_ITERATIONS = 10  # each over the whole corpus
 REV_SIZE = 1000
 
 
@@ -235,9 +236,11 @@ def tfidf_top_terms(spark, d):
 
 
 def vector_lookup(spark, d):
-    _, _, w = _tfidf(spark, d)
+    _, counts, n_docs, vocab = _corpus(spark, d)
     first = _t(spark, d, "documents").agg(F.min("doc_id").alias("doc_id"))
-    return w.join(first, "doc_id").select("doc_id", "term_id", F.round("weight", 6).alias("weight"))
+    own = counts.join(F.broadcast(first), "doc_id", "left_semi")  # one id: only its rows are weighted
+    w = VO.tfidf(VO.bag_of_words(own, vocab, KEEP_N), vocab, n_docs, "nfc", KEEP_N)
+    return w.select("doc_id", "term_id", F.round("weight", 6).alias("weight"))
 
 
 def sparse_to_wide(spark, d):
@@ -246,6 +249,20 @@ def sparse_to_wide(spark, d):
     return wide.select("doc_id", *[F.round(f"w{i}", 6).alias(f"w{i}") for i in range(WIDE_KEEP_N)])
 
 
+def sparse_vectors(spark, d):
+    """R3 over the whole vocabulary: one sparse vector per document."""
+    toks, _, w = _tfidf(spark, d)
+    v = CU.long_to_vector(w, "doc_id", "term_id", "weight", rows=toks)
+    return v.select("doc_id", F.size("indices").alias("n_terms"), F.array_join("indices", ",").alias("indices"),
+                    F.round(F.aggregate("weights", F.lit(0.0), lambda a, x: a + x), 6).alias("total_weight"))
+
+
+def nonzero_counts(spark, d):
+    """Documents and documents with a positive weight, per term."""
+    _, vocab, w = _tfidf(spark, d)
+    return VO.nonzero_counts(w, "term_id", "weight")
+
+
 # ---------------------------------------------------------------------------
 # Topic diagnostics on a proxy model (topic = language)
 # ---------------------------------------------------------------------------
@@ -265,7 +282,7 @@ def _proxy_model(spark, d):
     per = kc.groupBy("topic", "term").agg(F.sum("tf").alias("c"))
     totals = F.broadcast(per.groupBy("topic").agg(F.sum("c").alias("_total")))
     topic_term = materialize(per.join(totals, "topic").select(
-        "topic", "term", F.round(F.col("c") / F.col("_total"), 12).alias("p")))
+        "topic", "term", (F.col("c") / F.col("_total")).alias("p")))
     doc_topic = langs.select("doc_id", "topic", F.lit(1.0).alias("p"))
     doc_len = kc.groupBy("doc_id").agg(F.sum("tf").alias("n_tokens"))
     term_freq = TP.term_frequency(kc)
@@ -309,7 +326,7 @@ def term_saliency(spark, d):
 def term_relevance(spark, d):
     m = _proxy_model(spark, d)
     r = TP.term_relevance(m["topic_term"], m["term_freq"], RELEVANCE_LAMBDA, n=None)
-    r = r.drop("rank").withColumn("relevance", F.round("relevance", 10))
+    r = r.withColumn("relevance", F.round("relevance", 10))
     top = TP.top_terms(r, 30, weight="relevance")
     return top.select("topic", "rank", "term", F.round("relevance", 6).alias("relevance"))
 
@@ -342,9 +359,7 @@ def standard_scale(spark, d):
 
 
 def covariance(spark, d):
-    long = CU.explode_vector(SI.embeddings_double(spark, d), "vec_id", "vec")
-    dims = _t(spark, d, "embeddings").select(F.max(F.size("embedding"))).first()[0]
-    return CU.covariance_long(long, int(dims)).select("dim_i", "dim_j", F.round("cov", 6).alias("cov"))
+    return CU.covariance(SI.embeddings_double(spark, d), "vec").select("dim_i", "dim_j", F.round("cov", 6).alias("cov"))
 
 
 def _assigned(spark, d):
@@ -462,7 +477,7 @@ def center_channels(spark, d):
 # ---------------------------------------------------------------------------
 
 
-def _lda_inputs(spark, d, keep_n=2000):
+def _lda_inputs(spark, d, keep_n=KEEP_N):
     from . import models as MD
 
     toks, counts, n_docs, vocab = _corpus(spark, d, keep_n)
@@ -478,7 +493,7 @@ def lda_topics(spark, d):
     from . import models as MD
 
     vec, terms, _, _ = _lda_inputs(spark, d)
-    model = MD.lda_fit(vec, 3, seed=SEED, max_iter=20, num_partitions=4)
+    model = MD.lda_fit(vec, 3, seed=SEED, max_iter=LDA_ITERATIONS)
     return MD.describe_topics(model, terms, 10)
 
 
@@ -486,7 +501,7 @@ def doc_topics(spark, d):
     from . import models as MD
 
     vec, _, _, _ = _lda_inputs(spark, d)
-    model = MD.lda_fit(vec, 3, seed=SEED, max_iter=20, num_partitions=4)
+    model = MD.lda_fit(vec, 3, seed=SEED, max_iter=LDA_ITERATIONS)
     return MD.doc_topics(model, vec)
 
 
@@ -494,14 +509,14 @@ def coherence_sweep(spark, d):
     from . import models as MD
 
     vec, terms, doc_terms, n_docs = _lda_inputs(spark, d)
-    return MD.coherence_sweep(vec, terms, doc_terms, n_docs, [3, 4, 5], seed=SEED, max_iter=15)
+    return MD.coherence_sweep(vec, terms, doc_terms, n_docs, [3, 4, 5], seed=SEED, max_iter=LDA_ITERATIONS)
 
 
 def topic_report(spark, d):
     from . import models as MD
 
     vec, terms, doc_terms, n_docs = _lda_inputs(spark, d)
-    model = MD.lda_fit(vec, 4, seed=SEED, max_iter=20, num_partitions=4)
+    model = MD.lda_fit(vec, 4, seed=SEED, max_iter=LDA_ITERATIONS)
     return MD.topic_report(model, terms, doc_terms, n_docs, n=40)
 
 
@@ -534,7 +549,7 @@ def kmeans_best_of(spark, d):
 
     f = _features(spark, d)
     k = f.select(F.count_distinct("label")).first()[0]
-    model, _ = MD.kmeans_best_of(f, k, n_init=3, seed=SEED)
+    model, _ = MD.kmeans_best_of(f, k, n_init=30, seed=SEED)
     pred = model.transform(f).select("vec_id", "label", F.col("prediction").alias("cluster"))
     return CU.label_codes(pred, "label")
 
@@ -543,7 +558,7 @@ def visual_dictionary(spark, d):
     from . import models as MD
 
     desc = SI.descriptors(spark, d)
-    model = MD.visual_dictionary(desc, "sqrt", seed=SEED, n_init=2)
+    model = MD.visual_dictionary(desc, "sqrt", seed=SEED, n_init=15)
     return MD.centroid_table(model, spark)
 
 
@@ -597,6 +612,7 @@ def load_images(spark, d):
 
 
 ORACLE_QUERIES = [
+    sparse_vectors, nonzero_counts,
     json_roundtrip, contains_ci_filter, inlist_filter, semi_join_reviews, load_reviews_lineitem,
     load_reviews_text, photo_meta, photos_available, retention_manifest, stratified_sample, chunk_sample,
     sample_n, lower_strip, remove_url, remove_escapes, find_repeated, drop_repeated, drop_repeated_double,

@@ -116,7 +116,9 @@ class RepeatedCharCorrector(Transformer, _Stage):
 
 
 class TokenCleaner(Transformer, _Stage):
-    """T8 on ``(doc_id, tokens)``: returns ``(doc_id, tokens, text)`` of the kept lemmas."""
+    """T8 on ``(doc_id, tokens)``: returns ``(doc_id, tokens, text)`` of the kept lemmas.
+
+    Parts of speech come from the lexicon; asking for ``posToKeep`` without one is an error."""
 
     stopWords = Param(Params._dummy(), "stopWords", "stop words", TypeConverters.toListString)
     customStopWords = Param(Params._dummy(), "customStopWords", "lemmas to drop", TypeConverters.toListString)
@@ -133,6 +135,8 @@ class TokenCleaner(Transformer, _Stage):
         spark = df.sparkSession
         lex = spark.read.parquet(self.getOrDefault(self.lexiconPath)) if self.isSet(self.lexiconPath) else None
         custom = self.getOrDefault(self.customStopWords)
+        if lex is None and self.isSet(self.posToKeep) and self.getOrDefault(self.posToKeep):
+            raise ValueError("posToKeep needs a lexicon (lexiconPath) that gives the parts of speech")
         if lex is None:  # no lemmas or parts of speech: filter each token array in place
             kept = CL.clean_token_arrays(df.select("doc_id", "tokens"), "tokens",
                                          self.getOrDefault(self.stopWords), custom)
@@ -313,15 +317,16 @@ class DescriptorExtractor(Transformer, _Stage):
 
 class VisualWords(Estimator, HasSeed, _Stage):
     """M5 + A6: ``fit`` clusters descriptors into visual words; the model gives per-image
-    counts ``(image_id, word_id, cnt)``."""
+    counts ``(image_id, word_id, cnt)``.  An image whose descriptor is null (none was found) keeps
+    one row with a null ``word_id`` and count 0."""
 
     nWords = Param(Params._dummy(), "nWords", "word count, 0 = floor(sqrt(#descriptors))", TypeConverters.toInt)
     nInit = Param(Params._dummy(), "nInit", "KMeans restarts", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, nWords=0, nInit=3, seed=16):
+    def __init__(self, nWords=0, nInit=15, seed=16):
         super().__init__()
-        self._setDefault(nWords=0, nInit=3, seed=16)
+        self._setDefault(nWords=0, nInit=15, seed=16)
         self._set_kw(self._input_kwargs)
 
     def _fit(self, df):
@@ -348,16 +353,23 @@ class VisualWordsModel(Model, _Stage):
         return spark.createDataFrame(rows, "word_id int, centroid array<double>")
 
     def _transform(self, df):
-        assigned = CU.nearest_centroid(df, self.centroid_table(df.sparkSession), "descriptor", round_to=None)
-        return CU.bovw_histogram(assigned)
+        some = df.filter("descriptor is not null")
+        assigned = CU.nearest_centroid(some, self.centroid_table(df.sparkSession), "descriptor", round_to=None)
+        found = CU.bovw_histogram(assigned)
+        empty = df.select("image_id").distinct().join(found.select("image_id").distinct(), "image_id", "left_anti")
+        none = empty.select("image_id", F.lit(None).cast(found.schema["word_id"].dataType).alias("word_id"),
+                            F.lit(0).cast("long").alias("cnt"))
+        return found.unionByName(none)
 
 
 class TfidfWeighter(Estimator, _Stage):
-    """A5: ``fit`` counts images per word and images; the model weights ``(image_id, word_id, cnt)``."""
+    """A5: ``fit`` counts images per word and all images, those without a word (null ``word_id``)
+    included; the model weights ``(image_id, word_id, cnt)``."""
 
     def _fit(self, df):
         n = df.select("image_id").distinct().count()
-        rows = df.groupBy("word_id").agg(F.count_distinct("image_id").alias("df")).collect()
+        rows = (df.filter("word_id is not null").groupBy("word_id")
+                .agg(F.count_distinct("image_id").alias("df")).collect())
         return TfidfWeighterModel(wordIds=[int(r[0]) for r in rows], dfs=[int(r[1]) for r in rows], nImages=n)
 
 

@@ -36,8 +36,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the operator sets it to a shared file system; here we only fill it
-    in when nobody did (tests, local runs).
+    On a cluster it must be set to a shared file system.  Only a local master (tests, the
+    bench), where driver and executors are one process, gets a folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -45,6 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="topiclens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
