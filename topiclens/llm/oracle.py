@@ -49,4 +49,71 @@ SELECT page_id, host, path, best.rule AS rule, pattern,
        coalesce(best.action, CASE WHEN pattern IS NULL OR pattern = '||spam-farm.*/about^' THEN 'allow' ELSE 'block' END) AS verdict
 FROM n"""
 
-SQL: dict[str, str] = {"op8_url_filters": URL_FILTERS}
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+# Words by position, 13-word windows, the smallest document of each window, covered words.
+SUBSTRING_DEDUP = rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+firsts AS (SELECT k, min(doc_id) AS least FROM win GROUP BY k HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, i + o AS i FROM win JOIN firsts USING (k) CROSS JOIN range(0, 13) r(o)
+         WHERE doc_id > least),
+word AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS x FROM d),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(lost.n, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)"""
+
+
+def quality_rules() -> str:
+    """The base counts and the line rules; lists and limits come from the operator's parameters."""
+    from .quality_rules import BOILERPLATE, CLOSING, NAVIGATION, Rules
+
+    r = Rules()
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    low = f"translate(line, '{upper}', '{upper.lower()}')"
+    phrases = " OR ".join(f"contains({low}, '{x}')" for x in BOILERPLATE)
+    labels = ", ".join(f"'{x}'" for x in NAVIGATION)
+    closing = ", ".join(f"'{b:02X}'" for b in CLOSING)
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + {r.repeat_width - 1}], ' ') AS k
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - {r.repeat_width - 2})) AS i FROM d)),
+twice AS (SELECT doc_id, k FROM win GROUP BY doc_id, k HAVING count(*) > 1),
+rep AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM win JOIN twice USING (doc_id, k)
+        CROSS JOIN range(0, {r.repeat_width}) s(o) GROUP BY doc_id),
+split AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                 unnest(range(0, len(string_split(text, chr(10))))) AS pos, len(string_split(text, chr(10))) AS lines FROM d),
+l AS (SELECT *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS lw FROM split),
+m AS (SELECT *, len(lw) AS n,
+        length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) AS symbols,
+        len(list_filter(lw, lambda x: x IN ('|', '>', '/', '»', '•', '·'))) AS bars,
+        length(regexp_replace(line, '[^A-Za-z]', '', 'g')) AS letters,
+        length(regexp_replace(line, '[^A-Z]', '', 'g')) AS uppers,
+        len(list_filter(lw, lambda x: ends_with(x, '!!') OR ends_with(x, '??'))) AS marked,
+        array_to_string(list_transform(lw, lambda x: translate(x, '{upper}', '{upper.lower()}')), ' ') AS flat
+      FROM l WHERE len(lw) > 0),
+f AS (SELECT doc_id, line, n, symbols > {r.max_symbols_per_word} * n
+        OR (bars >= {r.min_separators} AND bars > {r.max_separator_share} * n)
+        OR flat IN ({labels})
+        OR (n >= {r.min_shout_words} AND letters > 0 AND uppers > {r.min_shout_share} * letters)
+        OR (n >= 2 AND marked > {r.max_repeated_marks} * n)
+        OR ({phrases})
+        OR (n BETWEEN {r.min_unclosed_words} AND {r.max_unclosed_words} AND pos < lines - 1
+            AND right(hex(encode(lw[-1])), 2) NOT IN ({closing})) AS failed FROM m),
+g AS (SELECT doc_id, coalesce(sum(n) FILTER (WHERE failed), 0)::BIGINT AS lost,
+             (count(*) - count(DISTINCT line))::BIGINT AS dups FROM f GROUP BY doc_id),
+b AS (SELECT d.doc_id, len(w)::BIGINT AS n_words,
+        coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+        coalesce(dups, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
+        coalesce(lost, 0)::BIGINT AS n_lost_words
+      FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN g USING (doc_id)),
+c AS (SELECT *, n_words < {r.min_words} OR 100 * n_repeat_words > {r.max_repeat_percent} * n_words AS base_failed FROM b)
+SELECT *, NOT base_failed AND n_lost_words <= {r.max_lost} * n_words AS kept FROM c"""
+
+
+SQL: dict[str, str] = {"op3_quality_rules": quality_rules(), "op6_substring_dedup": SUBSTRING_DEDUP,
+                       "op8_url_filters": URL_FILTERS}
