@@ -110,3 +110,44 @@ def test_shared_folder_is_required_on_a_cluster(monkeypatch):
                            conf=SimpleNamespace(get=lambda *a: None))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(fake)
+
+
+def test_rectangular_blur(spark):
+    from topiclens.operators import images as IO
+
+    img = spark.createDataFrame([(1, 3, 4, 1, list(range(0, 120, 10)))],
+                                "image_id long, height int, width int, n_channels int, pixels array<int>")
+    x = np.arange(0, 120, 10, dtype=float).reshape(3, 4)
+    k = IO.gaussian_kernel(3, 0.0)
+    padded = np.pad(x, ((0, 0), (1, 1)), mode="reflect")
+    want = sum(k[i] * padded[:, i:i + 4] for i in range(3))
+    got = IO.blur_values(img, (3, 1)).first()["values"]
+    assert np.allclose(np.array(got).reshape(3, 4), want)
+    staged = ST.Blurer(ksize=3).transform(img).first()["pixels"]
+    assert staged == IO.blur_images(img, 3).first()["pixels"]
+
+
+def test_scaled_pca_keeps_the_asked_variance(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(80, 4)) @ np.diag([5, 1, 1, 1])
+    x[:, 1] = x[:, 0] + 0.1 * x[:, 1]
+    df = spark.createDataFrame([(r.tolist(),) for r in x], "v array<double>").select(array_to_vector("v").alias("features"))
+    model = ST.ScaledPCA(nComponents=0.7).fit(df)
+    z = (x - x.mean(0)) / x.std(0)
+    ratios = np.sort(np.linalg.eigvalsh(np.cov(z.T)))[::-1]
+    k = int((np.cumsum(ratios / ratios.sum()) < 0.7).sum()) + 1
+    assert model.transform(df).first()["pca"].size == k
+    model.write().overwrite().save(str(tmp_path / "pca"))
+    assert PipelineModel.load(str(tmp_path / "pca")).transform(df).first()["pca"].size == k
+    assert ST.ScaledPCA(nComponents=3.0).fit(df).transform(df).first()["pca"].size == 3
+
+
+def test_images_loader(spark):
+    from topiclens.plans import queries as Q
+
+    folder = Q.write_patch_pngs(spark, "/root/testdata/sf0.001")
+    photos = spark.createDataFrame([("0",), ("1",), ("none",)], "photo_id string")
+    rows = ST.ImagesLoader(photosDir=folder, suffix=".png").transform(photos).collect()
+    assert sorted(r["image_id"] for r in rows) == ["0", "1"] and all(len(r["pixels"]) == 64 for r in rows)

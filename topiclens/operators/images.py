@@ -116,14 +116,20 @@ def _equalize_np(img: np.ndarray) -> np.ndarray:
     return lut[img]
 
 
-def _blur_np(img: np.ndarray, ksize: int, sigma: float, border: str) -> np.ndarray:
-    k = np.array(gaussian_kernel(ksize, sigma))
-    r = ksize // 2
+def kernel_size(ksize) -> tuple[int, int]:
+    """``(width, height)`` of a kernel given as one odd number or as that pair."""
+    width, height = (ksize, ksize) if isinstance(ksize, int) else (int(ksize[0]), int(ksize[-1]))
+    return width, height
+
+
+def _blur_np(img: np.ndarray, ksize, sigma: float, border: str) -> np.ndarray:
+    kw, kh = kernel_size(ksize)
+    across, down = np.array(gaussian_kernel(kw, sigma)), np.array(gaussian_kernel(kh, sigma))
     mode = "reflect" if border == "reflect_101" else "symmetric"
-    padded = np.pad(img.astype(np.float64), r, mode=mode)
+    padded = np.pad(img.astype(np.float64), ((kh // 2,) * 2, (kw // 2,) * 2), mode=mode)
     h, w = img.shape
-    tmp = sum(k[i] * padded[i:i + h, :] for i in range(ksize))
-    return sum(k[i] * tmp[:, i:i + w] for i in range(ksize))
+    tmp = sum(down[i] * padded[i:i + h, :] for i in range(kh))
+    return sum(across[i] * tmp[:, i:i + w] for i in range(kw))
 
 
 def _map_gray(images: DataFrame, fn) -> DataFrame:
@@ -145,8 +151,24 @@ def equalize_images(images: DataFrame) -> DataFrame:
     return _map_gray(images, _equalize_np)
 
 
-def blur_images(images: DataFrame, ksize: int, sigma: float = 0.0, border: str = "reflect_101") -> DataFrame:
-    """I3 on one-row-per-image gray images; output rounded half up and clipped to 0-255."""
+def blur_values(images: DataFrame, ksize, sigma: float = 0.0, border: str = "reflect_101") -> DataFrame:
+    """I3 before rounding: ``(image_id, height, width, values)`` with ``values`` an array of doubles."""
+    def run(batches):
+        for pdf in batches:
+            out = pdf[["image_id", "height", "width"]].copy()
+            out["values"] = [_blur_np(np.asarray(px, dtype=np.int32).reshape(int(h), int(w)), ksize, sigma, border)
+                             .ravel().tolist() for h, w, px in zip(pdf["height"], pdf["width"], pdf["pixels"])]
+            yield out
+
+    given = images.select("image_id", "height", "width", "pixels")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields[:3])
+    return given.mapInPandas(run, kinds + ", values array<double>")
+
+
+def blur_images(images: DataFrame, ksize, sigma: float = 0.0, border: str = "reflect_101") -> DataFrame:
+    """I3 on one-row-per-image gray images; output rounded half up and clipped to 0-255.
+
+    ``ksize`` is one odd number or ``(width, height)``."""
     return _map_gray(images, lambda im: np.floor(_blur_np(im, ksize, sigma, border) + 0.5).clip(0, 255))
 
 

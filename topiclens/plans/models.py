@@ -263,6 +263,21 @@ def embed_images(images: DataFrame, make_predict_fn, dim: int, in_dim: int, batc
     return images.withColumn("embedding", udf(F.col(pixels).cast("array<float>")))
 
 
+def integer_projection_model(in_dim: int, out_dim: int):
+    """A network with a fixed weight table: ReLU(x W), W[i, j] = (7 i + 13 j) mod 11 - 5 (exact in float32)."""
+    def make():
+        import numpy as np
+
+        w = ((7 * np.arange(in_dim)[:, None] + 13 * np.arange(out_dim)[None, :]) % 11 - 5).astype(np.float32)
+
+        def predict(x):
+            return np.maximum(x.reshape(len(x), -1) @ w, 0.0)
+
+        return predict
+
+    return make
+
+
 def random_projection_model(in_dim: int, out_dim: int, seed: int = 16):
     """A small numpy stand-in network for :func:`embed_images`: ReLU(x W) with a seeded W."""
     def make():

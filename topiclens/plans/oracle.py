@@ -501,6 +501,18 @@ def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     for part in (_sources(), _text(), _vectors(), _topics(), _clusters(), _images()):
         out.update(part)
+    out["load_images"] = f"""WITH {GRAY} SELECT CAST(image_id AS VARCHAR) AS image_id, CAST(8 AS INTEGER) AS height,
+        CAST(8 AS INTEGER) AS width, CAST(1 AS INTEGER) AS n_channels,
+        string_agg(CAST(px AS VARCHAR), ',' ORDER BY i) AS pixels FROM gray GROUP BY image_id"""
+    # the stand-in network's weight table by its formula
+    out["embed_images"] = f"""WITH {GRAY}, unit AS (
+            SELECT image_id, j, greatest(0, sum(px * ((7 * i + 13 * j) % 11 - 5))) AS v
+            FROM gray CROSS JOIN range(0, 16) r(j) GROUP BY image_id, j)
+        SELECT image_id, string_agg(CAST(CAST(v AS BIGINT) AS VARCHAR), ',' ORDER BY j) AS embedding
+        FROM unit GROUP BY image_id"""
+    out["doc_topic_mass"] = f"""WITH {_tfidf_cte()} SELECT d.doc_id,
+        CASE WHEN count(t.term_id) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS mass
+        FROM documents d LEFT JOIN tfidf t ON t.doc_id = d.doc_id GROUP BY d.doc_id"""
     out["suggest_types"] = _suggest_types()
     return {k: v.strip() for k, v in out.items()}
 

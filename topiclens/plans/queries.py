@@ -447,11 +447,11 @@ def to_gray(spark, d):
 
 
 def equalize_hist(spark, d):
-    return IO.equalize_long(IO.pixels_long(SI.gray_patches(spark, d)))
+    return IO.pixels_long(IO.equalize_images(SI.gray_patches(spark, d)))
 
 
 def gaussian_blur(spark, d):
-    b = IO.blur_long(IO.pixels_long(SI.gray_patches(spark, d)), SI.PATCH, SI.PATCH, 3, 0.0)
+    b = IO.pixels_long(IO.blur_values(SI.gray_patches(spark, d), 3, 0.0), "values")
     return b.select("image_id", "y", "x", F.round("v", 6).alias("v"))
 
 
@@ -520,6 +520,11 @@ def topic_report(spark, d):
     return MD.topic_report(model, terms, doc_terms, n_docs, n=40)
 
 
+def doc_topic_mass(spark, d):
+    """Every document's topic probabilities add up to 1 (to 0 for one without a known term)."""
+    return doc_topics(spark, d).groupBy("doc_id").agg(F.round(F.sum("p"), 6).alias("mass"))
+
+
 def topic_map_2d(spark, d):
     m = _proxy_model(spark, d)
     return TP.topic_map_2d(TP.topic_distance(m["topic_term"]), TP.topic_prevalence(m["doc_topic"], m["doc_len"]))
@@ -570,7 +575,8 @@ def embed_images(spark, d):
     from . import models as MD
 
     g = SI.gray_patches(spark, d)
-    return MD.embed_images(g, MD.random_projection_model(64, 16), 16, 64).select("image_id", "embedding")
+    e = MD.embed_images(g, MD.integer_projection_model(64, 16), 16, 64)
+    return e.select("image_id", F.array_join(F.transform("embedding", lambda x: x.cast("long")), ",").alias("embedding"))
 
 
 def _png_bytes(width: int, height: int, gray_rows: list[list[int]]) -> bytes:
@@ -612,7 +618,7 @@ def load_images(spark, d):
 
 
 ORACLE_QUERIES = [
-    sparse_vectors, nonzero_counts,
+    sparse_vectors, nonzero_counts, embed_images, load_images, doc_topic_mass,
     json_roundtrip, contains_ci_filter, inlist_filter, semi_join_reviews, load_reviews_lineitem,
     load_reviews_text, photo_meta, photos_available, retention_manifest, stratified_sample, chunk_sample,
     sample_n, lower_strip, remove_url, remove_escapes, find_repeated, drop_repeated, drop_repeated_double,
@@ -625,7 +631,7 @@ ORACLE_QUERIES = [
 ]
 ROWS_ONLY_QUERIES = [
     pca_reduce, kmeans_best_of, visual_dictionary, lda_topics, doc_topics, coherence_sweep, topic_report,
-    topic_map_2d, project_2d, extract_descriptors, embed_images, load_images,
+    topic_map_2d, project_2d, extract_descriptors,
 ]
 
 

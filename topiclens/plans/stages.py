@@ -10,8 +10,9 @@ as stage parameters, which ``DefaultParamsWritable`` persists.
 from __future__ import annotations
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, Pipeline, Transformer
-from pyspark.ml.feature import PCA, StandardScaler
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
+from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, VectorSlicer
+from pyspark.ml.linalg import DenseVector
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, HasSeed, Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
@@ -222,6 +223,27 @@ class PhotoMetaLoader(Transformer, _Stage):
         return RD.with_photo_path(df, self.getOrDefault(self.photosDir))
 
 
+class ImagesLoader(Transformer, _Stage):
+    """S5 + I7: the photos' decoded images as rows ``(image_id, height, width, n_channels, pixels)``.
+
+    ``image_id`` is the file stem of the photo; photos without a readable file have no row."""
+
+    photosDir = Param(Params._dummy(), "photosDir", "photo folder", TypeConverters.toString)
+    suffix = Param(Params._dummy(), "suffix", "file name ending", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, photosDir=None, suffix=".jpg"):
+        super().__init__()
+        self._setDefault(suffix=".jpg")
+        self._set_kw(self._input_kwargs)
+
+    def _transform(self, df):
+        files = RD.load_images(df.sparkSession, self.getOrDefault(self.photosDir))
+        rows = files.select(RD.file_stem(RD.base_name("origin"), self.getOrDefault(self.suffix)).alias("image_id"),
+                            "height", "width", "n_channels", IM.image_bytes_to_array("data").alias("pixels"))
+        return rows.join(df.select(F.col("photo_id").cast("string").alias("image_id")).distinct(), "image_id", "left_semi")
+
+
 class StratifiedSampler(Transformer, HasSeed, _Stage):
     """J2 + W1: photos whose file is in ``photosDir`` (when set), then n per label."""
 
@@ -282,15 +304,18 @@ class Equalizer(Transformer, _Stage):
 class Blurer(Transformer, _Stage):
     """I3 on gray image rows."""
 
-    ksize = Param(Params._dummy(), "ksize", "odd kernel size", TypeConverters.toInt)
+    ksize = Param(Params._dummy(), "ksize", "odd kernel size, or width and height", TypeConverters.toListInt)
     sigma = Param(Params._dummy(), "sigma", "0: from ksize", TypeConverters.toFloat)
     borderType = Param(Params._dummy(), "borderType", "reflect_101 or reflect", TypeConverters.toString)
 
     @keyword_only
     def __init__(self, ksize=3, sigma=0.0, borderType="reflect_101"):
         super().__init__()
-        self._setDefault(ksize=3, sigma=0.0, borderType="reflect_101")
-        self._set_kw(self._input_kwargs)
+        self._setDefault(ksize=[3, 3], sigma=0.0, borderType="reflect_101")
+        given = dict(self._input_kwargs)
+        if isinstance(given.get("ksize"), int):
+            given["ksize"] = [given["ksize"]] * 2
+        self._set_kw(given)
 
     def _transform(self, df):
         return IO.blur_images(df, self.getOrDefault(self.ksize), self.getOrDefault(self.sigma),
@@ -397,6 +422,33 @@ def scaled_pca(k: int, input_col: str = "features", output_col: str = "pca") ->
                             PCA(k=k, inputCol="_scaled", outputCol=output_col)])
 
 
+class ScaledPCA(Estimator, _Stage):
+    """M1-M2 with a count or a variance fraction: ``fit`` scales by the population std, fits all
+    components once and keeps the leading ones; the model is a reusable, saveable pipeline."""
+
+    nComponents = Param(Params._dummy(), "nComponents", "components, or share of variance below 1", TypeConverters.toFloat)
+    inputCol = Param(Params._dummy(), "inputCol", "vector column", TypeConverters.toString)
+    outputCol = Param(Params._dummy(), "outputCol", "reduced vector column", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, nComponents=0.8, inputCol="features", outputCol="pca"):
+        super().__init__()
+        self._setDefault(nComponents=0.8, inputCol="features", outputCol="pca")
+        self._set_kw(self._input_kwargs)
+
+    def _fit(self, df):
+        source, want = self.getOrDefault(self.inputCol), self.getOrDefault(self.nComponents)
+        scaler = StandardScaler(withMean=True, withStd=True, inputCol=source, outputCol="_sample_scaled").fit(df)
+        n, dim = df.count(), scaler.mean.size
+        factor = (n / (n - 1)) ** 0.5 if n > 1 else 1.0  # sample to population standard deviation
+        population = ElementwiseProduct(scalingVec=DenseVector([factor] * dim), inputCol="_sample_scaled", outputCol="_scaled")
+        pca = PCA(k=dim, inputCol="_scaled", outputCol="_all").fit(population.transform(scaler.transform(df)))
+        ratios = pca.explainedVariance.toArray().cumsum()
+        k = min(dim, int((ratios < want).sum()) + 1) if want < 1 else min(dim, int(want))
+        first = VectorSlicer(inputCol="_all", outputCol=self.getOrDefault(self.outputCol), indices=list(range(k)))
+        return PipelineModel(stages=[scaler, population, pca, first])
+
+
 class ReviewSelector(Transformer, HasSeed, _Stage):
     """S7 on a reviews DataFrame: businesses from a parquet table, category, stars, size."""
 
