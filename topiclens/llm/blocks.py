@@ -37,3 +37,20 @@ def block_column(blocks: int, key: str = "doc_id", text: str = "text") -> Column
 def dealt(df: DataFrame, blocks: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``df`` with a column ``block``; the rows of a block land in one partition."""
     return df.select("*", block_column(blocks, key, text)).repartition("block")
+
+
+HOT_SHARE = 1 / 1024
+
+
+def lookup(left: DataFrame, right: DataFrame, key: str, rows: int, count: str = "n") -> DataFrame:
+    """Inner join of many rows with a table of one row per key, whose ``count`` says how many rows of ``left`` it has.
+
+    At most 1 / ``HOT_SHARE`` keys can hold more than that share of the rows, so they are
+    broadcast, with that proven bound, and their rows stay where they are; the rest, whose
+    groups are small, is joined by shuffle.  ``count`` is dropped.
+    """
+    hot = right.filter(F.col(count) > max(1.0, rows * HOT_SHARE)).drop(count)
+    cold = right.filter(F.col(count) <= max(1.0, rows * HOT_SHARE)).drop(count)
+    few = F.broadcast(hot)
+    rest = left.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return left.join(few, key).unionByName(rest.join(cold, key))
