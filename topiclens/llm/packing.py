@@ -59,7 +59,6 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [str(t) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.alphabet = _byte_alphabet()
         self.pieces: dict[str, list[int]] = {}
