@@ -28,9 +28,10 @@ from ..session import materialize
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3
 BLOCK_WORDS = 64
-CHUNK_ROWS = 4096
+CHUNK_ROWS = 512
 SEGMENT_SLOTS = 1 << 14
 SHARD_SLOTS = 1 << 14
+TASK_SLOTS = 1 << 17  # slots that one task expands
 ROUNDS = 12
 SEED = 20240607
 BROADCAST_SOURCES = 10_000  # above this many sources their table is joined by shuffle
@@ -107,7 +108,7 @@ def _placed(docs: DataFrame, targets: DataFrame, rows: int) -> DataFrame:
         .drop("_sid", "_of", "_start", "_own", "_chunk")
 
 
-def draws(targets: DataFrame, block_words: int = BLOCK_WORDS, cap: int = CAP) -> DataFrame:
+def draws(targets: DataFrame, words: int, block_words: int = BLOCK_WORDS, cap: int = CAP) -> DataFrame:
     """``sid, block, pass``: the blocks that the mix takes, one row per slot."""
     order = Window.partitionBy(F.lit(0)).orderBy("sid")
     sources = targets.filter("source_size > 0").select(
@@ -120,7 +121,9 @@ def draws(targets: DataFrame, block_words: int = BLOCK_WORDS, cap: int = CAP) ->
     segments = cut.select("sid", "slots", "from", "to", F.explode(F.sequence(
         F.lit(0).cast("long"), F.floor((F.col("to") - F.col("from") - 1) / SEGMENT_SLOTS))).alias("segment"))
     low = F.col("from") + F.col("segment") * SEGMENT_SLOTS
-    strata = segments.repartition("sid", "segment").select(
+    # small rows that grow when expanded: the number of tasks follows the slots, not their bytes
+    tasks = max(1, math.ceil(words / block_words / TASK_SLOTS))
+    strata = segments.repartition(tasks, "sid", "segment").select(
         "sid", "slots", F.explode(F.sequence(low, F.least(low + SEGMENT_SLOTS, F.col("to")) - 1)).alias("stratum"))
     dealt = permuted(strata, "stratum", F.col("slots"), [], "slot")
     # how many slots of each output shard every source fills
@@ -129,7 +132,7 @@ def draws(targets: DataFrame, block_words: int = BLOCK_WORDS, cap: int = CAP) ->
     earlier = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     numbered = counts.withColumn("start", F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("long")))
     numbered = numbered.join(sources.select("sid", "blocks"), "sid")
-    slots = numbered.repartition("sid", "shard").select(
+    slots = numbered.repartition(tasks, "sid", "shard").select(
         "sid", "blocks", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("i"))
     slots = slots.withColumn("pass", F.floor(F.col("i") / F.col("blocks"))) \
         .filter(F.col("pass") < cap).withColumn("j", F.col("i") % F.col("blocks"))
@@ -156,9 +159,9 @@ def _sized(docs: DataFrame, extra: list[Column]) -> DataFrame:
 def _plan(sized: DataFrame, weights: tuple, cap: int, block_words: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     totals = materialize(totals, "mix_sources")
-    rows = totals.agg(F.sum("rows")).first()[0] or 0
+    rows, words = (x or 0 for x in totals.agg(F.sum("rows"), F.sum("source_size")).first())
     targets = materialize(source_targets(totals.drop("rows"), weights, cap), "mix_targets")
-    return targets, _placed(sized, targets, rows), draws(targets, block_words, cap)
+    return targets, _placed(sized, targets, rows), draws(targets, words, block_words, cap)
 
 
 def mix_sources(docs: DataFrame, weights: tuple = WEIGHTS, cap: int = CAP,
@@ -195,7 +198,7 @@ def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, cap: int = CAP,
     given = docs.toDF(*[f"c{i}" for i in range(len(names))])
     at = {n: f"c{i}" for i, n in enumerate(names)}
     packed = given.select(*[F.col(at[c]).alias(c) for c in ("doc_id", "text", "source")], F.struct("*").alias("row"))
-    sized = materialize(_sized(packed, [F.col("row")]), "mix_sizes")
+    sized = _sized(packed, [F.col("row")])  # not written: texts are written once, with their places
     _, placed, slots = _plan(sized, weights, cap, block_words)
     placed = materialize(placed, "mix_placed")
     runs = _parts(placed, block_words).join(slots, ["sid", "block"]).groupBy("sid", "pos", "pass").agg(
