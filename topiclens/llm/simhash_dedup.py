@@ -37,6 +37,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import materialize
 from .arrow_text import slices, texts_of
+from .blocks import lookup
 from .components import connected_components
 
 SHINGLE = 3
@@ -170,20 +171,21 @@ def simhash_dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_B
     read, so other columns may have any name.
     """
     prints = materialize(simhash(docs, shingle), "simhash")
-    return prints.join(_labels(prints, max_bits), "fp").select(
+    labels = materialize(_labels(prints, max_bits), "simhash_labels")
+    return lookup(prints, labels, "fp", prints.count()).select(
         "doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def _labels(prints: DataFrame, max_bits: int) -> DataFrame:
-    """``fp, component_id, head``: head marks the fingerprint whose document leads the component."""
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    """``fp, n, component_id, head``: n rows have the fingerprint; head marks the component's leading one."""
+    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
     found = connected_components(links(nodes.select("fp"), max_bits))
     labelled = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left") \
         .withColumn("component", F.coalesce("component", "fp"))
     lead = F.struct(F.col("least").isNull().alias("none"), F.col("least").alias("id"), F.col("fp").alias("fp"))
     heads = labelled.groupBy("component").agg(F.min(lead).alias("lead"))
     return labelled.join(heads, "component").select(
-        "fp", F.col("lead.id").alias("component_id"), (F.col("fp") == F.col("lead.fp")).alias("head"))
+        "fp", "n", F.col("lead.id").alias("component_id"), (F.col("fp") == F.col("lead.fp")).alias("head"))
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
