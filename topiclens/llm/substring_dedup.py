@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .arrow_text import Spans, span_hashes, texts_of, window_hashes, window_starts, words_of
-from .blocks import BLOCK_BYTES, block_count, dealt
+from .blocks import BLOCK_BYTES, block_count, dealt, lookup
 
 WINDOW = 13
 PERIOD = 7
@@ -236,9 +236,10 @@ def _later_copies(given: DataFrame) -> DataFrame:
     """A marked row (doc_id, SHA-256 of the text) per document whose text a smaller doc_id has."""
     prints = materialize(given.filter("doc_id is not null and text is not null")
                          .select("doc_id", F.sha2("text", 256).alias("text")), "copies")
-    first = prints.groupBy("text").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    first = first.filter("least < most").drop("most")
-    return (prints.join(first, "text").filter("doc_id > least")
+    first = prints.groupBy("text").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"),
+                                       F.count(F.lit(1)).alias("n"))
+    first = materialize(first.filter("least < most").drop("most"), "first_copies")
+    return (lookup(prints, first, "text", prints.count()).filter("doc_id > least")
             .select("doc_id", "text", F.lit(True).alias("mark")).distinct())
 
 
