@@ -89,3 +89,18 @@ def test_sanitise(spark):
 
 def test_empty_table(spark):
     assert digest(personal_spans(spark.createDataFrame([], "doc_id long, text string"))).collect() == []
+
+
+def test_disclosing_terms_change_in_the_whole_text_of_their_documents(spark):
+    filler = " and nothing else was said here" * 12
+    rows = disclosure_corpus()
+    rows[0] += filler + " Then Zebulon left; ZEBULON signed."
+    rows += [None, ""]
+    df = spark.createDataFrame([(None if i == 1 else i, t) for i, t in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in sanitise(df).collect()}
+    assert "zebulon" not in got[0].lower() and "<EMAIL>" in got[0] and filler in got[0]
+    assert "zebulon" not in got[None].lower()  # a null id is a value like others
+    spans = {r["doc_id"]: r["spans"] for r in digest(personal_spans(df)).collect()}
+    found = {(int(a), int(b)) for k, a, b in (s.split(":") for s in spans[0].split(",")) if k == "term"}
+    assert {(m.start(), m.end()) for m in re.finditer("(?i)zebulon", rows[0])} <= found
+    assert got[len(rows) - 3] == rows[-3]  # names the person without the address

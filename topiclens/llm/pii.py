@@ -10,8 +10,8 @@ term tells which entity is meant.  From counts over the whole corpus,
 and a term is disclosing when it stands near the entity in at least ``min_texts`` different
 texts, P(e | t) reaches ``generalise_at`` and the information is at least ``min_bits``.  Where it
 reaches ``remove_at`` the term is removed, below that generalised to its first letter.  Terms
-change only in documents that hold the entity, so a document without personal data is
-never touched.
+change at every place in the documents that hold the entity, near it or not; a document
+without personal data is never touched, so the term stays readable there.
 
 Positions come from the texts between matches (``split``) and the matches themselves; no row
 leaves the JVM.  Term counts are summed map-side first; nothing is broadcast by hand.
@@ -19,7 +19,7 @@ leaves the JVM.  Term counts are summed map-side first; nothing is broadcast by
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -124,6 +124,32 @@ def _nearby(hits: DataFrame) -> DataFrame:
     return terms.filter(clear).select("doc_id", "tie", "entity", "term", "start", "end")
 
 
+def _places(texts: DataFrame) -> DataFrame:
+    """``doc_id, tie, term, start, end``: all terms of whole texts, one row per (doc_id, tie) given.
+
+    Positions are running sums over a text's pieces, so the work is linear in its length."""
+    pieces = F.arrays_zip(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)).alias("found"),
+                          F.split("text", TERM, -1).alias("between"))
+    each = texts.select("doc_id", "tie", F.posexplode(pieces).alias("i", "p")).select(
+        "doc_id", "tie", "i", F.col("p.found").alias("found"),
+        (F.length("p.between") + F.coalesce(F.length("p.found"), F.lit(0))).alias("size"))
+    end = F.sum("size").over(Window.partitionBy("doc_id", "tie").orderBy("i")).cast("int")
+    placed = each.withColumn("end", end).filter(F.col("found").isNotNull())
+    return placed.select("doc_id", "tie", F.lower("found").alias("term"), (F.col("end") - F.length("found")).alias("start"), "end")
+
+
+def _marked(hits: DataFrame, strong: DataFrame) -> DataFrame:
+    """``doc_id, tie, start, end, disclosure``: every place of a disclosing term in the documents that hold its entity."""
+    entities = F.array_distinct(F.transform("base", lambda s: _entity(s["k"], s["value"])))
+    wanted = hits.select("doc_id", "tie", F.explode(entities).alias("entity")).join(strong, "entity") \
+        .groupBy("doc_id", "tie", "term").agg(F.max("disclosure").alias("disclosure")) \
+        .withColumnsRenamed({"doc_id": "_d", "tie": "_t", "term": "_term"})
+    wanted = materialize(wanted, "pii_wanted")
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("tie") == F.col("_t"))
+    texts = hits.select("doc_id", "tie", "text").join(wanted.select("_d", "_t").distinct(), same, "left_semi")
+    return _places(texts).join(wanted, same & (F.col("term") == F.col("_term")))
+
+
 def disclosing_terms(docs: DataFrame, near: DataFrame, min_texts: int = MIN_TEXTS,
                      generalise_at: float = GENERALISE_AT, min_bits: float = MIN_BITS) -> DataFrame:
     """``term, entity, disclosure, bits`` of the terms over the thresholds."""
@@ -154,14 +180,18 @@ def personal_spans(docs: DataFrame, remove_at: float = REMOVE_AT, **thresholds)
     given = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
     found = given.filter(F.col("text").rlike("[0-9@]")).withColumn("base", base_spans(F.col("text")))
     hits = materialize(found.filter(F.size("base") > 0), "pii_hits")
-    near = materialize(_nearby(hits.dropDuplicates(["doc_id", "tie"])), "pii_near")
+    once = hits.dropDuplicates(["doc_id", "tie"])
+    near = materialize(_nearby(once), "pii_near")
     strong = disclosing_terms(given, near, **thresholds)
-    marked = near.join(strong, ["term", "entity"]).groupBy("doc_id", "tie", "start", "end") \
+    marked = _marked(once, strong).groupBy("doc_id", "tie", "start", "end") \
         .agg((F.max("disclosure") >= remove_at).alias("removed")) \
         .groupBy("doc_id", "tie").agg(F.sort_array(F.collect_list(F.struct("start", "end", "removed"))).alias("terms"))
     marked = marked.withColumnsRenamed({"doc_id": "_d", "tie": "_t"})
-    with_terms = hits.drop("text").dropDuplicates(["doc_id", "tie"]).join(
+    with_terms = once.drop("text").join(
         marked, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("tie") == F.col("_t")), "left").drop("_d", "_t")
+    # a term inside a base span is masked with it
+    with_terms = with_terms.withColumn("terms", F.filter("terms", lambda t: ~F.exists(
+        "base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))))
     spans = with_terms.withColumnsRenamed({"doc_id": "_d", "tie": "_t"})
     return given.select("doc_id", "tie").join(
         spans, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("tie") == F.col("_t")), "left").select(
