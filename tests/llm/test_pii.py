@@ -92,7 +92,7 @@ def test_empty_table(spark):
 
 
 def test_disclosing_terms_change_in_the_whole_text_of_their_documents(spark):
-    filler = " and nothing else was said here" * 12
+    filler = " The report of day was about the weather and item." * 8
     rows = disclosure_corpus()
     rows[0] += filler + " Then Zebulon left; ZEBULON signed."
     rows += [None, ""]
@@ -104,3 +104,38 @@ def test_disclosing_terms_change_in_the_whole_text_of_their_documents(spark):
     found = {(int(a), int(b)) for k, a, b in (s.split(":") for s in spans[0].split(",")) if k == "term"}
     assert {(m.start(), m.end()) for m in re.finditer("(?i)zebulon", rows[0])} <= found
     assert got[len(rows) - 3] == rows[-3]  # names the person without the address
+
+
+def marked_terms(spark, rows):
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    out = []
+    for r in digest(personal_spans(df)).collect():
+        spans = [s.split(":") for s in r["spans"].split(",") if s]
+        out.append((r["doc_id"], {rows[r["doc_id"]][int(a):int(b)].lower() for k, a, b in spans if k == "term"}))
+    return dict(out)
+
+
+def test_terms_of_any_script_and_with_digits(spark):
+    names = ["Владимир", "Γιώργος", "محمد", "मोहन", "Bo", "AB12345", "ß7"]
+    rows = [f"Report {i}: {n} wrote from p{k}@corp.example about it." for k, n in enumerate(names) for i in range(4)]
+    rows += [f"小明 用 z@corp.example 写 报告。王小明。{i}" for i in range(4)]
+    rows += [f"The report of day {i} was about the weather, it wrote from corp." for i in range(400)]
+    got = marked_terms(spark, rows)
+    for k, n in enumerate(names):
+        assert all(n.lower() in got[4 * k + i] for i in range(4)), n
+    assert all("小明" in got[4 * len(names) + i] for i in range(4))
+    assert not set().union(*got.values()) & {"report", "about", "it", "from"}
+
+
+def test_copied_and_single_documents_count(spark):
+    copied = "Zebulon wrote from zeb@corp.example about the item."
+    rows = [copied] * 50 + ["Quentin wrote from quentin@corp.example about the item."]
+    rows += [f"The wrote from about item of day {i}." for i in range(1200)]
+    got = marked_terms(spark, rows)
+    assert all(got[i] == {"zebulon"} for i in range(50))
+    assert not got[50] & {"wrote", "from", "about", "the", "item"}
+
+
+def test_an_entity_of_one_document_has_terms(spark):
+    rows = ["Zebulon wrote from z77@corp.example about the item."] + [f"The wrote from about item of day {i}." for i in range(400)]
+    assert marked_terms(spark, rows)[0] == {"zebulon"}

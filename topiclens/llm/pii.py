@@ -4,12 +4,16 @@ Protected entities are the values of base patterns: e-mail addresses, IP numbers
 (Luhn) and phone numbers.  A term that stands near an entity discloses it when seeing the
 term tells which entity is meant.  From counts over the whole corpus,
 
-    disclosure(t, e) = P(e | t) = documents with t near e / documents with t
+    disclosure(t, e) = P(e | t) = (documents with t near e + PRIOR P(e)) / (documents with t + PRIOR)
     information(t, e) = log2(P(e | t) / P(e))
 
-and a term is disclosing when it stands near the entity in at least ``min_texts`` different
-texts, P(e | t) reaches ``generalise_at`` and the information is at least ``min_bits``.  Where it
-reaches ``remove_at`` the term is removed, below that generalised to its first letter.  Terms
+smoothed towards P(e) by ``prior`` documents, so rare terms are judged by the estimate and not
+cut off by a count (a term in one document, near the entity, reaches just over 1/2).  Every
+row counts as a document, copies included.  A term is disclosing when P(e | t) reaches
+``generalise_at`` and the information is at least ``min_bits``.  Where it reaches ``remove_at``
+the term is removed, below that generalised to its first letter.  A term is a run of letters,
+marks and digits of any script; in scripts written without spaces, whose runs are not words,
+every two neighbouring characters are one (a lone one is a term by itself).  Terms
 change at every place in the documents that hold the entity, near it or not; a document
 without personal data is never touched, so the term stays readable there.
 
@@ -32,10 +36,13 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}+"
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}+(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-TERM = r"[A-Za-zÀ-ɏ]{3,}"
+_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\u30FC\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+SPACED = rf"[\p{{L}}\p{{M}}\p{{N}}&&[^{_UNSPACED}]]"
+UNSPACED = rf"[{_UNSPACED}&&[\p{{L}}\p{{M}}\p{{N}}]]"
+TERM = rf"(?:{SPACED}++|{UNSPACED}++)"  # a whole run; runs of unspaced scripts are taken apart by _pieces
 
 CONTEXT = 120  # characters on either side of an entity in which a term is near
-MIN_TEXTS = 2
+PRIOR = 1.0  # documents by which P(e | t) is drawn towards P(e)
 GENERALISE_AT = 0.5
 REMOVE_AT = 0.8
 MIN_BITS = 4.0
@@ -59,6 +66,28 @@ def located(text: Column, pattern: str) -> Column:
     return F.aggregate(pairs, first, step, lambda acc: acc["spans"])
 
 
+def _term(value: Column) -> Column:
+    """The case-free form of a term (a final sigma depends on what follows)."""
+    return F.translate(F.lower(value), "ς", "σ")
+
+
+def _pieces(value: Column) -> Column:
+    """The terms of a run: array of (offset, value, whole); pairs of neighbours in an unspaced script."""
+    pairs = F.transform(F.sequence(F.lit(0), F.greatest(F.length(value) - 2, F.lit(0))),
+                        lambda i: F.struct(i.alias("offset"), F.substring(value, i + 1, F.lit(2)).alias("value"),
+                                           F.lit(False).alias("whole")))
+    one = F.array(F.struct(F.lit(0).alias("offset"), value.alias("value"), F.lit(True).alias("whole")))
+    return F.when((F.length(value) > 1) & value.rlike(f"^{UNSPACED}"), pairs).otherwise(one)
+
+
+def _terms_of(text: Column) -> Column:
+    """The different terms of a text."""
+    runs = F.regexp_extract_all(text, F.lit(rf"{SPACED}++|(?<!{UNSPACED}){UNSPACED}(?!{UNSPACED})"), F.lit(0))
+    pairs = F.when(text.rlike(UNSPACED), F.regexp_extract_all(text, F.lit(rf"(?=({UNSPACED}{{2}}))"), F.lit(1))) \
+        .otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(runs, pairs))
+
+
 def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -105,23 +134,25 @@ def _entity(k: Column, value: Column) -> Column:
 
 
 def _nearby(hits: DataFrame) -> DataFrame:
-    """``doc_id, tie, entity, term, start, end``: terms in the context of each base span."""
-    each = hits.select("doc_id", "tie", "text", "base", F.explode("base").alias("s"))
+    """``doc_id, tie, copies, entity, term, start, end``: terms in the context of each base span."""
+    each = hits.select("doc_id", "tie", "copies", "text", "base", F.explode("base").alias("s"))
     left_at = F.greatest(F.col("s.start") - CONTEXT, F.lit(0))
-    sides = each.select("doc_id", "tie", "base", _entity(F.col("s.k"), F.col("s.value")).alias("entity"), F.explode(F.array(
+    sides = each.select("doc_id", "tie", "copies", "base", _entity(F.col("s.k"), F.col("s.value")).alias("entity"), F.explode(F.array(
         F.struct(left_at.alias("at"), F.substring("text", left_at + 1, F.col("s.start") - left_at).alias("part"),
                  (left_at > 0).alias("cut_left"), F.lit(False).alias("cut_right")),
         F.struct(F.col("s.end").alias("at"), F.substring("text", F.col("s.end") + 1, F.lit(CONTEXT)).alias("part"),
                  F.lit(False).alias("cut_left"),
                  (F.length("text") > F.col("s.end") + CONTEXT).alias("cut_right")))).alias("side"))
-    sides = sides.select("doc_id", "tie", "base", "entity", "side.*")
-    terms = sides.withColumn("t", F.explode(located(F.col("part"), TERM)))
-    terms = terms.filter(~(F.col("cut_left") & (F.col("t.start") == 0))
-                         & ~(F.col("cut_right") & (F.col("t.end") == F.length("part"))))
-    terms = terms.select("doc_id", "tie", "base", "entity", F.lower("t.value").alias("term"),
-                         (F.col("at") + F.col("t.start")).alias("start"), (F.col("at") + F.col("t.end")).alias("end"))
+    sides = sides.select("doc_id", "tie", "copies", "base", "entity", "side.*")
+    runs = sides.withColumn("r", F.explode(located(F.col("part"), TERM)))
+    terms = runs.withColumn("t", F.explode(_pieces(F.col("r.value"))))
+    terms = terms.filter(~F.col("t.whole") | (~(F.col("cut_left") & (F.col("r.start") == 0))
+                                              & ~(F.col("cut_right") & (F.col("r.end") == F.length("part")))))
+    start = F.col("at") + F.col("r.start") + F.col("t.offset")
+    terms = terms.select("doc_id", "tie", "copies", "base", "entity", _term(F.col("t.value")).alias("term"),
+                         start.alias("start"), (start + F.length("t.value")).alias("end"))
     clear = ~F.exists("base", lambda b: (b["start"] < F.col("end")) & (F.col("start") < b["end"]))
-    return terms.filter(clear).select("doc_id", "tie", "entity", "term", "start", "end")
+    return terms.filter(clear).select("doc_id", "tie", "copies", "entity", "term", "start", "end")
 
 
 def _places(texts: DataFrame) -> DataFrame:
@@ -135,7 +166,10 @@ def _places(texts: DataFrame) -> DataFrame:
         (F.length("p.between") + F.coalesce(F.length("p.found"), F.lit(0))).alias("size"))
     end = F.sum("size").over(Window.partitionBy("doc_id", "tie").orderBy("i")).cast("int")
     placed = each.withColumn("end", end).filter(F.col("found").isNotNull())
-    return placed.select("doc_id", "tie", F.lower("found").alias("term"), (F.col("end") - F.length("found")).alias("start"), "end")
+    terms = placed.withColumn("t", F.explode(_pieces(F.col("found"))))
+    start = F.col("end") - F.length("found") + F.col("t.offset")
+    return terms.select("doc_id", "tie", _term(F.col("t.value")).alias("term"), start.alias("start"),
+                        (start + F.length("t.value")).alias("end"))
 
 
 def _marked(hits: DataFrame, strong: DataFrame) -> DataFrame:
@@ -150,20 +184,19 @@ def _marked(hits: DataFrame, strong: DataFrame) -> DataFrame:
     return _places(texts).join(wanted, same & (F.col("term") == F.col("_term")))
 
 
-def disclosing_terms(docs: DataFrame, near: DataFrame, min_texts: int = MIN_TEXTS,
+def disclosing_terms(docs: DataFrame, near: DataFrame, prior: float = PRIOR,
                      generalise_at: float = GENERALISE_AT, min_bits: float = MIN_BITS) -> DataFrame:
     """``term, entity, disclosure, bits`` of the terms over the thresholds."""
-    once = near.select("doc_id", "tie", "term", "entity").distinct()
-    joint = once.groupBy("term", "entity").agg(
-        F.count(F.lit(1)).alias("joint"), F.count_distinct("tie").alias("texts")).filter(F.col("texts") >= min_texts)
-    entity = near.select("doc_id", "tie", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
-    counts = docs.select("doc_id", "tie", "text").select(F.explode(words).alias("term")) \
+    once = near.select("doc_id", "tie", "copies", "term", "entity").distinct()
+    joint = once.groupBy("term", "entity").agg(F.sum("copies").alias("joint"))
+    entity = near.select("doc_id", "tie", "copies", "entity").distinct().groupBy("entity").agg(F.sum("copies").alias("with_entity"))
+    counts = docs.select(F.explode(_terms_of(_term(F.col("text")))).alias("term")) \
         .groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
     total = docs.agg(F.count(F.lit(1))).first()[0]
+    share = F.col("with_entity") / F.lit(max(total, 1))
     scored = joint.join(counts, "term").join(entity, "entity").withColumn(
-        "disclosure", F.least(F.lit(1.0), F.col("joint") / F.col("with_term"))).withColumn(
-        "bits", F.log2(F.col("disclosure") / (F.col("with_entity") / F.lit(max(total, 1)))))
+        "disclosure", F.least(F.lit(1.0), (F.col("joint") + prior * share) / (F.col("with_term") + prior))).withColumn(
+        "bits", F.log2(F.col("disclosure") / share))
     return scored.filter((F.col("disclosure") >= generalise_at) & (F.col("bits") >= min_bits)) \
         .select("term", "entity", "disclosure", "bits")
 
@@ -180,14 +213,15 @@ def personal_spans(docs: DataFrame, remove_at: float = REMOVE_AT, **thresholds)
     given = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
     found = given.filter(F.col("text").rlike("[0-9@]")).withColumn("base", base_spans(F.col("text")))
     hits = materialize(found.filter(F.size("base") > 0), "pii_hits")
-    once = hits.dropDuplicates(["doc_id", "tie"])
+    once = hits.groupBy("doc_id", "tie").agg(F.first("text").alias("text"), F.first("base").alias("base"),
+                                             F.count(F.lit(1)).alias("copies"))
     near = materialize(_nearby(once), "pii_near")
     strong = disclosing_terms(given, near, **thresholds)
     marked = _marked(once, strong).groupBy("doc_id", "tie", "start", "end") \
         .agg((F.max("disclosure") >= remove_at).alias("removed")) \
         .groupBy("doc_id", "tie").agg(F.sort_array(F.collect_list(F.struct("start", "end", "removed"))).alias("terms"))
     marked = marked.withColumnsRenamed({"doc_id": "_d", "tie": "_t"})
-    with_terms = once.drop("text").join(
+    with_terms = once.drop("text", "copies").join(
         marked, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("tie") == F.col("_t")), "left").drop("_d", "_t")
     # a term inside a base span is masked with it
     with_terms = with_terms.withColumn("terms", F.filter("terms", lambda t: ~F.exists(
