@@ -91,3 +91,17 @@ def test_best_first_order_by_heap_and_by_grid():
         chance = np.exp([sum(logs[j][i] for j, i in enumerate(row)) for row in picks])
         assert (np.diff(chance) <= 1e-12).all() and chance.sum() >= 0.6 > chance[:-1].sum()
         assert len({tuple(r) for r in picks.tolist()}) == len(picks)
+
+
+def test_vectors_of_two_lengths(spark):
+    """Each length is searched among its like; the minority gets its rows too."""
+    rng = np.random.default_rng(5)
+    long = [(i, [float(x) for x in rng.normal(size=16)]) for i in range(0, 300)]
+    short = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(1000, 1060)]
+    got = nearest(frame(spark, long + short), F.col("id") % 20 == 0).collect()
+    single = frame(spark, [(i, v) for i, v in short]).selectExpr("vec_id", "embedding").collect()
+    rows = {r["vec_id"]: r["embedding"] for r in single}
+    ours = [r for r in got if r["query_id"] >= 1000]
+    assert {r["query_id"] for r in got} == {i for i, _ in long + short if i % 20 == 0}
+    check(ours, brute(list(rows.items())), 0.9)
+    assert all((r["query_id"] >= 1000) == (r["vec_id"] >= 1000) for r in got)

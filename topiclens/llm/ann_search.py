@@ -23,6 +23,7 @@ from __future__ import annotations
 import heapq
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -220,18 +221,33 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, tables: int = TABL
 
     ``is_query`` is a condition on ``id``.  Nearness is the inner product in double precision;
     ties go to the smaller id; a query is not its own neighbour.  Rows with a null id, and
-    vectors that are null, empty, zero or hold null or non-finite components take no part;
-    nor do vectors of another length than most.  Rows that repeat an id and vector count once.
+    vectors that are null, empty, zero or hold null or non-finite components take no part.
+    Vectors of each length have an index of their own and meet only their like.  Rows that
+    repeat an id and vector count once.
     An empty table gives an empty result.  Other columns are not read.
     """
     spark = vectors.sparkSession
     given = usable(vectors, key, vector)
     schema = "query_id long, rank int, vec_id long, score double"
-    lengths = given.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")) \
-        .orderBy(F.desc("n"), F.desc("d")).limit(1).collect()
+    lengths = [r["d"] for r in given.select(F.size("v").alias("d")).distinct().orderBy("d").collect()]
     if not lengths:
         return spark.createDataFrame([], schema)
-    given = materialize(given.filter(F.size("v") == lengths[0]["d"]), "ann_vectors")
+    if len(lengths) > 1:
+        given = materialize(given, "ann_lengths")
+    parts = [_nearest_alike(given.filter(F.size("v") == d), is_query, k, tables) for d in lengths]
+    if len(parts) == 1:
+        return parts[0]
+    # an id may stand at vectors of several lengths: its neighbours are ranked together
+    best = Window.partitionBy("query_id", "vec_id").orderBy(F.desc("score"))
+    last = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return reduce(DataFrame.unionAll, parts).withColumn("r", F.row_number().over(best)).filter("r = 1") \
+        .withColumn("rank", F.row_number().over(last)).filter(F.col("rank") <= k) \
+        .select("query_id", "rank", "vec_id", "score")
+
+
+def _nearest_alike(given: DataFrame, is_query: Column, k: int, tables: int) -> DataFrame:
+    """``nearest`` for usable vectors (``id, v``) of one length."""
+    given = materialize(given, "ann_vectors")
     entries = materialize(_entries(given, k), "ann_entries")
     asked = given.filter(is_query).select("id", "v")
     asked = asked.join(entries.select("rid", "v"), "v").select("id", "rid").distinct()
