@@ -100,7 +100,7 @@ def texts_of(column) -> Texts:
     return Texts(buf, start, end)
 
 
-def _spans(t: Texts, inside: np.ndarray) -> Spans:
+def runs_of(t: Texts, inside: np.ndarray) -> Spans:
     """Maximal runs of ``inside`` bytes that stay in one text."""
     if not len(t.buf):
         z = np.zeros(0, dtype=np.int64)
@@ -117,7 +117,7 @@ def _spans(t: Texts, inside: np.ndarray) -> Spans:
 
 
 def words_of(t: Texts) -> Spans:
-    return _spans(t, ~IS_SPACE[t.buf])
+    return runs_of(t, ~IS_SPACE[t.buf])
 
 
 def lines_of(t: Texts) -> Spans:
