@@ -115,5 +115,43 @@ c AS (SELECT *, n_words < {r.min_words} OR 100 * n_repeat_words > {r.max_repeat_
 SELECT *, NOT base_failed AND n_lost_words <= {r.max_lost} * n_words AS kept FROM c"""
 
 
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+RANKED_SEARCH = rf"""
+WITH d AS (SELECT doc_id, {_TERMS} AS w FROM documents WHERE text IS NOT NULL),
+tot AS (SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS terms FROM d WHERE len(w) > 0),
+q AS (SELECT item_id, t, count(*)::BIGINT AS times
+      FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark WHERE text IS NOT NULL) GROUP BY item_id, t),
+p AS (SELECT doc_id, t, n, count(*)::BIGINT AS tf FROM (SELECT doc_id, len(w)::BIGINT AS n, unnest(w) AS t FROM d)
+      WHERE t IN (SELECT t FROM q) GROUP BY doc_id, t, n),
+f AS (SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+      FROM p, tot GROUP BY t, docs),
+s AS (SELECT item_id, doc_id,
+             sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms))))::BIGINT AS score
+      FROM p JOIN f USING (t) JOIN q USING (t), tot GROUP BY item_id, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM s WHERE score > 0)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM r WHERE place <= 10"""
+
+FILL_IN_MIDDLE = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w,
+                  sha256('1:' || doc_id) AS s FROM documents),
+h AS (SELECT doc_id, text, w, len(w) AS n, ('0x' || s[1:8])::BIGINT AS h1, ('0x' || s[9:16])::BIGINT AS h2,
+             ('0x' || s[17:24])::BIGINT AS h3, ('0x' || s[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90
+                  THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+x AS (SELECT *, array_to_string(w[1:a], '') AS prefix, array_to_string(w[a + 1:b], '') AS middle,
+             array_to_string(w[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM x"""
+
 SQL: dict[str, str] = {"op3_quality_rules": quality_rules(), "op6_substring_dedup": SUBSTRING_DEDUP,
-                       "op8_url_filters": URL_FILTERS}
+                       "op8_url_filters": URL_FILTERS, "op11_ranked_search": RANKED_SEARCH,
+                       "op12_fill_in_middle": FILL_IN_MIDDLE}

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ann_search import nearest
+from .fill_in_middle import fill_in_middle, restored
+from .impact_search import ranked_search
+from .license_scan import license_scan
 from .line_dedup import line_dedup
 from .maxent_lm import fit_and_score
 from .packing import pack_documents
@@ -83,6 +86,25 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(personal_spans(_table(spark, sf_dir, "documents")))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return ranked_search(_table(spark, sf_dir, "benchmark"), _table(spark, sf_dir, "documents"), k=10)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form, part sizes and hashes of every document's output and of the text rebuilt from it."""
+    out = restored(fill_in_middle(_table(spark, sf_dir, "documents")))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2("output", 256).alias("output_sha256"), F.sha2("text", 256).alias("restored_sha256"))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document; ``spans`` lists the notices as label:first:last:edits."""
+    span = F.transform("matches", lambda m: F.concat_ws(":", m["label"], *(
+        m[c].cast("string") for c in ("first_word", "last_word", "edits"))))
+    return license_scan(_table(spark, sf_dir, "documents")).withColumn("spans", F.array_join(span, ",")).drop("matches")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of ``corpus_pipeline`` over ``documents``."""
     import corpus_pipeline
