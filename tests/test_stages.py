@@ -22,7 +22,7 @@ def test_corpus_vectorizer_roundtrip(spark, tmp_path):
                                  "doc_id long, tokens array<string>")
     est = ST.CorpusVectorizer(noBelow=1, noAbove=1.0, keepN=3, applyTfidf=True)
     m = est.fit(toks)
-    assert m.getOrDefault(m.terms)[:2] == ["a", "c"] and len(m.getOrDefault(m.terms)) == 3
+    assert m.terms()[:2] == ["a", "c"] and len(m.terms()) == 3
     w1 = sorted(tuple(r) for r in m.transform(toks).collect())
     path = str(tmp_path / "cv")
     m.write().overwrite().save(path)

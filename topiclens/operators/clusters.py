@@ -9,29 +9,26 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from ..session import materialize
-
-# Differences (points x centroids x dimension) held at once by nearest_centroid.
-CENTROID_BLOCK_VALUES = 1 << 20
+from .nearest import nearest_centroid  # noqa: F401  (J9)
 
 
 def label_codes(df: DataFrame, label: str, name: str = "label_code") -> DataFrame:
     """``df`` plus ``name`` = 0-based code of ``label`` in sorted label order.
 
     Codes are numbered on the *distinct* labels (partial aggregate first) with a distributed
-    index (no single-partition window), then joined back.
+    index (no single-partition window), then joined back.  A null label gets code -1.
     """
     from .indexing import with_global_index
 
-    codes = with_global_index(df.select(label).distinct(), [label], "_code")
-    return df.join(codes.select(label, F.col("_code").cast("int").alias(name)), label)
+    codes = with_global_index(df.select(label).filter(F.col(label).isNotNull()).distinct(), [label], "_code")
+    coded = df.join(codes.select(label, F.col("_code").cast("int").alias(name)), label, "left")
+    return coded.withColumn(name, F.coalesce(F.col(name), F.lit(-1)))
 
 
 def contingency(df: DataFrame, true_col: str = "label_code", pred_col: str = "cluster") -> DataFrame:
@@ -135,63 +132,10 @@ def evaluate_clusters(df: DataFrame, true_col: str = "label_code", pred_col: str
 
 
 # ---------------------------------------------------------------------------
-# J9 nearest centroid, A6 visual-word histogram, R4 wide form
+# A6 visual-word histogram, R4 wide form
 # ---------------------------------------------------------------------------
 
 
-def nearest_centroid(points: DataFrame, centroids: DataFrame, vec_col: str = "vec",
-                     round_to: int | None = 9, block_values: int = CENTROID_BLOCK_VALUES) -> DataFrame:
-    """``points`` plus ``word_id`` (nearest centroid, ties to the smallest id) and ``dist``
-    (squared Euclidean distance).
-
-    ``centroids(word_id, centroid)`` is a fitted model (k x d values) and travels to the tasks
-    as one matrix.  Points stay where they are: each Arrow batch is compared in blocks of at
-    most ``block_values`` differences, so memory is bounded for any k.  A null vector gets nulls.
-    """
-    rows = centroids.select(F.col("word_id").cast("int").alias("word_id"),
-                            F.col("centroid").cast("array<double>").alias("c")).orderBy("word_id").collect()
-    if not rows:
-        raise ValueError("no centroids")
-    ids = np.array([r["word_id"] for r in rows], dtype=np.int32)
-    matrix = np.array([r["c"] for r in rows], dtype=np.float64)
-    names = points.columns
-
-    def nearest(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        best, dist = np.zeros(len(x), dtype=np.int64), np.full(len(x), np.inf)
-        per = max(1, block_values // max(1, matrix.shape[1]))  # point-centroid pairs at once
-        step = max(1, min(len(ids), per))
-        for a in range(0, len(ids), step):
-            for lo in range(0, len(x), max(1, per // step)):
-                part = x[lo:lo + max(1, per // step)]
-                d = ((part[:, None, :] - matrix[None, a:a + step, :]) ** 2).sum(axis=2)
-                d = np.round(d, round_to) if round_to is not None else d
-                k = d.argmin(axis=1)
-                low = d[np.arange(len(part)), k]
-                at = slice(lo, lo + len(part))
-                nearer = low < dist[at]
-                best[at] = np.where(nearer, k + a, best[at])
-                dist[at] = np.where(nearer, low, dist[at])
-        return ids[best], dist
-
-    def assign(batches):
-        for batch in batches:
-            vec = batch.column("_vec")
-            some = np.flatnonzero(~np.asarray(vec.is_null()))
-            x = vec.drop_null().flatten().to_numpy(zero_copy_only=False).reshape(len(some), matrix.shape[1])
-            word, dist = pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.float64())
-            if len(some):
-                w, near = nearest(x)
-                at = pa.array(np.where(np.isin(np.arange(batch.num_rows), some),
-                                       np.cumsum(~np.asarray(vec.is_null())) - 1, -1))
-                at = pc.if_else(pc.less(at, 0), None, at)
-                word, dist = pa.array(w).take(at), pa.array(near).take(at)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), word, dist],
-                                             [*names, "word_id", "dist"])
-
-    schema = StructType([*points.schema.fields, StructField("word_id", IntegerType()), StructField("dist", DoubleType())])
-    return points.withColumn("_vec", F.col(vec_col).cast("array<double>")).mapInArrow(assign, schema)
-
-
 def bovw_histogram(assigned: DataFrame, image_col: str = "image_id", word_col: str = "word_id") -> DataFrame:
     """``(image_id, word_id, cnt)`` visual-word counts per image."""
     return (assigned.groupBy(F.col(image_col).alias("image_id"), F.col(word_col).alias("word_id"))

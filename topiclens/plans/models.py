@@ -8,14 +8,19 @@ a lost executor recomputes from the checkpoint and not from the raw scan.
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import LDA, KMeans
+import math
+from dataclasses import dataclass
+
+from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import PCA, CountVectorizerModel, ElementwiseProduct, Normalizer, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import kmeans as KM
 from ..operators import topics as TP
+from ..operators.nearest import nearest_centroid
 from ..session import ensure_checkpoint_dir
 
 def checkpointed(df: DataFrame, eager: bool = True) -> DataFrame:
@@ -57,8 +62,6 @@ def tfidf_vectors(counts: DataFrame, idf: list[float], in_col: str = "counts",
 
 def log2_idf(vocab_ids: DataFrame, n_docs: int) -> list[float]:
     """``log2(N/df)`` per term id."""
-    import math
-
     return [math.log2(n_docs / r[1]) for r in vocab_ids.orderBy("term_id").select("term_id", "df").collect()]
 
 
@@ -206,46 +209,59 @@ def project_2d(df: DataFrame, features: str = "features", id_col: str = "id") ->
     return p.select(id_col, F.col("pca")[0].alias("x"), F.col("pca")[1].alias("y"))
 
 
+@dataclass(frozen=True)
+class KMeansSummary:
+    trainingCost: float
+    costs: list
+    iterations: list
+
+
+@dataclass(frozen=True)
+class KMeansFit:
+    """The cheapest of several k-means restarts; ``centres`` is a written table ``(word_id, centroid)``."""
+
+    centres: DataFrame
+    summary: KMeansSummary
+    features: str = "features"
+
+    def transform(self, df: DataFrame, prediction: str = "prediction") -> DataFrame:
+        """``df`` plus the id of the nearest centre (ties to the smallest id, null for a null vector)."""
+        vec = F.col(self.features)
+        if df.schema[self.features].dataType.typeName() != "array":
+            vec = vector_to_array(vec)
+        found = nearest_centroid(df.withColumn("_x", vec), self.centres, "_x")
+        return found.withColumnRenamed("word_id", prediction).drop("_x", "dist")
+
+
 def kmeans_best_of(df: DataFrame, k: int, n_init: int = 30, seed: int = 16, features: str = "features",
-                   max_iter: int = 100):
-    """M4: ``n_init`` KMeans fits with seeds ``seed..seed+n_init-1``; keep the lowest cost.
+                   max_iter: int = 300, tol: float = 1e-4, start_rows: int = 20_000):
+    """M4: ``n_init`` restarts moved together, one scan per iteration; the lowest cost is kept.
 
-    Returns ``(model, costs)``.  The input is checkpointed once and reused by every fit.
+    Restart ``i`` starts from k-means++ with seed ``seed + i`` on a sample of at most about ``start_rows``
+    points.  Returns ``(fit, costs)`` with the ``(seed, cost)`` of every restart.  Null vectors take no part.
     """
-    data = checkpointed(df.select(features))
-    best, costs = None, []
-    for i in range(n_init):
-        m = KMeans(k=k, seed=seed + i, featuresCol=features, maxIter=max_iter).fit(data)
-        cost = float(m.summary.trainingCost)
-        costs.append((seed + i, cost))
-        if best is None or cost < best[1]:
-            best = (m, cost)
-    return best[0], costs
+    points = KM.point_table(df, features)
+    centres, costs, taken, best = KM.best_of(points, k, n_init, seed, max_iter, tol, start_rows)
+    listed = [(seed + i, float(c)) for i, c in enumerate(costs)]
+    summary = KMeansSummary(float(costs[best]), listed, [int(x) for x in taken])
+    return KMeansFit(KM.centre_rows(df.sparkSession, centres[best]), summary, features), listed
 
 
-def centroid_table(model, spark) -> DataFrame:
-    """``(word_id, centroid)`` of a fitted KMeans model (k x d, a model-sized table)."""
-    rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    return spark.createDataFrame(rows, "word_id int, centroid array<double>")
+def dictionary_size(n: int, n_words="sqrt") -> int:
+    """``"sqrt"``: floor(sqrt(#descriptors)); at least 2 words, at most one per descriptor."""
+    return max(1, min(n, max(2, math.isqrt(n) if n_words == "sqrt" else int(n_words))))
 
 
-def visual_dictionary(descriptors: DataFrame, n_words="sqrt", seed: int = 16, n_init: int = 15,
-                      fit_fraction: float | None = None, vec_col: str = "descriptor"):
-    """M5: KMeans dictionary of visual words; ``n_words="sqrt"`` = floor(sqrt(#descriptors)).
+def visual_dictionary(descriptors: DataFrame, n_words="sqrt", seed: int = 16, n_init: int = 15, vec_col: str = "descriptor",
+                      batch_rows: int = 14 * 256, rows_per_word: int = 4, max_steps: int = 100) -> DataFrame:
+    """M5: mini-batch k-means dictionary ``(word_id, centroid, seen)``, a written table.
 
-    ``fit_fraction`` fits on a seeded sample (the mini-batch idea); assignment of every
-    descriptor is a separate distributed step (:func:`operators.clusters.nearest_centroid`).
+    A batch has about ``batch_rows`` descriptors, or ``rows_per_word`` for each word if that is more.
+    Assigning every descriptor is a separate step (:func:`operators.nearest.nearest_centroid`).
     """
-    import math
-
-    n = descriptors.count()
-    k = int(math.isqrt(n)) if n_words == "sqrt" else int(n_words)
-    k = max(2, min(k, n))
-    data = descriptors.select(array_to_vector(F.col(vec_col).cast("array<double>")).alias("features"))
-    if fit_fraction:
-        data = data.sample(fraction=fit_fraction, seed=seed)
-    model, _ = kmeans_best_of(data, k, n_init=n_init, seed=seed)
-    return model
+    points = KM.point_table(descriptors, vec_col)
+    k = dictionary_size(points.count(), n_words)
+    return KM.mini_batch(points, k, max(batch_rows, rows_per_word * k), n_init, seed, max_steps)
 
 
 def embed_images(images: DataFrame, make_predict_fn, dim: int, in_dim: int, batch_size: int = 64,
@@ -276,18 +292,3 @@ def integer_projection_model(in_dim: int, out_dim: int):
         return predict
 
     return make
-
-
-def random_projection_model(in_dim: int, out_dim: int, seed: int = 16):
-    """A small numpy stand-in network for :func:`embed_images`: ReLU(x W) with a seeded W."""
-    def make():
-        import numpy as np
-
-        w = np.random.default_rng(seed).standard_normal((in_dim, out_dim)).astype(np.float32) / np.sqrt(in_dim)
-
-        def predict(x):
-            return np.maximum(x.reshape(len(x), -1) @ w, 0.0)
-
-        return predict
-
-    return make

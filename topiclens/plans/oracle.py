@@ -351,6 +351,38 @@ def _ari(table: str, col: str) -> str:
            / (SELECT sum(n)::DOUBLE * (sum(n) - 1) / 2 FROM {table}) AS e)))"""
 
 
+def _lloyd(steps: int) -> str:
+    """Two starts followed through ``steps`` iterations; an emptied centre stays."""
+    ctes = [LONG, """c0 AS (SELECT 0 AS start, CAST(label AS INTEGER) AS cluster, dim, avg(x) AS m FROM long GROUP BY label, dim
+    UNION ALL SELECT 1, CAST(vec_id AS INTEGER), dim, x FROM long WHERE vec_id < (SELECT count(DISTINCT label) FROM embeddings))"""]
+    for i in range(steps + 1):
+        ctes.append(f"""a{i} AS MATERIALIZED (SELECT start, vec_id, arg_min(cluster, dist) AS cluster FROM (
+    SELECT start, vec_id, cluster, sum((x - m) * (x - m)) AS dist FROM long JOIN c{i} USING (dim)
+    GROUP BY start, vec_id, cluster) GROUP BY start, vec_id)""")
+        if i < steps:
+            ctes.append(f"""c{i + 1} AS MATERIALIZED (SELECT c.start, c.cluster, c.dim, coalesce(n.m, c.m) AS m FROM c{i} c LEFT JOIN (
+    SELECT start, cluster, dim, avg(x) AS m FROM a{i} JOIN long USING (vec_id) GROUP BY start, cluster, dim) n
+    USING (start, cluster, dim))""")
+    return f"""WITH {", ".join(ctes)}
+SELECT start, cluster, coalesce(n, 0)::BIGINT AS n, dim, round(m, 6) AS v FROM c{steps}
+LEFT JOIN (SELECT start, cluster, count(*) AS n FROM a{steps} GROUP BY start, cluster) USING (start, cluster)"""
+
+
+def _dictionary(batches: int) -> str:
+    """Mini-batch steps from the fixed dictionary: a centre moves to the running mean of what it has been given."""
+    ctes = [LONG, """dsc AS (SELECT vec_id AS image_id, CAST(dim // 8 AS INTEGER) AS desc_ix, CAST(dim % 8 AS INTEGER) AS dim, x FROM long)""",
+            "c0 AS (SELECT CAST(image_id * 8 + desc_ix AS INTEGER) AS word_id, 0 AS seen, dim, x AS v FROM dsc WHERE image_id < 4)"]
+    for i in range(batches):
+        ctes.append(f"""a{i} AS MATERIALIZED (SELECT image_id, desc_ix, arg_min(word_id, dist) AS word_id FROM (
+    SELECT image_id, desc_ix, word_id, sum((x - v) * (x - v)) AS dist FROM dsc JOIN c{i} USING (dim)
+    WHERE image_id % {batches} = {i} GROUP BY image_id, desc_ix, word_id) GROUP BY image_id, desc_ix)""")
+        ctes.append(f"""c{i + 1} AS MATERIALIZED (SELECT c.word_id, c.seen + coalesce(n, 0) AS seen, c.dim,
+    coalesce((c.v * c.seen + s) / (c.seen + n), c.v) AS v FROM c{i} c LEFT JOIN (
+    SELECT word_id, dim, count(*) AS n, sum(x) AS s FROM a{i} JOIN dsc USING (image_id, desc_ix) GROUP BY word_id, dim)
+    USING (word_id, dim))""")
+    return f"WITH {', '.join(ctes)} SELECT word_id, seen::BIGINT AS seen, dim, round(v, 6) AS v FROM c{batches}"
+
+
 def _clusters() -> dict[str, str]:
     wide = ", ".join(f"coalesce(max(CASE WHEN h.word_id = {i} THEN h.cnt END), 0) AS w{i}" for i in range(32))
     return {
@@ -384,6 +416,8 @@ SELECT image_id, desc_ix, round(energy, 6) AS energy FROM (
         "adjusted_rand_index": f"WITH {CLUSTERED} SELECT round({_ari('mcont', 'matched')}, 6) AS ari, "
                                f"round({_ari('cont', 'cluster')}, 6) AS raw_ari",
         "evaluate_clusters": f"WITH {CLUSTERED} SELECT label_code, matched, n FROM mcont",
+        "kmeans_steps": _lloyd(4),
+        "dictionary_steps": _dictionary(3),
     }
 
 

@@ -554,17 +554,50 @@ def kmeans_best_of(spark, d):
 
     f = _features(spark, d)
     k = f.select(F.count_distinct("label")).first()[0]
-    model, _ = MD.kmeans_best_of(f, k, n_init=30, seed=SEED)
-    pred = model.transform(f).select("vec_id", "label", F.col("prediction").alias("cluster"))
+    fit, _ = MD.kmeans_best_of(f, k, n_init=30, seed=SEED)
+    pred = fit.transform(f).select("vec_id", "label", F.col("prediction").alias("cluster"))
     return CU.label_codes(pred, "label")
 
 
 def visual_dictionary(spark, d):
     from . import models as MD
 
+    words = MD.visual_dictionary(SI.descriptors(spark, d), "sqrt", seed=SEED, n_init=15)
+    return words.select("word_id", "centroid")
+
+
+LLOYD_STEPS = 4
+
+
+def kmeans_steps(spark, d):
+    """M4's iteration checked by value: centres and sizes after four steps of two starts in one scan each,
+    from the label means (start 0) and the first ten vectors (start 1)."""
+    import numpy as np
+
+    from ..operators import kmeans as KM
+
+    points = KM.point_table(SI.embeddings_double(spark, d), "vec")
+    means = SI.label_mean_centroids(spark, d).orderBy("word_id").collect()
+    first = SI.embeddings_double(spark, d).filter(F.col("vec_id") < len(means)).orderBy("vec_id").collect()
+    starts = np.array([[r["centroid"] for r in means], [r["vec"] for r in first]])
+    centres, _, _ = KM.lloyd(points, starts, LLOYD_STEPS, -1.0)
+    sizes = KM.partial_sums(points, centres)[1]
+    rows = [(s, c, int(sizes[s, c]), centres[s, c].tolist()) for s in range(2) for c in range(len(means))]
+    found = spark.createDataFrame(rows, "start int, cluster int, n long, centre array<double>")
+    return found.select("start", "cluster", "n", F.posexplode("centre").alias("dim", "v")).withColumn("v", F.round("v", 6))
+
+
+def dictionary_steps(spark, d):
+    """M5's step checked by value: the fixed dictionary after three batches (photos by id modulo 3) at rate 1/count."""
+    from ..operators import kmeans as KM
+
     desc = SI.descriptors(spark, d)
-    model = MD.visual_dictionary(desc, "sqrt", seed=SEED, n_init=15)
-    return MD.centroid_table(model, spark)
+    words = SI.fixed_centroids(spark, d).withColumn("seen", F.lit(0).cast("long"))
+    for b in range(3):
+        batch = desc.filter(F.col("image_id") % 3 == b).select(F.col("descriptor").alias("x"))
+        words = materialize(KM.table_step(batch, words), "words")
+    return words.select("word_id", "seen", F.posexplode("centroid").alias("dim", "v")).select(
+        "word_id", "seen", "dim", F.round("v", 6).alias("v"))
 
 
 def extract_descriptors(spark, d):
@@ -628,6 +661,7 @@ ORACLE_QUERIES = [
     standard_scale, covariance, nearest_centroid, bovw_histogram, bovw_wide, bovw_tfidf, top_descriptors,
     confusion_matrix, purity_matrix, match_clusters, adjusted_rand_index, evaluate_clusters, suggest_types,
     to_gray, equalize_hist, gaussian_blur, swap_channels, resize_nearest, center_channels,
+    kmeans_steps, dictionary_steps,
 ]
 ROWS_ONLY_QUERIES = [
     pca_reduce, kmeans_best_of, visual_dictionary, lda_topics, doc_topics, coherence_sweep, topic_report,

@@ -3,18 +3,19 @@
 Stateless steps are ``Transformer``s.  Steps that learn something from the data are
 ``Estimator``s whose models keep what was learnt (vocabulary and document frequencies,
 visual-word centroids, per-word document frequencies), so training and new data share the
-same weights.  All state is bounded by a parameter (``keepN``, ``nWords``) and is stored
-as stage parameters, which ``DefaultParamsWritable`` persists.
+same weights.  What a model has learnt is a table, not a parameter: it is read by Spark, never
+collected, and saved as Parquet beside the stage's parameters (``_TableModel``).
 """
 
 from __future__ import annotations
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
+from pyspark.ml import Estimator, Model, PipelineModel, Transformer
 from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, VectorSlicer
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, HasSeed, Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReader, \
+    MLWriter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +25,7 @@ from ..operators import cleaning as CL
 from ..operators import clusters as CU
 from ..operators import images as IO
 from ..operators import vocabulary as VO
+from ..session import materialize
 from ..sources import readers as RD
 
 
@@ -32,6 +34,48 @@ class _Stage(DefaultParamsReadable, DefaultParamsWritable):
         return self._set(**{k: v for k, v in kwargs.items() if v is not None})
 
 
+class _TableWriter(MLWriter):
+    """Parameters as metadata, the learnt table as Parquet in ``table``."""
+
+    def __init__(self, instance):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession)
+        self.instance.table.write.mode("overwrite").parquet(f"{path}/table")
+
+
+class _TableReader(MLReader):
+    def __init__(self, cls):
+        super().__init__()
+        self.cls = cls
+
+    def load(self, path: str):
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        found = self.cls()
+        found._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(found, metadata)
+        return found.with_table(self.sparkSession.read.parquet(f"{path}/table"))
+
+
+class _TableModel(Model, _Stage):
+    """A model whose state is a table of any size."""
+
+    table: DataFrame
+
+    def with_table(self, table: DataFrame):
+        self.table = table
+        return self
+
+    def write(self) -> MLWriter:
+        return _TableWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _TableReader(cls)
+
+
 class _ColumnTransformer(Transformer, HasInputCol, HasOutputCol, _Stage):
     def _col(self) -> F.Column:
         raise NotImplementedError
@@ -116,10 +160,14 @@ class RepeatedCharCorrector(Transformer, _Stage):
         return CL.correct_repeated(df, vocab, lex, self.getOrDefault(self.textCol), self.getOrDefault(self.idCol))
 
 
+DEFAULT_POS = ["NOUN", "ADJ"]
+
+
 class TokenCleaner(Transformer, _Stage):
     """T8 on ``(doc_id, tokens)``: returns ``(doc_id, tokens, text)`` of the kept lemmas.
 
-    Parts of speech come from the lexicon; asking for ``posToKeep`` without one is an error."""
+    Parts of speech come from the lexicon: with one, ``posToKeep`` is nouns and adjectives by default.  Without
+    one no token has a part of speech, so nothing is filtered by it, and asking for ``posToKeep`` is an error."""
 
     stopWords = Param(Params._dummy(), "stopWords", "stop words", TypeConverters.toListString)
     customStopWords = Param(Params._dummy(), "customStopWords", "lemmas to drop", TypeConverters.toListString)
@@ -129,14 +177,15 @@ class TokenCleaner(Transformer, _Stage):
     @keyword_only
     def __init__(self, stopWords=None, customStopWords=None, posToKeep=None, lexiconPath=None):
         super().__init__()
-        self._setDefault(stopWords=list(TX.ENGLISH_STOP_WORDS), customStopWords=[], posToKeep=["NOUN", "ADJ"])
+        self._setDefault(stopWords=list(TX.ENGLISH_STOP_WORDS), customStopWords=[])
         self._set_kw(self._input_kwargs)
 
     def _transform(self, df):
         spark = df.sparkSession
         lex = spark.read.parquet(self.getOrDefault(self.lexiconPath)) if self.isSet(self.lexiconPath) else None
         custom = self.getOrDefault(self.customStopWords)
-        if lex is None and self.isSet(self.posToKeep) and self.getOrDefault(self.posToKeep):
+        wanted = self.getOrDefault(self.posToKeep) if self.isSet(self.posToKeep) else []
+        if lex is None and wanted:
             raise ValueError("posToKeep needs a lexicon (lexiconPath) that gives the parts of speech")
         if lex is None:  # no lemmas or parts of speech: filter each token array in place
             kept = CL.clean_token_arrays(df.select("doc_id", "tokens"), "tokens",
@@ -144,7 +193,7 @@ class TokenCleaner(Transformer, _Stage):
             return kept.select("doc_id", "tokens", F.array_join("tokens", " ").alias("text"))
         kept = CL.clean_tokens(VO.explode_tokens(df.select("doc_id", "tokens")),
                                CL.word_table(spark, self.getOrDefault(self.stopWords)), lex,
-                               self.getOrDefault(self.posToKeep) if lex is not None else None,
+                               wanted if self.isSet(self.posToKeep) else DEFAULT_POS,
                                CL.word_table(spark, custom) if custom else None)
         back = VO.collect_tokens(kept)
         return df.select("doc_id").join(back, "doc_id", "left").select(
@@ -173,40 +222,37 @@ class CorpusVectorizer(Estimator, _Stage):
         n = df.count()
         vocab = VO.filter_extremes(VO.build_vocabulary(counts), n, self.getOrDefault(self.noBelow),
                                    self.getOrDefault(self.noAbove), self.getOrDefault(self.keepN))
-        rows = vocab.orderBy("term_id").select("term", "df").collect()  # bounded by keepN
-        m = CorpusVectorizerModel(terms=[r[0] for r in rows], dfs=[int(r[1]) for r in rows], nDocs=n,
-                                  smartirs=self.getOrDefault(self.smartirs),
-                                  applyTfidf=self.getOrDefault(self.applyTfidf))
-        return m
+        kept = materialize(vocab.select("term", "term_id", "df"), "vocabulary")
+        return CorpusVectorizerModel(nDocs=n, nTerms=kept.count(), smartirs=self.getOrDefault(self.smartirs),
+                                     applyTfidf=self.getOrDefault(self.applyTfidf)).with_table(kept)
+
 
+class CorpusVectorizerModel(_TableModel):
+    """``table``: the vocabulary ``(term, term_id, df)``."""
 
-class CorpusVectorizerModel(Model, _Stage):
-    terms = Param(Params._dummy(), "terms", "vocabulary in id order", TypeConverters.toListString)
-    dfs = Param(Params._dummy(), "dfs", "document frequencies", TypeConverters.toListInt)
     nDocs = Param(Params._dummy(), "nDocs", "documents seen by fit", TypeConverters.toInt)
+    nTerms = Param(Params._dummy(), "nTerms", "size of the vocabulary", TypeConverters.toInt)
     smartirs = Param(Params._dummy(), "smartirs", "SMART weighting code", TypeConverters.toString)
     applyTfidf = Param(Params._dummy(), "applyTfidf", "weights instead of counts", TypeConverters.toBoolean)
 
     @keyword_only
-    def __init__(self, terms=None, dfs=None, nDocs=None, smartirs="nfc", applyTfidf=False):
+    def __init__(self, nDocs=None, nTerms=None, smartirs="nfc", applyTfidf=False):
         super().__init__()
         self._set_kw(self._input_kwargs)
 
     def vocabulary(self) -> DataFrame:
-        from pyspark.sql import SparkSession
+        return self.table
 
-        spark = SparkSession.getActiveSession()
-        rows = list(zip(self.getOrDefault(self.terms), range(len(self.getOrDefault(self.terms))),
-                        self.getOrDefault(self.dfs)))
-        return spark.createDataFrame(rows, "term string, term_id int, df long")
+    def terms(self) -> list[str]:
+        """The vocabulary in id order, on the driver (at most ``keepN`` strings)."""
+        return [r["term"] for r in self.table.orderBy("term_id").select("term").collect()]
 
     def _transform(self, df):
-        vocab = self.vocabulary()
-        bow = VO.bag_of_words(VO.term_counts(df), vocab, len(self.getOrDefault(self.terms)))
+        size = self.getOrDefault(self.nTerms)
+        bow = VO.bag_of_words(VO.term_counts(df), self.table, size)
         if not self.getOrDefault(self.applyTfidf):
             return bow
-        return VO.tfidf(bow, vocab, self.getOrDefault(self.nDocs), self.getOrDefault(self.smartirs),
-                        len(self.getOrDefault(self.terms)))
+        return VO.tfidf(bow, self.table, self.getOrDefault(self.nDocs), self.getOrDefault(self.smartirs), size)
 
 
 class PhotoMetaLoader(Transformer, _Stage):
@@ -358,28 +404,23 @@ class VisualWords(Estimator, HasSeed, _Stage):
         from . import models as MD
 
         nw = self.getOrDefault(self.nWords) or "sqrt"
-        km = MD.visual_dictionary(df, nw, seed=self.getOrDefault(self.seed), n_init=self.getOrDefault(self.nInit))
-        centers = [[float(x) for x in c] for c in km.clusterCenters()]
-        return VisualWordsModel(dim=len(centers[0]), centroids=[x for c in centers for x in c])
+        words = MD.visual_dictionary(df, nw, seed=self.getOrDefault(self.seed), n_init=self.getOrDefault(self.nInit))
+        return VisualWordsModel().with_table(words.select("word_id", "centroid"))
 
 
-class VisualWordsModel(Model, _Stage):
-    dim = Param(Params._dummy(), "dim", "descriptor length", TypeConverters.toInt)
-    centroids = Param(Params._dummy(), "centroids", "flattened centroids", TypeConverters.toListFloat)
+class VisualWordsModel(_TableModel):
+    """``table``: the dictionary ``(word_id, centroid)``."""
 
     @keyword_only
-    def __init__(self, dim=None, centroids=None):
+    def __init__(self):
         super().__init__()
-        self._set_kw(self._input_kwargs)
 
-    def centroid_table(self, spark) -> DataFrame:
-        d, flat = self.getOrDefault(self.dim), self.getOrDefault(self.centroids)
-        rows = [(i, flat[i * d:(i + 1) * d]) for i in range(len(flat) // d)]
-        return spark.createDataFrame(rows, "word_id int, centroid array<double>")
+    def centroid_table(self, spark=None) -> DataFrame:
+        return self.table
 
     def _transform(self, df):
         some = df.filter("descriptor is not null")
-        assigned = CU.nearest_centroid(some, self.centroid_table(df.sparkSession), "descriptor", round_to=None)
+        assigned = CU.nearest_centroid(some, self.table, "descriptor", round_to=None)
         found = CU.bovw_histogram(assigned)
         empty = df.select("image_id").distinct().join(found.select("image_id").distinct(), "image_id", "left_anti")
         none = empty.select("image_id", F.lit(None).cast(found.schema["word_id"].dataType).alias("word_id"),
@@ -393,33 +434,23 @@ class TfidfWeighter(Estimator, _Stage):
 
     def _fit(self, df):
         n = df.select("image_id").distinct().count()
-        rows = (df.filter("word_id is not null").groupBy("word_id")
-                .agg(F.count_distinct("image_id").alias("df")).collect())
-        return TfidfWeighterModel(wordIds=[int(r[0]) for r in rows], dfs=[int(r[1]) for r in rows], nImages=n)
+        found = df.filter("word_id is not null").groupBy("word_id").agg(F.count_distinct("image_id").alias("df"))
+        return TfidfWeighterModel(nImages=n).with_table(materialize(found, "word_frequencies"))
+
 
+class TfidfWeighterModel(_TableModel):
+    """``table``: images per word ``(word_id, df)``."""
 
-class TfidfWeighterModel(Model, _Stage):
-    wordIds = Param(Params._dummy(), "wordIds", "word ids", TypeConverters.toListInt)
-    dfs = Param(Params._dummy(), "dfs", "images per word", TypeConverters.toListInt)
     nImages = Param(Params._dummy(), "nImages", "images seen by fit", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, wordIds=None, dfs=None, nImages=None):
+    def __init__(self, nImages=None):
         super().__init__()
         self._set_kw(self._input_kwargs)
 
     def _transform(self, df):
-        spark = df.sparkSession
-        dft = spark.createDataFrame(list(zip(self.getOrDefault(self.wordIds), self.getOrDefault(self.dfs))),
-                                    "word_id int, df long")
-        return VO.weight_matrix(df, dft, self.getOrDefault(self.nImages), "nfc", key="image_id", item="word_id",
-                                count="cnt", drop_zero=False)
-
-
-def scaled_pca(k: int, input_col: str = "features", output_col: str = "pca") -> Pipeline:
-    """M1-M2 as a pipeline: standard scaling then PCA (both fitted, both saved)."""
-    return Pipeline(stages=[StandardScaler(withMean=True, withStd=True, inputCol=input_col, outputCol="_scaled"),
-                            PCA(k=k, inputCol="_scaled", outputCol=output_col)])
+        return VO.weight_matrix(df, self.table, self.getOrDefault(self.nImages), "nfc", key="image_id", item="word_id",
+                                count="cnt", drop_zero=False, broadcast_df=False)
 
 
 class ScaledPCA(Estimator, _Stage):
@@ -479,4 +510,4 @@ class ReviewSelector(Transformer, HasSeed, _Stage):
 __all__ = ["LowerStrip", "UrlRemover", "EscapeRemover", "RegexTokens", "RepeatedCharCorrector", "TokenCleaner",
            "CorpusVectorizer", "CorpusVectorizerModel", "PhotoMetaLoader", "StratifiedSampler",
            "RetentionManifest", "GrayConverter", "Equalizer", "Blurer", "DescriptorExtractor", "VisualWords",
-           "VisualWordsModel", "TfidfWeighter", "TfidfWeighterModel", "scaled_pca", "ReviewSelector"]
+           "VisualWordsModel", "TfidfWeighter", "TfidfWeighterModel", "ScaledPCA", "ImagesLoader", "ReviewSelector"]
