@@ -111,3 +111,47 @@ def test_large_sample_and_vocabulary_are_exact(spark):
     kept = filter_extremes(vocab, 100, 1, 1.0, 1_000_000)
     row = kept.agg(F.count(F.lit(1)), F.count_distinct("term_id"), F.max("term_id")).first()
     assert tuple(row) == (1_000_000, 1_000_000, 999_999)
+
+
+def test_threshold_sample_equals_window(spark, monkeypatch):
+    rows = [(i, None if i % 50 == 0 else "hot" if i % 3 else f"s{i % 7}") for i in range(4000)] + [(17, "hot"), (17, "hot")]
+    df = spark.createDataFrame(rows, "photo_id long, label string").withColumn("cut", F.lit("x"))
+    for n in (1, 30, 700, 5000):
+        want = sorted(map(str, SA.stratified_sample_n(df, "label", "photo_id", n).collect())) if n <= 1000 else sorted(map(str, df.collect()))
+        monkeypatch.setattr(SA, "GROUP_LIMIT_MAX", 0)
+        got = sorted(map(str, SA.stratified_sample_n(df.repartition(5), "label", "photo_id", n).collect()))
+        monkeypatch.undo()
+        assert got == want
+
+
+def test_threshold_sample_of_a_hot_label(spark):
+    df = spark.range(1_000_000).select(F.col("id").alias("k"), F.when(F.col("id") % 100 > 0, "hot").otherwise("cold").alias("label"))
+    got = SA.stratified_sample_n(df, "label", "k", 100_000)
+    assert {r["label"]: r["count"] for r in got.groupBy("label").count().collect()} == {"hot": 100_000, "cold": 10_000}
+    want = df.filter("label = 'hot'").orderBy(SA.seeded_hash("k", 16), "k").limit(100_000)
+    assert got.filter("label = 'hot'").select("k").exceptAll(want.select("k")).count() == 0
+    assert SA.stratified_sample_n(df.limit(0), "label", "k", 100_000).count() == 0
+
+
+def test_chunk_sample_reads_a_prefix(spark, monkeypatch):
+    rows = [(None if i % 97 == 0 else i // 5, i, (i * 37) % 11, "p") for i in range(30_000)]
+    df = spark.createDataFrame(rows, "a long, k long, stars long, payload string").repartition(6)
+    size, seen = 100, []
+    full = SA.with_global_index
+    monkeypatch.setattr(SA, "with_global_index", lambda d, *a, **b: seen.append(d.count()) or full(d, *a, **b))
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    for limit, few in ((4, 100_000), (1, 3), (0, 100_000)):  # many, few and no matches
+        monkeypatch.setattr(SA, "FEW_CHUNKS", few)
+        seen.clear()
+        got = SA.chunk_sample(df, ["a", "k"], F.col("stars") < limit, size, F.col("k"))
+        got = sorted((r.k, r.chunk) for r in got.collect())
+        flat = [(r[1], r[2]) for r in ordered]
+        assert got == sorted((r[0], c) for r, c in brute_chunk_sample(flat, size, lambda r: r[1] < limit))
+        assert seen[0] < 30_000 / 5 and (limit > 0 or seen[-1] == 30_000)
+
+
+def test_prefix_filter_is_pushed_down(spark, tmp_path):
+    spark.range(1000).select(F.col("id").alias("k")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plan = df.filter(SA._up_to(["k"], df.schema, df.filter("k = 5").first()))
+    assert plan.count() == 6 and "LessThanOrEqual(k,5)" in plan._jdf.queryExecution().executedPlan().toString()

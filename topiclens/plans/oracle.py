@@ -120,6 +120,10 @@ def _sources() -> dict[str, str]:
         "photos_available": f"WITH {PHOTOS}, {FILES} SELECT photo_id, label FROM photos "
                             "WHERE photo_id IN (SELECT photo_id FROM files)",
         "stratified_sample": f"WITH {PHOTOS}, {FILES}, {SAMPLED} SELECT photo_id, label FROM sampled",
+        "stratified_sample_large": f"""SELECT stars, review_key FROM (
+    SELECT *, row_number() OVER (PARTITION BY stars ORDER BY md5(review_key || ':{SEED}'), review_key) AS rn FROM (
+      SELECT l_linenumber AS stars, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS review_key
+      FROM lineitem)) WHERE rn <= 1500""",
         "retention_manifest": f"WITH {PHOTOS}, {FILES}, {SAMPLED} SELECT photo_id, file_name FROM files "
                               "WHERE photo_id NOT IN (SELECT photo_id FROM sampled)",
     }

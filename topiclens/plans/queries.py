@@ -113,6 +113,12 @@ def stratified_sample(spark, d):
     return _sampled_photos(spark, d)
 
 
+def stratified_sample_large(spark, d):
+    """W1 above Spark's group limit: 1,500 reviews of every star value, by hash thresholds."""
+    r = SI.reviews(spark, d).select("stars", SI.lineitem_key().alias("review_key"))
+    return SA.stratified_sample_n(r, "stars", "review_key", 1500, SEED)
+
+
 def retention_manifest(spark, d):
     return RD.retention_manifest(SI.photo_files(spark, d), _sampled_photos(spark, d)).select(
         "photo_id", "file_name")
@@ -661,7 +667,7 @@ ORACLE_QUERIES = [
     standard_scale, covariance, nearest_centroid, bovw_histogram, bovw_wide, bovw_tfidf, top_descriptors,
     confusion_matrix, purity_matrix, match_clusters, adjusted_rand_index, evaluate_clusters, suggest_types,
     to_gray, equalize_hist, gaussian_blur, swap_channels, resize_nearest, center_channels,
-    kmeans_steps, dictionary_steps,
+    kmeans_steps, dictionary_steps, stratified_sample_large,
 ]
 ROWS_ONLY_QUERIES = [
     pca_reduce, kmeans_best_of, visual_dictionary, lda_topics, doc_topics, coherence_sweep, topic_report,

@@ -152,6 +152,6 @@ def select_reviews(businesses: DataFrame, reviews: DataFrame, category: str, sta
         # the chunk boundaries count *every* review line, so the filter goes inside W2
         flagged = reviews.join(ids.withColumn("_biz_ok", F.lit(True)), biz_key, "left")
         match = star_ok & F.coalesce(F.col("_biz_ok"), F.lit(False))
-        return S.chunk_sample(flagged, order, match, size, hash_key, seed).drop("_biz_ok")
+        return S.chunk_sample(flagged, order, match, size, hash_key, seed, base=reviews).drop("_biz_ok")
     filtered = qualifying.filter(star_ok)
     return filtered.orderBy(S.seeded_hash(hash_key, seed), *order).limit(int(size))
