@@ -1,5 +1,7 @@
 import math
 
+from pyspark.sql import functions as F
+
 from topiclens.operators import topics as TP
 
 
@@ -73,3 +75,27 @@ def test_topic_map_2d(spark):
     m = {r.topic: (r.x, r.y) for r in TP.topic_map_2d(TP.topic_distance(tt), TP.topic_prevalence(dt)).collect()}
     # identical topics 0 and 2 land on the same point
     assert abs(m[0][0] - m[2][0]) < 1e-9 and abs(m[0][1] - m[2][1]) < 1e-9
+
+
+def test_u_mass_of_two_hundred_terms_matches_brute_force(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    n_docs, n_top = 300, 200
+    has = rng.random((n_docs, n_top + 20)) < rng.random(n_top + 20) * 0.5
+    has[0] = True  # every term is somewhere
+    rows = [(int(i), f"w{j:03d}") for i, j in zip(*np.nonzero(has))]
+    doc_terms = spark.createDataFrame(rows, "doc_id long, term string").repartition(4)
+    top = spark.createDataFrame([(t, f"w{j + 20 * t:03d}", j + 1) for t in range(2) for j in range(n_top)], "topic int, term string, rank int")
+    got = {r.topic: r.coherence for r in TP.u_mass(doc_terms, top, n_docs).collect()}
+    for t in range(2):
+        x = has[:, 20 * t:20 * t + n_top].astype(float)
+        both, one = x.T @ x / n_docs, x.mean(axis=0)
+        want = np.mean([np.log((both[i, j] + 1e-12) / one[j]) for i in range(n_top) for j in range(i)])
+        assert abs(got[t] - want) < 1e-9
+    models = top.select(F.when(F.col("topic") == 0, 7).otherwise(8).alias("model"), "topic", "term", "rank")
+    by_model = TP.coherence_of_models(doc_terms, models.unionByName(models.filter("topic = 0").withColumn("model", F.lit(8))), n_docs)
+    both = {r.model: r.coherence for r in by_model.collect()}
+    assert abs(both[7] - got[0]) < 1e-12 and abs(both[8] - (got[0] + got[1]) / 2) < 1e-12
+    plan = by_model._jdf.queryExecution().toString()
+    assert plan.count("== Physical Plan ==") == 1

@@ -160,7 +160,7 @@ def chunk_sample(df: DataFrame, order: list[Column | str], match: Column, size:
 
 # A first prefix has room for this many chunks (20 full ones reach the size); the sketch holds about so many rows.
 PREFIX_CHUNKS = 30
-SKETCH_ROWS = 10_000
+SKETCH_ROWS = 2_000
 FEW_CHUNKS = 100_000
 
 

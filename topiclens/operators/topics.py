@@ -14,9 +14,15 @@ key and left to AQE.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 
 def top_terms(topic_term: DataFrame, n: int, topic: str = "topic", term: str = "term",
@@ -126,8 +132,6 @@ def topic_map_2d(distance: DataFrame, prevalence: DataFrame) -> DataFrame:
     The input has k*(k-1)/2 rows (k = number of topics), so it is brought to the driver
     and decomposed with numpy; nothing document- or term-sized leaves the executors.
     """
-    import numpy as np
-
     rows = distance.select("topic_a", "topic_b", "jsd").collect()
     prev = {r["topic"]: r["share"] for r in prevalence.select("topic", "share").collect()}
     topics = sorted(set(prev) | {r[0] for r in rows} | {r[1] for r in rows})
@@ -156,7 +160,51 @@ def topic_map_2d(distance: DataFrame, prevalence: DataFrame) -> DataFrame:
     return spark.createDataFrame(data, schema)
 
 
-MAX_TOP_TERMS = 62  # ranks are bits of one BIGINT mask
+WORD_BITS = 62  # ranks in one BIGINT of a mask
+
+
+def _bits(words: np.ndarray, n: int) -> np.ndarray:
+    """Rows of mask words as rows of ``n`` zeros and ones."""
+    ranks = np.arange(n)
+    return ((words[:, ranks // WORD_BITS] >> (ranks % WORD_BITS)) & 1).astype(np.float64)
+
+
+def _pair_counts(masks: DataFrame, n_top: int) -> DataFrame:
+    """``(topic, rank_j, rank_i, d)``: documents holding both ranks, for ``rank_i >= rank_j``.
+
+    Each task multiplies the bit matrices of its distinct masks (weighted by their documents) into
+    one n_top x n_top block per topic and sends its rows, which are summed by key.
+    """
+    kind = masks.schema["topic"].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: dict = {}
+        for batch in batches:
+            topic = batch.column("topic").dictionary_encode()
+            code = topic.indices.to_numpy(zero_copy_only=False)
+            words = batch.column("mask").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            docs = batch.column("docs").to_numpy(zero_copy_only=False).astype(np.float64)
+            for t, name in enumerate(topic.dictionary.to_pylist()):
+                rows = np.flatnonzero(code == t)
+                for lo in range(0, len(rows), 4096):
+                    some = rows[lo:lo + 4096]
+                    x = _bits(words[some], n_top)
+                    blocks[name] = blocks.get(name, 0) + (x * docs[some, None]).T @ x
+        for name, block in blocks.items():
+            held = np.flatnonzero(block.any(axis=1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(held), arrow_kind), pa.array(held + 1, pa.int32()),
+                 pa.array(block[held].tolist(), pa.list_(pa.float64()))], ["topic", "rank_j", "row"])
+
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    arrow_kind = to_arrow_type(kind)
+    schema = StructType([StructField("topic", kind), StructField("rank_j", IntegerType()),
+                         StructField("row", ArrayType(DoubleType()))])
+    sums = masks.mapInArrow(run, schema).groupBy("topic", "rank_j").agg(
+        vector_to_array(Summarizer.sum(array_to_vector("row"))).alias("row"))
+    return sums.select("topic", "rank_j", F.posexplode("row").alias("i", "d")).select(
+        "topic", "rank_j", (F.col("i") + 1).alias("rank_i"), F.col("d").cast("long").alias("d")).filter("rank_i >= rank_j")
 
 
 def u_mass(doc_terms: DataFrame, top: DataFrame, n_docs: int | DataFrame, eps: float = 1e-12,
@@ -164,41 +212,38 @@ def u_mass(doc_terms: DataFrame, top: DataFrame, n_docs: int | DataFrame, eps: f
     """``(topic, coherence)`` by u_mass over each topic's ranked top terms.
 
     ``doc_terms(doc_id, term)``: the terms present in each document, one row per pair.
-    ``top(topic, term, rank)``: the ranked top terms (rank 1 = highest weight, at most 62;
-    ``n_top`` = the largest rank, when known).
+    ``top(topic, term, rank)``: the ranked top terms (rank 1 = highest weight; ``n_top`` = the largest
+    rank, when known).
     For pairs with rank_i > rank_j: ln((D(wi,wj)/N + eps) / (D(wj)/N)) (``smoothing="eps"``)
     or ln((D(wi,wj) + 1) / D(wj)) (``"plus_one"``, Mimno et al. 2011).  Mean over pairs.
 
-    Plan: each (document, topic) becomes one bit mask of the top terms it holds; masks are
-    counted (partial aggregate, so common masks collapse before the shuffle), and pair
-    counts come from the distinct masks only.  No self-join of documents.
+    Plan: each (document, topic) becomes one bit mask of the top terms it holds, in as many words of
+    ``WORD_BITS`` bits as ``n_top`` needs; masks are counted (partial aggregate, so common masks collapse
+    before the shuffle), and pair counts come from products of the distinct masks' bit matrices.
+    No self-join of documents, no row per pair and document.
     """
     top = top.select("topic", "term", "rank")
     # the caller usually knows how many top terms it kept; otherwise read it (a small job)
     t_max = n_top if n_top is not None else (top.agg(F.max("rank")).first()[0] or 0)
-    if t_max > MAX_TOP_TERMS:
-        raise ValueError(f"at most {MAX_TOP_TERMS} top terms per topic")
+    words = max(1, -(-t_max // WORD_BITS))
     # k*T rows: bounded by the number of topics times the top-term count
     # doc_terms has one row per (document, term) (a bag of words); only rows of top terms
     # survive the broadcast join, so the shuffle below moves a small fraction of it
     present = doc_terms.select("doc_id", "term").join(F.broadcast(top), "term")
-    masks = (present.groupBy("doc_id", "topic")
-             .agg(F.bit_or(F.pow(F.lit(2), F.col("rank") - 1).cast("long")).alias("mask"))
-             .groupBy("topic", "mask").agg(F.count(F.lit(1)).alias("docs")))
-    ranks = F.sequence(F.lit(1), F.lit(t_max))
-    bit = lambda r: F.pow(F.lit(2), r - 1).cast("long")  # noqa: E731  (exact up to 2^62)
-    has = lambda r: (F.col("mask").bitwiseAND(bit(r))) != 0
-    singles = masks.select("topic", "docs", F.explode(F.filter(ranks, has)).alias("rank_j"))
-    occ = singles.groupBy("topic", "rank_j").agg(F.sum("docs").alias("d_w"))
-    pair_list = F.flatten(F.transform(F.filter(ranks, has), lambda j: F.transform(
-        F.filter(ranks, lambda i: (i > j) & has(i)), lambda i: F.struct(i.alias("rank_i"), j.alias("rank_j")))))
-    co = (masks.select("topic", "docs", F.explode(pair_list).alias("pr"))
-          .groupBy("topic", F.col("pr.rank_i").alias("rank_i"), F.col("pr.rank_j").alias("rank_j"))
-          .agg(F.sum("docs").alias("d_ij")))
+    place = F.col("rank").cast("int") - 1
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(WORD_BITS)))
+    parts = [F.bit_or(F.when(F.floor(place / WORD_BITS) == w, bit).otherwise(F.lit(0).cast("long"))).alias(f"_w{w}")
+             for w in range(words)]
+    masks = (present.groupBy("doc_id", "topic").agg(*parts)
+             .groupBy("topic", *[f"_w{w}" for w in range(words)]).agg(F.count(F.lit(1)).alias("docs"))
+             .select("topic", F.array(*[f"_w{w}" for w in range(words)]).alias("mask"), "docs"))
+    counted = _pair_counts(masks, max(1, t_max))
+    occ = counted.filter("rank_i = rank_j").select("topic", "rank_j", F.col("d").alias("d_w"))
+    co = counted.filter("rank_i > rank_j").select("topic", "rank_j", "rank_i", F.col("d").alias("d_ij"))
     pairs = (top.alias("i").join(top.alias("j"), (F.col("i.topic") == F.col("j.topic"))
                                  & (F.col("i.rank") > F.col("j.rank")))
-             .select(F.col("i.topic").alias("topic"), F.col("i.rank").alias("rank_i"),
-                     F.col("j.rank").alias("rank_j")))
+             .select(F.col("i.topic").alias("topic"), F.col("i.rank").cast("int").alias("rank_i"),
+                     F.col("j.rank").cast("int").alias("rank_j")))
     full = (pairs.join(co, ["topic", "rank_i", "rank_j"], "left").fillna(0, ["d_ij"])
             .join(occ, ["topic", "rank_j"], "left"))
     if isinstance(n_docs, DataFrame):
@@ -215,6 +260,20 @@ def u_mass(doc_terms: DataFrame, top: DataFrame, n_docs: int | DataFrame, eps: f
     return full.groupBy("topic").agg(F.avg(score).alias("coherence"))
 
 
+def coherence_of_models(doc_terms: DataFrame, tops: DataFrame, n_docs: int | DataFrame, n_top: int | None = None,
+                        **options) -> DataFrame:
+    """``(model, coherence)``, the mean u_mass of every model's topics, in one pass over ``doc_terms``.
+
+    ``tops(model, topic, term, rank)`` holds the ranked top terms of all models; each (model, topic) is a topic
+    of its own in one :func:`u_mass` pass.
+    """
+    kind = tops.select("model", F.struct("model", "topic").alias("topic"), "term", "rank")
+    key = F.to_json("topic")
+    per = u_mass(doc_terms, kind.select(key.alias("topic"), "term", "rank"), n_docs, n_top=n_top, **options)
+    names = kind.select(key.alias("topic"), "model").distinct()
+    return per.join(names, "topic").groupBy("model").agg(F.avg("coherence").alias("coherence"))
+
+
 def mean_coherence(per_topic: DataFrame) -> DataFrame:
     """Model coherence: mean over topics."""
     return per_topic.agg(F.avg("coherence").alias("coherence"))

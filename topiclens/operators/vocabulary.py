@@ -14,12 +14,9 @@ Plan shape (no collect, at most one shuffle per step):
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import text as T
 from .indexing import with_global_index
 
 # Above this many terms (about 10 MB) a vocabulary is not broadcast by hint; AQE decides
@@ -27,13 +24,6 @@ from .indexing import with_global_index
 BROADCAST_VOCAB_MAX_TERMS = 200_000
 
 
-def tokenize_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-                       pattern: str = T.DEFAULT_TOKEN_PATTERN, lower: bool = True) -> DataFrame:
-    """``(doc_id, tokens)``: T1 (lower/strip) then T7 (regex tokens)."""
-    txt = T.lower_strip(text_col) if lower else F.col(text_col)
-    return docs.select(F.col(id_col).alias("doc_id"), T.tokenize(txt, pattern).alias("tokens"))
-
-
 def explode_tokens(tokens_df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
     """``(doc_id, pos, term)``."""
     return tokens_df.select("doc_id", F.posexplode(tokens_col).alias("pos", "term"))
@@ -48,29 +38,24 @@ def collect_tokens(long_df: DataFrame, term_col: str = "term") -> DataFrame:
                     F.array_join(F.col("_p.term"), " ").alias("text"))
 
 
-def term_counts(tokens_df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
-    """``(doc_id, term, tf)`` for every distinct token of every document, with no shuffle.
+def term_counts(tokens_df: DataFrame, tokens_col: str = "tokens", keep: list[str] | None = None) -> DataFrame:
+    """``(doc_id, term, tf)`` for every distinct token of every document, with no shuffle (``keep``: more columns).
 
     A document is one row, so its counts are computed inside the row: sort the tokens,
     find where runs of equal tokens start, and emit one ``(term, run length)`` per run.
     The sorted array and the run starts are separate projections (materialised columns):
     a lambda that referenced the sorting expression itself would re-run it per element.
     """
-    s = tokens_df.select("doc_id", F.sort_array(tokens_col).alias("_s"))
-    s = s.select("doc_id", "_s", F.size("_s").alias("_n"), F.filter(
+    ids = ["doc_id", *(keep or [])]
+    s = tokens_df.select(*ids, F.sort_array(tokens_col).alias("_s"))
+    s = s.select(*ids, "_s", F.size("_s").alias("_n"), F.filter(
         F.sequence(F.lit(1), F.greatest(F.size("_s"), F.lit(1))),
         lambda i: (i == 1) | (F.element_at(F.col("_s"), i) != F.element_at(F.col("_s"), i - 1))).alias("_st"))
     runs = F.transform(F.col("_st"), lambda st, k: F.struct(
         F.element_at(F.col("_s"), st).alias("term"),
         (F.coalesce(F.try_element_at(F.col("_st"), k + 2), F.col("_n") + 1) - st).cast("long").alias("tf")))
-    out = s.select("doc_id", F.explode(F.when(F.col("_n") > 0, runs)).alias("_c"))
-    return out.select("doc_id", F.col("_c.term").alias("term"), F.col("_c.tf").alias("tf"))
-
-
-def term_counts_grouped(long_tokens: DataFrame) -> DataFrame:
-    """``(doc_id, term, tf)`` from a long ``(doc_id, term)`` table (a document spread over
-    many rows): ``groupBy`` with a partial aggregate before the shuffle."""
-    return long_tokens.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    out = s.select(*ids, F.explode(F.when(F.col("_n") > 0, runs)).alias("_c"))
+    return out.select(*ids, F.col("_c.term").alias("term"), F.col("_c.tf").alias("tf"))
 
 
 def build_vocabulary(counts: DataFrame) -> DataFrame:
@@ -80,11 +65,6 @@ def build_vocabulary(counts: DataFrame) -> DataFrame:
     )
 
 
-def count_documents(tokens_df: DataFrame) -> int:
-    """N: number of documents of the corpus, empty documents included (a scalar action)."""
-    return tokens_df.select("doc_id").count()
-
-
 def filter_extremes(vocab: DataFrame, n_docs: int, no_below: int = 0, no_above: float = 1.0,
                     keep_n: int | None = 100_000) -> DataFrame:
     """A2: keep ``no_below <= df <= int(no_above * N)``, then the ``keep_n`` most frequent.
@@ -182,12 +162,13 @@ def tfidf(bow: DataFrame, vocab_ids: DataFrame, n_docs: int, smartirs: str = "nf
                          broadcast_df=keep_n is not None and keep_n <= BROADCAST_VOCAB_MAX_TERMS)
 
 
-def nonzero_counts(long_df: DataFrame, item: str, value: str) -> DataFrame:
-    """Per item, rows and rows with a positive value."""
-    return long_df.groupBy(item).agg(F.count(F.lit(1)).alias("n_rows"),
-                                     F.count_if(F.col(value) > 0).alias("n_nonzero"))
+def nonzero_counts(long_df: DataFrame, item: str, value: str, n_rows: int, items: DataFrame | None = None) -> DataFrame:
+    """``(item, n_rows, n_nonzero)`` over the whole matrix: all its rows, and those with a positive value.
 
-
-def idf_log2(n_docs: int, df: int) -> float:
-    """Scalar helper for tests: log2(N/df)."""
-    return math.log2(n_docs / df)
+    ``n_rows`` counts every row of the matrix (document, image), those without an entry included; ``items``
+    adds the columns that have no entry at all.
+    """
+    found = long_df.groupBy(item).agg(F.count_if(F.col(value) > 0).alias("n_nonzero"))
+    if items is not None:
+        found = items.select(item).join(found, item, "left").fillna(0, ["n_nonzero"])
+    return found.select(item, F.lit(n_rows).cast("long").alias("n_rows"), "n_nonzero")

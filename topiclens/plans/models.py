@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..operators import kmeans as KM
 from ..operators import topics as TP
 from ..operators.nearest import nearest_centroid
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 def checkpointed(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the session's shared checkpoint folder."""
@@ -71,15 +71,15 @@ def log2_idf(vocab_ids: DataFrame, n_docs: int) -> list[float]:
 
 
 def lda_fit(vectors: DataFrame, k: int, seed: int = 16, max_iter: int = 50, features: str = "features",
-            optimizer: str = "online", passes: float = 1.0):
+            optimizer: str = "online", passes: float = 1.0, checkpoint: bool = True):
     """M8: LDA with library-default-like settings: alpha = eta = 1/k, online optimizer.
 
     Every iteration draws ``passes`` times as many documents as the corpus has (all of it by
     default), from partitions of the input's own size, so the share of documents that no
     iteration draws is about exp(-passes * max_iter), whatever the corpus.  The input is
-    checkpointed, so that the same seed gives the same model.
+    checkpointed (``checkpoint=False``: it has been already), so that the same seed gives the same model.
     """
-    data = checkpointed(vectors.select(features))
+    data = checkpointed(vectors.select(features)) if checkpoint else vectors.select(features)
     lda = LDA(k=k, seed=seed, maxIter=max_iter, optimizer=optimizer, featuresCol=features)
     if optimizer == "online":
         # symmetric 1/k priors; EM needs priors > 1 and keeps Spark's automatic choice
@@ -88,18 +88,6 @@ def lda_fit(vectors: DataFrame, k: int, seed: int = 16, max_iter: int = 50, feat
     return lda.fit(data)
 
 
-def topic_term_table(model, terms: list[str]) -> DataFrame:
-    """``(topic, term, p)`` = p(w|t) for every term (k x V rows, rows of a topic sum to 1)."""
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.getActiveSession()
-    tm = model.topicsMatrix().toArray()  # V x k, the model itself
-    k = tm.shape[1]
-    sums = tm.sum(axis=0)
-    rows = [(t, terms[i], float(tm[i, t] / sums[t])) for t in range(k) for i in range(tm.shape[0])]
-    return spark.createDataFrame(rows, "topic int, term string, p double")
-
-
 def describe_topics(model, terms: list[str], n: int = 40) -> DataFrame:
     """``(topic, rank, term, weight)`` top ``n`` terms per topic."""
     d = model.describeTopics(n)
@@ -133,14 +121,14 @@ def coherence_sweep(vectors: DataFrame, terms: list[str], doc_terms: DataFrame,
                     ks: list[int], seed: int = 16, max_iter: int = 30, top_n: int = 20) -> DataFrame:
     """``(num_topics, coherence)`` for each k (mean u_mass over topics, rounded to 2)."""
     data = checkpointed(vectors.select("features"))
-    spark = vectors.sparkSession
-    rows = []
+    tops = None
     for k in ks:
-        model = lda_fit(data, k, seed=seed, max_iter=max_iter)
-        top = describe_topics(model, terms, top_n)
-        c = TP.mean_coherence(TP.u_mass(doc_terms, top, n_docs, n_top=top_n)).first()[0]
-        rows.append((int(k), round(float(c), 2)))
-    return spark.createDataFrame(rows, "num_topics int, coherence double")
+        top = describe_topics(lda_fit(data, k, seed=seed, max_iter=max_iter, checkpoint=False), terms, top_n)
+        named = top.select(F.lit(int(k)).alias("model"), "topic", "term", "rank")
+        tops = named if tops is None else tops.unionByName(named)
+    # k x top_n rows for every model: small, written once; the corpus is read once for all of them
+    found = TP.coherence_of_models(doc_terms, materialize(tops, "top_terms"), n_docs, n_top=top_n)
+    return found.select(F.col("model").alias("num_topics"), F.round("coherence", 2).alias("coherence"))
 
 
 # ---------------------------------------------------------------------------

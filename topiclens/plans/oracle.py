@@ -237,8 +237,8 @@ SELECT lang, CAST(rk AS INTEGER) AS "rank", term, round(score, 6) AS score FROM
                           "coalesce(string_agg(CAST(t.term_id AS VARCHAR), ',' ORDER BY t.term_id), '') AS indices, "
                           "round(coalesce(sum(t.weight), 0), 6) AS total_weight FROM documents d "
                           "LEFT JOIN tfidf t ON t.doc_id = d.doc_id GROUP BY d.doc_id",
-        "nonzero_counts": f"WITH {_tfidf_cte()} SELECT term_id, count(*) AS n_rows, "
-                          "count(*) FILTER (WHERE weight > 0) AS n_nonzero FROM tfidf GROUP BY term_id",
+        "nonzero_counts": f"WITH {_tfidf_cte()} SELECT f.term_id, {N_DOCS} AS n_rows, count(n.weight) FILTER (WHERE n.weight > 0) "
+                          "AS n_nonzero FROM filtered f LEFT JOIN normed n USING (term_id) GROUP BY f.term_id",
         "sparse_to_wide": f"WITH {_tfidf_cte(20)} SELECT d.doc_id, {wide_cols} FROM documents d "
                           "LEFT JOIN tfidf t ON t.doc_id = d.doc_id GROUP BY d.doc_id",
     }
@@ -262,6 +262,23 @@ pw AS (SELECT term, freq / (SELECT sum(freq) FROM tf_all) AS pw FROM tf_all),
 est AS (SELECT tt.topic, tt.term, tt.p * prev.size AS est_freq FROM tt JOIN prev USING (topic))"""
 
 
+def _coherence(n: int) -> str:
+    """u_mass of the ``n`` top terms of every topic, from a self-join of the documents that hold them."""
+    return f"""{PROXY},
+top AS (SELECT topic, term, rk FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY p DESC, term) AS rk FROM tt)
+        WHERE rk <= {n}),
+dt AS (SELECT DISTINCT doc_id, term FROM kc),
+hits AS (SELECT top.topic, top.rk, dt.doc_id FROM top JOIN dt USING (term)),
+occ AS (SELECT topic, rk, count(*) AS d FROM hits GROUP BY topic, rk),
+co AS (SELECT a.topic, a.rk AS ri, b.rk AS rj, count(*) AS d FROM hits a JOIN hits b
+       ON a.doc_id = b.doc_id AND a.topic = b.topic AND a.rk > b.rk GROUP BY a.topic, a.rk, b.rk),
+pairs AS (SELECT i.topic, i.rk AS ri, j.rk AS rj FROM top i JOIN top j ON i.topic = j.topic AND i.rk > j.rk),
+n AS (SELECT count(*)::DOUBLE AS n FROM documents),
+coh AS (SELECT p.topic, avg(ln((coalesce(co.d, 0) / n.n + 1e-12) / (occ.d / n.n))) AS coherence
+FROM pairs p LEFT JOIN co USING (topic, ri, rj) JOIN occ ON occ.topic = p.topic AND occ.rk = p.rj, n
+GROUP BY p.topic)"""
+
+
 def _topics() -> dict[str, str]:
     return {
         "term_frequency": f"WITH {PROXY} SELECT term, freq FROM tf_all",
@@ -291,19 +308,11 @@ j AS (SELECT coalesce(sa.ta, sb.ta) AS ta, coalesce(sa.tb, sb.tb) AS tb, coalesc
 SELECT ta AS topic_a, tb AS topic_b, round(0.5 * sum(
     CASE WHEN pa > 0 THEN pa * ln(pa / ((pa + pb) / 2)) ELSE 0 END +
     CASE WHEN pb > 0 THEN pb * ln(pb / ((pa + pb) / 2)) ELSE 0 END), 6) AS jsd FROM j GROUP BY ta, tb""",
-        "u_mass": f"""WITH {PROXY},
-top AS (SELECT topic, term, rk FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY p DESC, term) AS rk FROM tt)
-        WHERE rk <= 20),
-dt AS (SELECT DISTINCT doc_id, term FROM kc),
-hits AS (SELECT top.topic, top.rk, dt.doc_id FROM top JOIN dt USING (term)),
-occ AS (SELECT topic, rk, count(*) AS d FROM hits GROUP BY topic, rk),
-co AS (SELECT a.topic, a.rk AS ri, b.rk AS rj, count(*) AS d FROM hits a JOIN hits b
-       ON a.doc_id = b.doc_id AND a.topic = b.topic AND a.rk > b.rk GROUP BY a.topic, a.rk, b.rk),
-pairs AS (SELECT i.topic, i.rk AS ri, j.rk AS rj FROM top i JOIN top j ON i.topic = j.topic AND i.rk > j.rk),
-n AS (SELECT count(*)::DOUBLE AS n FROM documents)
-SELECT p.topic, round(avg(ln((coalesce(co.d, 0) / n.n + 1e-12) / (occ.d / n.n))), 6) AS coherence
-FROM pairs p LEFT JOIN co USING (topic, ri, rj) JOIN occ ON occ.topic = p.topic AND occ.rk = p.rj, n
-GROUP BY p.topic""",
+        "u_mass": f"WITH {_coherence(20)} SELECT topic, round(coherence, 6) AS coherence FROM coh",
+        "u_mass_wide": f"WITH {_coherence(100)} SELECT topic, round(coherence, 6) AS coherence FROM coh",
+        "coherence_models": " UNION ALL ".join(
+            f"SELECT {n} AS model, * FROM (WITH {_coherence(n)} SELECT round(avg(coherence), 6) AS coherence FROM coh)"
+            for n in (5, 10, 20)),
     }
 
 

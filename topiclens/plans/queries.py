@@ -264,9 +264,10 @@ def sparse_vectors(spark, d):
 
 
 def nonzero_counts(spark, d):
-    """Documents and documents with a positive weight, per term."""
-    _, vocab, w = _tfidf(spark, d)
-    return VO.nonzero_counts(w, "term_id", "weight")
+    """All documents, and documents with a positive weight, per term (zero weights stay in the matrix)."""
+    _, counts, n_docs, vocab = _corpus(spark, d)
+    w = VO.tfidf(VO.bag_of_words(counts, vocab, KEEP_N), vocab, n_docs, "nfc", KEEP_N, drop_zero=False)
+    return VO.nonzero_counts(w, "term_id", "weight", n_docs, vocab)
 
 
 # ---------------------------------------------------------------------------
@@ -274,55 +275,65 @@ def nonzero_counts(spark, d):
 # ---------------------------------------------------------------------------
 
 
-def _proxy_model(spark, d):
-    """A topic model stand-in: topic = language, p(w|t) from term counts of known terms.
+class _Proxy:
+    """A topic model stand-in: topic = language, p(w|t) from term counts of known terms (in 5 documents or more).
 
-    The per-document counts, their known-term subset and p(w|t) are each written once
-    (Parquet under the checkpoint folder); every diagnostic below reads them.  Topic
-    totals are a k-row table (broadcast)."""
-    toks = SI.tokens(spark, d)
-    langs = SI.documents(spark, d).select("doc_id", F.col("lang").alias("topic"))
-    counts = materialize(VO.term_counts(toks))
-    known = VO.build_vocabulary(counts).filter(F.col("df") >= 5).select("term")
-    kc = materialize(counts.join(known, "term").join(langs, "doc_id"), "known_counts")
-    per = kc.groupBy("topic", "term").agg(F.sum("tf").alias("c"))
-    totals = F.broadcast(per.groupBy("topic").agg(F.sum("c").alias("_total")))
-    topic_term = materialize(per.join(totals, "topic").select(
-        "topic", "term", (F.col("c") / F.col("_total")).alias("p")))
-    doc_topic = langs.select("doc_id", "topic", F.lit(1.0).alias("p"))
-    doc_len = kc.groupBy("doc_id").agg(F.sum("tf").alias("n_tokens"))
-    term_freq = TP.term_frequency(kc)
-    doc_terms = kc.select("doc_id", "term")
-    return dict(topic_term=topic_term, doc_topic=doc_topic, doc_len=doc_len, term_freq=term_freq,
-                doc_terms=doc_terms, n_docs=SI.documents(spark, d).count())
+    Per-document counts carry the language and are written once.  Everything indexed by term comes from
+    their ``(topic, term)`` sums, a vocabulary-sized table that is written too; only what is indexed by
+    document reads the counts again.  Topic totals are a k-row table (broadcast)."""
+
+    def __init__(self, spark, d):
+        toks = SI.tokens(spark, d)
+        self.langs = SI.documents(spark, d).select("doc_id", F.col("lang").alias("topic"))
+        self.n_docs = SI.documents(spark, d).count()
+        self.counts = materialize(VO.term_counts(toks, keep=["lang"]).withColumnRenamed("lang", "topic"))
+        sums = self.counts.groupBy("topic", "term").agg(F.sum("tf").alias("c"), F.count(F.lit(1)).alias("df"))
+        total_df = F.sum("df").over(Window.partitionBy("term"))  # a row per language
+        self.per = materialize(sums.withColumn("_df", total_df).filter(F.col("_df") >= 5).select("topic", "term", "c"), "per_topic")
+        totals = F.broadcast(self.per.groupBy("topic").agg(F.sum("c").alias("_total")))
+        self.topic_term = self.per.join(totals, "topic").select("topic", "term", (F.col("c") / F.col("_total")).alias("p"))
+        self.term_freq = self.per.groupBy("term").agg(F.sum("c").cast("long").alias("freq"))
+        self.doc_topic = self.langs.select("doc_id", "topic", F.lit(1.0).alias("p"))
+
+    def known(self) -> DataFrame:
+        """Per-document counts of known terms."""
+        return self.counts.join(self.per.select("term").distinct(), "term", "left_semi")
+
+    def doc_len(self) -> DataFrame:
+        return self.known().groupBy("doc_id").agg(F.sum("tf").alias("n_tokens"))
+
+    def doc_terms(self) -> DataFrame:
+        """Terms of each document; all of them, as top terms are known ones."""
+        return self.counts.select("doc_id", "term")
+
+    def prevalence(self) -> DataFrame:
+        return TP.topic_prevalence(self.doc_topic, self.doc_len())
 
 
 def term_frequency(spark, d):
-    return _proxy_model(spark, d)["term_freq"]
+    return _Proxy(spark, d).term_freq
 
 
 def topic_prevalence(spark, d):
-    m = _proxy_model(spark, d)
-    p = TP.topic_prevalence(m["doc_topic"], m["doc_len"])
+    p = _Proxy(spark, d).prevalence()
     return p.select("topic", F.round("size", 6).alias("size"), F.round("share", 6).alias("share"))
 
 
 def topic_term_estimate(spark, d):
-    m = _proxy_model(spark, d)
-    e = TP.topic_term_estimate(m["topic_term"], TP.topic_prevalence(m["doc_topic"], m["doc_len"]))
+    m = _Proxy(spark, d)
+    e = TP.topic_term_estimate(m.topic_term, m.prevalence())
     return e.select("topic", "term", F.round("est_freq", 6).alias("est_freq"))
 
 
 def term_topic_distribution(spark, d):
-    m = _proxy_model(spark, d)
-    e = TP.topic_term_estimate(m["topic_term"], TP.topic_prevalence(m["doc_topic"], m["doc_len"]))
+    m = _Proxy(spark, d)
+    e = TP.topic_term_estimate(m.topic_term, m.prevalence())
     return TP.term_topic_distribution(e).select("term", "topic", F.round("share", 6).alias("share"))
 
 
 def term_saliency(spark, d):
-    m = _proxy_model(spark, d)
-    prev = TP.topic_prevalence(m["doc_topic"], m["doc_len"])
-    s = TP.term_saliency(m["topic_term"], prev, m["term_freq"], n=None)
+    m = _Proxy(spark, d)
+    s = TP.term_saliency(m.topic_term, m.prevalence(), m.term_freq, n=None)
     s = s.withColumn("saliency", F.round("saliency", 10))
     order = [F.col("saliency").desc(), F.col("term")]
     top = s.orderBy(*order).limit(30).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
@@ -330,25 +341,41 @@ def term_saliency(spark, d):
 
 
 def term_relevance(spark, d):
-    m = _proxy_model(spark, d)
-    r = TP.term_relevance(m["topic_term"], m["term_freq"], RELEVANCE_LAMBDA, n=None)
+    m = _Proxy(spark, d)
+    r = TP.term_relevance(m.topic_term, m.term_freq, RELEVANCE_LAMBDA, n=None)
     r = r.withColumn("relevance", F.round("relevance", 10))
     top = TP.top_terms(r, 30, weight="relevance")
     return top.select("topic", "rank", "term", F.round("relevance", 6).alias("relevance"))
 
 
 def topic_distance(spark, d):
-    m = _proxy_model(spark, d)
-    return TP.topic_distance(m["topic_term"]).select("topic_a", "topic_b", F.round("jsd", 6).alias("jsd"))
+    return TP.topic_distance(_Proxy(spark, d).topic_term).select("topic_a", "topic_b", F.round("jsd", 6).alias("jsd"))
 
 
 def u_mass(spark, d):
-    m = _proxy_model(spark, d)
-    top = TP.top_terms(m["topic_term"], COHERENCE_TOP)
-    c = TP.u_mass(m["doc_terms"], top, m["n_docs"], n_top=COHERENCE_TOP)
+    m = _Proxy(spark, d)
+    top = TP.top_terms(m.topic_term, COHERENCE_TOP)
+    c = TP.u_mass(m.doc_terms(), top, m.n_docs, n_top=COHERENCE_TOP)
     return c.select("topic", F.round("coherence", 6).alias("coherence"))
 
 
+def u_mass_wide(spark, d):
+    """A9 with 100 top terms per topic (two words of bits)."""
+    m = _Proxy(spark, d)
+    c = TP.u_mass(m.doc_terms(), TP.top_terms(m.topic_term, 100), m.n_docs, n_top=100)
+    return c.select("topic", F.round("coherence", 6).alias("coherence"))
+
+
+def coherence_models(spark, d):
+    """M11's scoring checked by value: three models in one pass, each with its own number of top terms per language."""
+    m = _Proxy(spark, d)
+    top = TP.top_terms(m.topic_term, COHERENCE_TOP)
+    models = spark.createDataFrame([(5,), (10,), (20,)], "model int")
+    tops = top.join(F.broadcast(models), F.col("rank") <= F.col("model"))
+    c = TP.coherence_of_models(m.doc_terms(), tops, m.n_docs, n_top=COHERENCE_TOP)
+    return c.select("model", F.round("coherence", 6).alias("coherence"))
+
+
 # ---------------------------------------------------------------------------
 # Clustering evaluation, visual words, scaling
 # ---------------------------------------------------------------------------
@@ -532,8 +559,8 @@ def doc_topic_mass(spark, d):
 
 
 def topic_map_2d(spark, d):
-    m = _proxy_model(spark, d)
-    return TP.topic_map_2d(TP.topic_distance(m["topic_term"]), TP.topic_prevalence(m["doc_topic"], m["doc_len"]))
+    m = _Proxy(spark, d)
+    return TP.topic_map_2d(TP.topic_distance(m.topic_term), m.prevalence())
 
 
 def _features(spark, d):
@@ -667,7 +694,7 @@ ORACLE_QUERIES = [
     standard_scale, covariance, nearest_centroid, bovw_histogram, bovw_wide, bovw_tfidf, top_descriptors,
     confusion_matrix, purity_matrix, match_clusters, adjusted_rand_index, evaluate_clusters, suggest_types,
     to_gray, equalize_hist, gaussian_blur, swap_channels, resize_nearest, center_channels,
-    kmeans_steps, dictionary_steps, stratified_sample_large,
+    kmeans_steps, dictionary_steps, stratified_sample_large, u_mass_wide, coherence_models,
 ]
 ROWS_ONLY_QUERIES = [
     pca_reduce, kmeans_best_of, visual_dictionary, lda_topics, doc_topics, coherence_sweep, topic_report,
