@@ -50,6 +50,8 @@ class Moments:
 
 
 def moments(points: DataFrame) -> Moments:
+    if points.isEmpty():
+        return Moments(0, 0, 0.0)
     v = array_to_vector("x")
     row = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("d"), Summarizer.variance(v).alias("v")).first()
     n = int(row["n"])
@@ -244,6 +246,8 @@ def mini_batch(points: DataFrame, k: int, batch_rows: int, n_init: int, seed: in
     such sample goes on; beyond, the starts are k points each and are judged on the first batch.
     """
     spark, n = points.sparkSession, points.count()
+    if n < k:
+        raise ValueError(f"{k} clusters of {n} points")
     batches = deal(points, n, batch_rows, max_steps, seed)
     dim = points.agg(F.max(F.size("x"))).first()[0]
     if k <= spread_k and k * dim <= model_values:

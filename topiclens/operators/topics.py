@@ -274,6 +274,50 @@ def coherence_of_models(doc_terms: DataFrame, tops: DataFrame, n_docs: int | Dat
     return per.join(names, "topic").groupBy("model").agg(F.avg("coherence").alias("coherence"))
 
 
+def topic_report(top: DataFrame, doc_terms: DataFrame, n_docs: int | DataFrame, n: int = 40, coherence_terms: int = 20) -> DataFrame:
+    """``(topic, terms, weights, coherence)`` from ranked top terms ``(topic, term, rank, weight)``."""
+    coh = u_mass(doc_terms, top.filter(F.col("rank") <= coherence_terms), n_docs, n_top=coherence_terms)
+    words = (top.filter(F.col("rank") <= n).groupBy("topic")
+             .agg(F.array_sort(F.collect_list(F.struct("rank", "term", "weight"))).alias("terms")))
+    return words.join(coh, "topic").select("topic", F.col("terms.term").alias("terms"),
+                                           F.col("terms.weight").alias("weights"),
+                                           F.round("coherence", 2).alias("coherence"))
+
+
+def fold_in(counts: DataFrame, topic_term: DataFrame, topics: list, iterations: int = 20) -> DataFrame:
+    """M9 from an exported model: ``(doc_id, topic, p)`` = p(t|d) by EM with p(w|t) held fixed.
+
+    From equal shares, every iteration gives each topic its share of the document's known words,
+    ``p(t|d) = sum_w tf(w) p(w|t) p(t|d) / sum_s p(w|s) p(s|d) / sum_w tf(w)``.  ``topics`` lists the model's
+    topics (k entries).  A document is one row of its known terms; one without any has no rows.  The terms'
+    k probabilities travel by key, never as a whole model.
+    """
+    by_term = topic_term.groupBy("term").pivot("topic", topics).agg(F.first("p"))
+    share = F.array(*[F.coalesce(F.col(f"`{t}`"), F.lit(0.0)) for t in topics]).alias("_p")
+    words = counts.join(by_term.select("term", share), "term").filter(F.exists("_p", lambda p: p > 0))
+    docs = words.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("term", "tf", "_p"))).alias("_w"))
+    docs = docs.select("doc_id", F.col("_w.tf").cast("array<double>").alias("tf"), F.flatten("_w._p").alias("p"))
+    id_field = counts.schema["doc_id"]
+    k = len(topics)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shares = []
+            for tf, p in zip(batch.column("tf"), batch.column("p")):
+                tf, p = tf.values.to_numpy(), p.values.to_numpy().reshape(-1, k)
+                theta = np.full(k, 1.0 / k)
+                for _ in range(iterations):
+                    mix = p * theta
+                    theta = (tf[:, None] * mix / mix.sum(axis=1, keepdims=True)).sum(axis=0) / tf.sum()
+                shares.append(theta.tolist())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(shares, pa.list_(pa.float64()))], ["doc_id", "s"])
+
+    found = docs.mapInArrow(run, StructType([id_field, StructField("s", ArrayType(DoubleType()))]))
+    names = F.array(*[F.lit(t) for t in topics])
+    return found.select("doc_id", F.posexplode("s").alias("i", "p")).select(
+        "doc_id", F.element_at(names, F.col("i") + 1).alias("topic"), "p")
+
+
 def mean_coherence(per_topic: DataFrame) -> DataFrame:
     """Model coherence: mean over topics."""
     return per_topic.agg(F.avg("coherence").alias("coherence"))

@@ -12,13 +12,14 @@ import math
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import PCA, CountVectorizerModel, ElementwiseProduct, Normalizer, StandardScaler
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import kmeans as KM
+from ..operators import pca as PC
 from ..operators import topics as TP
 from ..operators.nearest import nearest_centroid
 from ..session import ensure_checkpoint_dir, materialize
@@ -108,13 +109,7 @@ def doc_topics(model, vectors: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def topic_report(model, terms: list[str], doc_terms: DataFrame, n_docs: int, n: int = 40,
                  coherence_terms: int = 20) -> DataFrame:
     """Per topic, its top ``n`` terms with weights and its u_mass coherence."""
-    top = describe_topics(model, terms, max(n, coherence_terms))
-    coh = TP.u_mass(doc_terms, top.filter(F.col("rank") <= coherence_terms), n_docs, n_top=coherence_terms)
-    words = (top.filter(F.col("rank") <= n).groupBy("topic")
-             .agg(F.array_sort(F.collect_list(F.struct("rank", "term", "weight"))).alias("terms")))
-    return words.join(coh, "topic").select("topic", F.col("terms.term").alias("terms"),
-                                           F.col("terms.weight").alias("weights"),
-                                           F.round("coherence", 2).alias("coherence"))
+    return TP.topic_report(describe_topics(model, terms, max(n, coherence_terms)), doc_terms, n_docs, n, coherence_terms)
 
 
 def coherence_sweep(vectors: DataFrame, terms: list[str], doc_terms: DataFrame, n_docs: int,
@@ -147,48 +142,38 @@ def standard_scale(df: DataFrame, features: str = "features", out: str = "scaled
     return res
 
 
+def _vector_column(df: DataFrame, features: str):
+    return F.col(features).cast("array<double>") if df.schema[features].dataType.typeName() == "array" else vector_to_array(features)
+
+
+def components(df: DataFrame, n_components: int | float, features: str = "features", scale: bool = True) -> PC.Components:
+    """The principal components of a vector (or array) column; see :mod:`operators.pca`."""
+    return PC.principal_components(KM.point_table(df, features), n_components, scale)
+
+
 def pca_reduce(df: DataFrame, n_components: int | float, features: str = "features",
                out: str = "pca", scale: bool = True, name_prefix: str | None = "C") -> DataFrame:
     """M2/M3: PCA after scaling by the population std; ``n_components`` is a count or a variance fraction.
 
-    Signs are fixed so that each component's largest-magnitude loading is positive.  A variance
-    fraction takes the leading components of one full fit.
+    Signs are fixed so that each component's largest-magnitude loading is positive.
     """
-    dim = len(df.select(features).first()[0])
-    data = standard_scale(df, features, "_scaled", ddof=0) if scale else df.withColumn("_scaled", F.col(features))
-    data = checkpointed(data)
-    if isinstance(n_components, float) and n_components < 1:
-        model = PCA(k=dim, inputCol="_scaled", outputCol="_p").fit(data)
-        cum, k = 0.0, dim
-        for i, v in enumerate(model.explainedVariance.toArray()):
-            cum += v
-            if cum >= n_components:
-                k = i + 1
-                break
-    else:
-        k = int(n_components)
-        model = PCA(k=k, inputCol="_scaled", outputCol="_p").fit(data)
-    pc = model.pc.toArray()
-    signs = [1.0 if pc[abs(pc[:, j]).argmax(), j] >= 0 else -1.0 for j in range(k)]
-    res = model.transform(data).withColumn(
-        out, F.transform(F.slice(vector_to_array("_p"), 1, k), lambda x, i: x * F.element_at(F.array(*[F.lit(s) for s in signs]), i + 1)))
-    res = res.drop("_p", "_scaled")
+    found = components(df, n_components, features, scale)
+    res = df.withColumn(out, found.project(_vector_column(df, features)))
     if name_prefix:
         res = res.select(*[c for c in res.columns if c != out],
-                         *[F.col(out)[j].alias(f"{name_prefix}{j}") for j in range(k)])
+                         *[F.col(out)[j].alias(f"{name_prefix}{j}") for j in range(len(found.variances))])
     return res
 
 
-def explained_variance(df: DataFrame, features: str = "features", scale: bool = True) -> DataFrame:
-    """``(component, ratio, cumulative)``."""
-    dim = len(df.select(features).first()[0])
-    data = standard_scale(df, features, "_scaled") if scale else df.withColumn("_scaled", F.col(features))
-    model = PCA(k=dim, inputCol="_scaled", outputCol="_p").fit(data)
-    rows, cum = [], 0.0
-    for i, v in enumerate(model.explainedVariance.toArray()):
-        cum += float(v)
-        rows.append((i, float(v), cum))
-    return df.sparkSession.createDataFrame(rows, "component int, ratio double, cumulative double")
+def explained_variance(df: DataFrame, features: str = "features", scale: bool = True,
+                       n_components: int | float | None = None) -> DataFrame:
+    """``(component, variance, ratio, cumulative)`` (default: of every component)."""
+    want = len(df.select(_vector_column(df, features)).filter(F.col(features).isNotNull()).first()[0]) if n_components is None \
+        else n_components
+    found = components(df, want, features, scale)
+    upto = found.ratios.cumsum()
+    rows = [(i, float(v), float(r), float(c)) for i, (v, r, c) in enumerate(zip(found.variances, found.ratios, upto))]
+    return df.sparkSession.createDataFrame(rows, "component int, variance double, ratio double, cumulative double")
 
 
 def project_2d(df: DataFrame, features: str = "features", id_col: str = "id") -> DataFrame:

@@ -279,8 +279,29 @@ FROM pairs p LEFT JOIN co USING (topic, ri, rj) JOIN occ ON occ.topic = p.topic
 GROUP BY p.topic)"""
 
 
+def _fold_in(steps: int) -> str:
+    """EM for p(t|d) with p(w|t) fixed, from equal shares."""
+    ctes = [PROXY, """words AS MATERIALIZED (SELECT doc_id, term, SUM(tf) AS tf FROM kc GROUP BY doc_id, term),
+cell AS MATERIALIZED (SELECT w.doc_id, w.term, w.tf, tt.topic, tt.p FROM words w JOIN tt USING (term)),
+len AS (SELECT doc_id, sum(tf) AS n FROM words GROUP BY doc_id),
+s0 AS (SELECT doc_id, topic, 1.0::DOUBLE / (SELECT count(DISTINCT topic) FROM tt) AS p FROM len CROSS JOIN (SELECT DISTINCT topic FROM tt))"""]
+    for i in range(steps):
+        ctes.append(f"""s{i + 1} AS MATERIALIZED (SELECT s.doc_id, s.topic, coalesce(g.m, 0) / len.n AS p FROM s{i} s JOIN len USING (doc_id) LEFT JOIN (
+    SELECT doc_id, topic, sum(tf * mix / tot) AS m FROM (
+        SELECT c.doc_id, c.topic, c.tf, c.p * s.p AS mix, sum(c.p * s.p) OVER (PARTITION BY c.doc_id, c.term) AS tot
+        FROM cell c JOIN s{i} s USING (doc_id, topic)) GROUP BY doc_id, topic) g USING (doc_id, topic))""")
+    return f"WITH {', '.join(ctes)} SELECT doc_id, topic, round(p, 6) AS p FROM s{steps}"
+
+
 def _topics() -> dict[str, str]:
     return {
+        "fold_in_topics": _fold_in(4),
+        "topic_report_terms": f"""WITH {_coherence(20)},
+top40 AS (SELECT topic, term, p, rk FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY p DESC, term) AS rk FROM tt)
+          WHERE rk <= 40),
+listed AS (SELECT topic, string_agg(term, ' ' ORDER BY rk) AS terms, string_agg(format('{{:.5f}}', p), ' ' ORDER BY rk) AS weights
+           FROM top40 GROUP BY topic)
+SELECT topic, terms, weights, round(coherence, 2) AS coherence FROM listed JOIN coh USING (topic)""",
         "term_frequency": f"WITH {PROXY} SELECT term, freq FROM tf_all",
         "topic_prevalence": f"WITH {PROXY} SELECT topic, round(size, 6) AS size, round(share, 6) AS share FROM prev",
         "topic_term_estimate": f"WITH {PROXY} SELECT topic, term, round(est_freq, 6) AS est_freq FROM est",
@@ -364,6 +385,10 @@ def _ari(table: str, col: str) -> str:
            / (SELECT sum(n)::DOUBLE * (sum(n) - 1) / 2 FROM {table}) AS e)))"""
 
 
+CORRELATIONS = f"""{LONG},
+cor AS MATERIALIZED (SELECT a.dim AS i, b.dim AS j, corr(a.x, b.x) AS r FROM long a JOIN long b USING (vec_id) GROUP BY a.dim, b.dim)"""
+
+
 def _lloyd(steps: int) -> str:
     """Two starts followed through ``steps`` iterations; an emptied centre stays."""
     ctes = [LONG, """c0 AS (SELECT 0 AS start, CAST(label AS INTEGER) AS cluster, dim, avg(x) AS m FROM long GROUP BY label, dim
@@ -429,6 +454,14 @@ SELECT image_id, desc_ix, round(energy, 6) AS energy FROM (
         "adjusted_rand_index": f"WITH {CLUSTERED} SELECT round({_ari('mcont', 'matched')}, 6) AS ari, "
                                f"round({_ari('cont', 'cluster')}, 6) AS raw_ari",
         "evaluate_clusters": f"WITH {CLUSTERED} SELECT label_code, matched, n FROM mcont",
+        "pca_spectrum": f"""WITH {CORRELATIONS}
+SELECT 'power 1' AS measure, round(sum(r), 5) AS value FROM cor WHERE i = j
+UNION ALL SELECT 'power 2', round(sum(r * r), 5) FROM cor
+UNION ALL SELECT 'power 3', round(sum(a.r * b.r * c.r), 5) FROM cor a JOIN cor b ON a.j = b.i JOIN cor c ON b.j = c.i AND c.j = a.i
+UNION ALL SELECT 'orthogonality', 0.0::DOUBLE UNION ALL SELECT 'projection', 0.0::DOUBLE""",
+        "explained_variance": f"""WITH {CORRELATIONS}
+SELECT (SELECT count(DISTINCT i) FROM cor) AS components, 1.0::DOUBLE AS whole,
+       round(sum(r * r) / power((SELECT count(DISTINCT i) FROM cor), 2), 8) AS concentration FROM cor""",
         "kmeans_steps": _lloyd(4),
         "dictionary_steps": _dictionary(3),
     }

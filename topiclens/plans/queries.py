@@ -554,10 +554,30 @@ def topic_report(spark, d):
 
 
 def doc_topic_mass(spark, d):
-    """Every document's topic probabilities add up to 1 (to 0 for one without a known term)."""
+    """Every document's topic probabilities add up to 1 (to 0 for one without a known term); values: ``fold_in_topics``."""
     return doc_topics(spark, d).groupBy("doc_id").agg(F.round(F.sum("p"), 6).alias("mass"))
 
 
+FOLD_IN_STEPS = 4
+
+
+def fold_in_topics(spark, d):
+    """M9 from an exported model: p(t|d) of every document after four EM steps against the language model's p(w|t)."""
+    m = _Proxy(spark, d)
+    topics = sorted(r["topic"] for r in m.per.select("topic").distinct().collect())
+    p = TP.fold_in(m.counts.select("doc_id", "term", "tf"), m.topic_term, topics, FOLD_IN_STEPS)
+    return p.select("doc_id", "topic", F.round("p", 6).alias("p"))
+
+
+def topic_report_terms(spark, d):
+    """M12 by value: top 40 terms with weights, and coherence of the top 20, per language."""
+    m = _Proxy(spark, d)
+    top = TP.top_terms(m.topic_term, 40).withColumnRenamed("p", "weight")
+    r = TP.topic_report(top, m.doc_terms(), m.n_docs, 40, 20)
+    return r.select("topic", F.array_join("terms", " ").alias("terms"), F.array_join(F.transform(
+        "weights", lambda w: F.format_string("%.5f", w)), " ").alias("weights"), "coherence")
+
+
 def topic_map_2d(spark, d):
     m = _Proxy(spark, d)
     return TP.topic_map_2d(TP.topic_distance(m.topic_term), m.prevalence())
@@ -576,6 +596,35 @@ def pca_reduce(spark, d):
     return MD.pca_reduce(_features(spark, d), 0.8).drop("features")
 
 
+def pca_spectrum(spark, d):
+    """M2, A18 by value: power sums of all component variances, how far the loadings are from orthonormal,
+    and how far the variances of the reduced vectors are from them (both 0)."""
+    import numpy as np
+
+    from . import models as MD
+
+    e = SI.embeddings_double(spark, d)
+    found = MD.components(e, 64, "vec")
+    off = float(np.abs(found.vectors.T @ found.vectors - np.eye(64)).max())
+    reduced = e.select(F.posexplode(found.project(F.col("vec"))).alias("i", "c"))
+    variances = spark.createDataFrame([(i, float(v)) for i, v in enumerate(found.variances)], "i int, v double")
+    gap = reduced.groupBy("i").agg(F.var_pop("c").alias("own")).join(F.broadcast(variances), "i").agg(
+        F.max(F.abs(F.col("own") - F.col("v"))).alias("value"))
+    sums = [(f"power {p}", float((found.variances ** p).sum())) for p in (1, 2, 3)] + [("orthogonality", off)]
+    rows = spark.createDataFrame(sums, "measure string, value double")
+    return rows.unionByName(gap.select(F.lit("projection").alias("measure"), "value")).select(
+        "measure", (F.round("value", 5) + F.lit(0.0)).alias("value"))
+
+
+def explained_variance(spark, d):
+    """The first component's variance reached by the power of the correlation matrix, and the whole sum of ratios."""
+    from . import models as MD
+
+    v = MD.explained_variance(SI.embeddings_double(spark, d), "vec")
+    return v.agg(F.count(F.lit(1)).alias("components"), F.round(F.max("cumulative"), 6).alias("whole"),
+                 F.round(F.sum(F.pow("ratio", F.lit(2))), 8).alias("concentration"))
+
+
 def project_2d(spark, d):
     from . import models as MD
 
@@ -694,7 +743,8 @@ ORACLE_QUERIES = [
     standard_scale, covariance, nearest_centroid, bovw_histogram, bovw_wide, bovw_tfidf, top_descriptors,
     confusion_matrix, purity_matrix, match_clusters, adjusted_rand_index, evaluate_clusters, suggest_types,
     to_gray, equalize_hist, gaussian_blur, swap_channels, resize_nearest, center_channels,
-    kmeans_steps, dictionary_steps, stratified_sample_large, u_mass_wide, coherence_models,
+    kmeans_steps, dictionary_steps, stratified_sample_large, u_mass_wide, coherence_models, fold_in_topics,
+    topic_report_terms, pca_spectrum, explained_variance,
 ]
 ROWS_ONLY_QUERIES = [
     pca_reduce, kmeans_best_of, visual_dictionary, lda_topics, doc_topics, coherence_sweep, topic_report,
