@@ -97,3 +97,23 @@ def test_covariance_matches_numpy(spark):
     scaled = CU.standard_scale_long(long)
     stats = scaled.groupBy("dim").agg({"value": "avg"}).collect()
     assert all(abs(r[1]) < 1e-12 for r in stats)
+
+
+def test_null_label_has_code_minus_one(spark):
+    df = spark.createDataFrame([(1, "b"), (2, None), (3, "a")], "id long, label string")
+    got = {r["id"]: r["label_code"] for r in CU.label_codes(df, "label").collect()}
+    assert got == {1: 1, 2: -1, 3: 0}
+    assert CU.distinct_labels(df, "label").first()[0] == 2
+
+
+def test_square_confusion_with_codes_on_one_side_only(spark):
+    cont = spark.createDataFrame([(0, 0, 3), (0, 4, 1), (2, 0, 2)], "label_code int, cluster int, n long")
+    got = {r["label_code"]: tuple(r)[1:] for r in CU.confusion_wide(cont).collect()}
+    assert got == {0: (3, 0, 1), 2: (2, 0, 0), 4: (0, 0, 0)}
+
+
+def test_dense_rows(spark):
+    cells = spark.createDataFrame([(1, 2, 0.5), (1, 0, 1.5), (2, 999, 2.0)], "doc_id long, term_id int, weight double")
+    rows = spark.createDataFrame([(1,), (2,), (3,)], "doc_id long")
+    got = {r["doc_id"]: r["row"] for r in CU.long_to_dense(cells, "doc_id", "term_id", "weight", 1000, rows).collect()}
+    assert all(len(v) == 1000 for v in got.values()) and got[1][:3] == [1.5, 0, 0.5] and got[2][999] == 2.0 and not any(got[3])

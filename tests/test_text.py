@@ -105,3 +105,17 @@ def test_text_functions_plan_has_no_shuffle_or_python(spark):
     plan = df.select(TX.clean_text("text"), TX.find_repeated("text"), TX.drop_repeated("text"))._jdf \
         .queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_numbers_ordinals_and_currency(spark):
+    words = ["2nd", "21ST", "3rd", "4th", "$5", "€1,000.50", "-7", "~3", "1/2", "first", "nd", "2x", "a4th", "5.", "$", "12:30", "½"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    got = [r["w"] for r in df.filter(TX.like_number("w")).collect()]
+    assert got == ["2nd", "21ST", "3rd", "4th", "$5", "€1,000.50", "-7", "~3", "1/2", "first", "5."]
+
+
+def test_parse_timestamp(spark):
+    values = ["2021-03-04 05:06:07", "2021-03-04 05:06:07.123 UTC", "2021-13-04 05:06:07", "at 2021-03-04 05:06:07", None, ""]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = [None if r[0] is None else str(r[0]) for r in df.select(TX.parse_timestamp("v")).collect()]
+    assert got == ["2021-03-04 05:06:07"] * 2 + [None] * 4

@@ -38,8 +38,9 @@ ESCAPE_PATTERN = r"[\x0A\x0D\x07\x08\x5C\x0C\x09\x0B]"
 DEFAULT_TOKEN_PATTERN = "[a-z]{2,}"
 # Prefix of a "YYYY-MM-DD HH:MM:SS" timestamp.
 TIMESTAMP_PREFIX_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}"
-# Characters that can be collapsed by drop_repeated.
-COLLAPSIBLE_CLASS = "[a-z]|[0-9]"
+# Numbers with separators behind an optional sign and currency mark; ordinals written with digits.
+NUMBER_PATTERN = r"^[+\-\x{B1}~]?\p{Sc}?\p{Nd}+([.,/]\p{Nd}+)*[.,]?$"
+ORDINAL_PATTERN = r"^\p{Nd}+([sS][tT]|[nN][dD]|[rR][dD]|[tT][hH])$"
 
 # English number words ("like a number" tokens).
 NUMBER_WORDS = (
@@ -110,7 +111,7 @@ def drop_repeated(c, n: int = 3, keep_double: bool = False) -> Column:
     """T5: collapse each run of >= n identical ``[a-z0-9]`` to one char (two with keep_double)."""
     if n < 2:
         raise ValueError("n must be >= 2")
-    pattern = "(" + COLLAPSIBLE_CLASS + ")\\1{" + str(n - 1) + ",}"
+    pattern = "([a-z]|[0-9])\\1{" + str(n - 1) + ",}"
     return F.regexp_replace(_c(c), pattern, "$1$1" if keep_double else "$1")
 
 
@@ -140,9 +141,10 @@ def is_digit(c) -> Column:
 
 
 def like_number(c) -> Column:
-    """Digits with separators (``1,000``, ``3.5``, ``1/2``) or an English number word."""
+    """Digits with separators (``1,000``, ``3.5``, ``1/2``), also behind a sign or a currency mark, digit
+    ordinals (``2nd``), or an English number word."""
     col = _c(c)
-    return col.rlike(r"^[+-]?\p{Nd}+([.,/]\p{Nd}+)*$") | F.lower(col).isin(*NUMBER_WORDS)
+    return col.rlike(NUMBER_PATTERN) | col.rlike(ORDINAL_PATTERN) | F.lower(col).isin(*NUMBER_WORDS)
 
 
 def looks_like_timestamp(c) -> Column:
@@ -150,6 +152,11 @@ def looks_like_timestamp(c) -> Column:
     return _c(c).rlike(TIMESTAMP_PREFIX_PATTERN)
 
 
+def parse_timestamp(c) -> Column:
+    """The timestamp that a value starts with; null without the prefix or for an impossible one (month 13)."""
+    return F.when(looks_like_timestamp(c), F.try_to_timestamp(F.substring(_c(c), 1, 19), F.lit("yyyy-MM-dd HH:mm:ss")))
+
+
 def contains_ci(c, needle: str) -> Column:
     """Null-safe, case-insensitive substring test (null -> false)."""
     return F.coalesce(F.contains(F.lower(_c(c)), F.lit(needle.lower())), F.lit(False))

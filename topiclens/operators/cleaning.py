@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as TX
+from .joins import lookup_join
 
 
 def default_stop_words(language: str = "english") -> list[str]:
@@ -79,7 +80,7 @@ def correct_repeated(docs: DataFrame, vocabulary: DataFrame, lexicon: DataFrame
         found = materialize(found, "found_words")
     fixes = word_corrections(found, vocabulary, lexicon).filter(F.col("word") != F.col("correction"))
     first = found.groupBy(id_col, "word").agg(F.min("pos").alias("pos"))
-    per_doc = (first.join(fixes, "word")
+    per_doc = (lookup_join(first, fixes, "word")
                .groupBy(id_col)
                .agg(F.array_sort(F.collect_list(F.struct(F.col("pos"), "word", "correction"))).alias("_fix")))
     joined = docs.join(per_doc, id_col, "left")
@@ -142,10 +143,10 @@ def clean_tokens(tokens: DataFrame, stop_words: DataFrame | None = None,
         # a token has one lemma: the smallest among its entries (those with a kept tag)
         lex = lexicon.filter(F.col("pos").isin(*pos_to_keep)) if pos_to_keep else lexicon
         lex = lex.groupBy(F.col("token").alias("term")).agg(F.min("lemma").alias("lemma"))
-        t = t.join(lex, "term", "inner" if pos_to_keep else "left")
+        t = lookup_join(t, lex, "term", "inner" if pos_to_keep else "left")  # a common word may hold a third of the tokens
         t = t.withColumn("lemma", F.coalesce("lemma", "term"))
     else:
         t = t.withColumn("lemma", F.col("term"))
-    if custom_stop_words is not None:
-        t = t.join(custom_stop_words.select(F.col("term").alias("lemma")), "lemma", "left_anti")
+    if custom_stop_words is not None:  # a word list too: broadcast
+        t = t.join(F.broadcast(custom_stop_words.select(F.col("term").alias("lemma")).distinct()), "lemma", "left_anti")
     return t.select("doc_id", "pos", F.col("lemma").alias("term"))

@@ -7,15 +7,19 @@ counts, so a hot label costs one row per map task) and the label/cluster lookups
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from ..session import materialize
 from .nearest import nearest_centroid  # noqa: F401  (J9)
+from .pca import gramian_rows
 
 
 def label_codes(df: DataFrame, label: str, name: str = "label_code") -> DataFrame:
@@ -31,6 +35,11 @@ def label_codes(df: DataFrame, label: str, name: str = "label_code") -> DataFram
     return coded.withColumn(name, F.coalesce(F.col(name), F.lit(-1)))
 
 
+def distinct_labels(df: DataFrame, label: str) -> DataFrame:
+    """A10: one row ``(n_labels)``, the number of different non-null labels."""
+    return df.agg(F.count_distinct(F.col(label)).alias("n_labels"))
+
+
 def contingency(df: DataFrame, true_col: str = "label_code", pred_col: str = "cluster") -> DataFrame:
     """``(label_code, cluster, n)`` counts of (true, predicted)."""
     return (df.groupBy(F.col(true_col).alias("label_code"), F.col(pred_col).alias("cluster"))
@@ -172,6 +181,34 @@ def long_to_vector(long_df: DataFrame, row_key: str, col_key: str, value: str,
                         F.coalesce(F.col("_c.v"), F.array().cast(f"array<{kind}>")).alias("weights"))
 
 
+def long_to_dense(long_df: DataFrame, row_key: str, col_key: str, value: str, width: int,
+                  rows: DataFrame | None = None) -> DataFrame:
+    """R3/R4 as dense rows: ``(row_key, row ARRAY<DOUBLE>)`` of ``width`` cells, missing cells 0.
+
+    The cells of a row are gathered as one map and laid out inside the row: no pivot, no plan that grows with the width.
+    """
+    cells = long_df.groupBy(row_key).agg(F.map_from_entries(F.collect_list(F.struct(
+        F.col(col_key).cast("int").alias("i"), F.col(value).cast("double").alias("v")))).alias("_m"))
+    if rows is not None:
+        cells = rows.select(row_key).join(cells, row_key, "left")
+    sparse = cells.select(row_key, F.coalesce("_m", F.create_map().cast("map<int,double>")).alias("_m"))
+    kind = StructType([sparse.schema[row_key], StructField("row", ArrayType(DoubleType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 64):  # 64 dense rows at once
+                batch = whole.slice(lo, 64)
+                m = batch.column("_m")
+                at = m.offsets.to_numpy().astype(np.int64)
+                owner = np.repeat(np.arange(batch.num_rows), np.diff(at))
+                out = np.zeros((batch.num_rows, width))
+                out[owner, m.keys.to_numpy()[at[0]:at[-1]]] = m.items.to_numpy()[at[0]:at[-1]]
+                flat = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * width, pa.int32()), pa.array(out.ravel()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), flat], [row_key, "row"])
+
+    return sparse.mapInArrow(run, kind)
+
+
 # ---------------------------------------------------------------------------
 # M1 standard scaling and covariance on long (id, dim, value) tables
 # ---------------------------------------------------------------------------
@@ -203,27 +240,16 @@ def standard_scale_long(long_df: DataFrame, ddof: int = 1) -> DataFrame:
 def covariance(df: DataFrame, vec_col: str) -> DataFrame:
     """``(dim_i, dim_j, cov)`` sample covariance of an array column for ``i <= j``, any width.
 
-    Each task adds up the Gramian of its centred rows with matrix products and sends one row
-    per dimension; those rows are summed by key.  The means come from one earlier pass.
+    Each task adds up the Gramian of its centred rows with matrix products; their row blocks are
+    summed in two levels by key (:func:`operators.pca.gramian_rows`).  The means come from one earlier pass.
     """
     x = df.select(F.col(vec_col).cast("array<double>").alias("x")).filter("x is not null")
-    first = x.agg(F.count(F.lit(1)).alias("n"), Summarizer.mean(array_to_vector("x")).alias("m")).first()
-    n = first["n"]
-    if not n:
+    if x.isEmpty():
         return df.sparkSession.createDataFrame([], "dim_i int, dim_j int, cov double")
-    mean = first["m"].toArray()
-
-    def gramian(batches):
-        total = np.zeros((len(mean), len(mean)))
-        for batch in batches:
-            rows = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(mean)) - mean
-            total += rows.T @ rows
-        for i in range(len(mean)):
-            yield pa.RecordBatch.from_pydict({"dim_i": np.array([i], np.int32), "row": [total[i].tolist()]})
-
-    parts = x.mapInArrow(gramian, "dim_i int, row array<double>")
-    sums = parts.groupBy("dim_i").agg(Summarizer.sum(array_to_vector("row")).alias("s"))
-    cells = sums.select("dim_i", F.posexplode(vector_to_array("s")).alias("dim_j", "v")).filter("dim_j >= dim_i")
+    first = x.agg(F.count(F.lit(1)).alias("n"), Summarizer.mean(array_to_vector("x")).alias("m")).first()
+    n, mean = first["n"], first["m"].toArray()
+    rows = gramian_rows(x, mean, np.ones(len(mean)), n)
+    cells = rows.select("dim_i", F.posexplode("row").alias("dim_j", "v")).filter("dim_j >= dim_i")
     return cells.select("dim_i", "dim_j", (F.col("v") / F.nullif(F.lit(n - 1), F.lit(0))).alias("cov"))
 
 

@@ -5,16 +5,17 @@ Two forms of each:
 * a *long* form on ``(image_id, y, x, v)`` pixel tables, written with joins, windows and
   aggregates (SQL-checkable; fine for small patches);
 * an *image-row* form (one row per image, ``pixels ARRAY<INT>``) run with numpy on Arrow
-  batches via ``mapInPandas``: Spark splits the images over tasks, each task handles its
-  images one at a time, so memory per task is one batch of images.
+  batches: Spark splits the images over tasks; memory per task is one batch of images.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -183,30 +184,47 @@ def extract_descriptors(images: DataFrame, cell: int = 4, bins: int = 8,
     (``bins`` bins weighted by gradient magnitude, L2-normalised).  Blocks whose mean
     gradient magnitude, scaled to 0-1, is below ``contrast_threshold`` are dropped.
     """
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for iid, h, w, px in zip(pdf["image_id"], pdf["height"], pdf["width"], pdf["pixels"]):
-                img = np.asarray(px, dtype=np.float64).reshape(int(h), int(w)) / 255.0
-                gy, gx = np.gradient(img)
-                mag = np.hypot(gx, gy)
-                ang = (np.arctan2(gy, gx) % (2 * np.pi)) / (2 * np.pi) * bins
-                b = np.minimum(ang.astype(np.int64), bins - 1)
-                ix = 0
-                for y0 in range(0, int(h) - cell + 1, cell):
-                    for x0 in range(0, int(w) - cell + 1, cell):
-                        m = mag[y0:y0 + cell, x0:x0 + cell]
-                        if m.mean() < contrast_threshold:
-                            continue
-                        hist = np.bincount(b[y0:y0 + cell, x0:x0 + cell].ravel(), weights=m.ravel(),
-                                           minlength=bins)
-                        norm = np.linalg.norm(hist)
-                        rows.append((int(iid), ix, float(m.sum()),
-                                     (hist / norm if norm > 0 else hist).astype(np.float32).tolist()))
-                        ix += 1
-            yield pd.DataFrame(rows, columns=["image_id", "desc_ix", "energy", "descriptor"])
-
-    return images.select("image_id", "height", "width", "pixels").mapInPandas(run, DESCRIPTOR_SCHEMA)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h, w = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("height", "width"))
+            for size in sorted(set(zip(h.tolist(), w.tolist()))):
+                same = np.flatnonzero((h == size[0]) & (w == size[1]))
+                step = max(1, IMAGE_VALUES // max(1, size[0] * size[1]))
+                for lo in range(0, len(same), step):
+                    some = batch.take(pa.array(same[lo:lo + step]))
+                    px = some.column("pixels").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                    yield _cell_histograms(some.column("image_id"), px.reshape(-1, *size), cell, bins, contrast_threshold)
+
+    return images.select(F.col("image_id").cast("long"), "height", "width", "pixels").mapInArrow(run, DESCRIPTOR_SCHEMA)
+
+
+IMAGE_VALUES = 1 << 22  # pixels held at once by extract_descriptors
+
+
+def _cell_histograms(ids: pa.Array, img: np.ndarray, cell: int, bins: int, threshold: float) -> pa.RecordBatch:
+    """Descriptors of images of one size: gradients of all of them, then one weighted count over (image, cell, bin)."""
+    n, rows, cols = len(img), img.shape[1] // cell, img.shape[2] // cell
+    if min(img.shape[1:]) < 2 or not rows * cols:  # no gradient, or no whole cell
+        n = rows = cols = 0
+    used = img[:n]
+    gy, gx = np.gradient(used, axis=(1, 2)) if n else (used, used)  # exact: pixels are whole numbers
+    mag = np.sqrt(gx * gx + gy * gy)[:, :rows * cell, :cols * cell] / 255.0
+    # an angle on the border of two bins belongs to the upper one, whatever the rounding of the arc tangent
+    angle = (np.arctan2(gy, gx) % (2 * np.pi)) / (2 * np.pi) * bins + 1e-9
+    turn = np.minimum(angle.astype(np.int64), bins - 1)[:, :rows * cell, :cols * cell]
+    y, x = np.arange(rows * cell) // cell, np.arange(cols * cell) // cell
+    at = (np.arange(n)[:, None, None] * rows + y[None, :, None]) * cols + x[None, None, :]
+    cells = n * rows * cols
+    hist = np.bincount((at * bins + turn).ravel(), weights=mag.ravel(), minlength=cells * bins).reshape(cells, bins)
+    energy = np.bincount(at.ravel(), weights=mag.ravel(), minlength=cells)
+    kept = np.flatnonzero(energy / (cell * cell) >= threshold)
+    owner = kept // max(1, rows * cols)
+    rank = np.arange(len(kept)) - np.searchsorted(owner, owner)
+    norm = np.linalg.norm(hist[kept], axis=1, keepdims=True)
+    unit = (hist[kept] / np.where(norm > 0, norm, 1)).astype(np.float32)
+    flat = pa.ListArray.from_arrays(pa.array(np.arange(len(kept) + 1) * bins, pa.int32()), pa.array(unit.ravel()))
+    return pa.RecordBatch.from_arrays([ids.take(pa.array(owner)).cast(pa.int64()), pa.array(rank, pa.int32()), pa.array(energy[kept]), flat],
+                                      ["image_id", "desc_ix", "energy", "descriptor"])
 
 
 def top_descriptors(desc: DataFrame, nfeatures: int = 0, strength: str = "energy") -> DataFrame:

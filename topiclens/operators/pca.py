@@ -19,7 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,8 +65,8 @@ class Components:
         return run(vec)
 
 
-def _summed(points: DataFrame, make, shape: tuple[int, int]) -> np.ndarray:
-    """The sum over all rows of a matrix that ``make(rows)`` gives for each batch."""
+def _block_sums(points: DataFrame, make, shape: tuple[int, int]) -> tuple[DataFrame, int]:
+    """``(b, s)``: the sum over all rows of a matrix that ``make`` gives for each batch, in blocks of rows from ``b`` on."""
     rows, width = shape
     per = max(1, BLOCK_VALUES // width)
 
@@ -80,9 +80,14 @@ def _summed(points: DataFrame, make, shape: tuple[int, int]) -> np.ndarray:
     parts = points.select("x").mapInArrow(run, "b int, s array<double>")
     spread = F.spark_partition_id() % MERGE_PARTS
     merged = parts.withColumn("part", spread).groupBy("b", "part").agg(Summarizer.sum(array_to_vector("s")).alias("s"))
+    return merged.groupBy("b").agg(Summarizer.sum(F.col("s")).alias("s")), per
+
+
+def _summed(points: DataFrame, make, shape: tuple[int, int]) -> np.ndarray:
+    blocks, per = _block_sums(points, make, shape)
     total = np.zeros(shape)
-    for row in merged.groupBy("b").agg(Summarizer.sum(F.col("s")).alias("s")).collect():
-        total[row["b"]:row["b"] + per] = row["s"].toArray().reshape(-1, width)
+    for row in blocks.collect():
+        total[row["b"]:row["b"] + per] = row["s"].toArray().reshape(-1, shape[1])
     return total
 
 
@@ -92,8 +97,8 @@ def _fixed_signs(vectors: np.ndarray) -> np.ndarray:
     return vectors * np.where(lead < 0, -1.0, 1.0)
 
 
-def gramian(points: DataFrame, mean: np.ndarray, scale: np.ndarray, n: int) -> np.ndarray:
-    """Sum over the rows of the outer products of the scaled vectors, d x d."""
+def _gramian_job(points: DataFrame, mean: np.ndarray, scale: np.ndarray, n: int):
+    """The input merged until each task reads more rows than there are dimensions, and what a batch adds."""
     dim = len(mean)
     tasks = points.rdd.getNumPartitions()
     few = max(1, min(tasks, n // (4 * dim) + 1))
@@ -102,7 +107,22 @@ def gramian(points: DataFrame, mean: np.ndarray, scale: np.ndarray, n: int) -> n
         x = (vectors_of(column, dim)[1] - mean) / scale
         return x.T @ x
 
-    return _summed(points.coalesce(few) if few < tasks else points, make, (dim, dim))
+    return points.coalesce(few) if few < tasks else points, make, (dim, dim)
+
+
+def gramian(points: DataFrame, mean: np.ndarray, scale: np.ndarray, n: int) -> np.ndarray:
+    """Sum over the rows of the outer products of the scaled vectors, d x d."""
+    return _summed(*_gramian_job(points, mean, scale, n))
+
+
+def gramian_rows(points: DataFrame, mean: np.ndarray, scale: np.ndarray, n: int) -> DataFrame:
+    """``(dim_i, row)`` of the Gramian as a table, for any width."""
+    dim = len(mean)
+    blocks, _ = _block_sums(*_gramian_job(points, mean, scale, n))
+    listed = blocks.select("b", vector_to_array("s").alias("s"))
+    rows = F.transform(F.sequence(F.lit(0), (F.size("s") / dim - 1).cast("int")), lambda i: F.struct(
+        (F.col("b") + i).alias("dim_i"), F.slice(F.col("s"), i * dim + 1, dim).alias("row")))
+    return listed.select(F.explode(rows).alias("r")).select("r.*")
 
 
 def principal_components(points: DataFrame, want: int | float, scaled: bool = True, seed: int = 16,

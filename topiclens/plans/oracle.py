@@ -12,7 +12,6 @@ from __future__ import annotations
 import string
 
 from ..functions import text as TX
-from ..operators.images import gaussian_kernel
 from ..sources.standins import NETWORK_CHANNEL_MEANS
 
 SEED = 16
@@ -137,12 +136,21 @@ KNOWN = f"""known AS (SELECT term FROM (SELECT DISTINCT doc_id, unnest({tokens('
          GROUP BY term HAVING count(*) >= 5)"""
 
 
-def _correct_repeated() -> str:
+def _correct_repeated(lemma: bool = False) -> str:
     cands = [("0", "word"), ("1", drop_repeated("word", 2)), ("2", drop_repeated("word", 3)),
              ("3", drop_repeated("word", 3, True))]
     cand_sql = " UNION ALL ".join(f"SELECT word, {k} AS k, {e} AS form FROM weird" for k, e in cands)
+    known = KNOWN
+    if lemma:  # the vocabulary holds lemmas only; a form's lemma is tried right after the form
+        lexicon = LEXICON.format(tokens=tokens("text"))
+        known = f"""lex AS ({lexicon}),
+{KNOWN.replace("known AS", "frequent AS")},
+known AS (SELECT term FROM frequent WHERE term NOT IN (SELECT token FROM lex WHERE token <> lemma))"""
+        forms = " UNION ALL ".join(f"SELECT word, 2 * {k} AS k, {e} AS form FROM weird" for k, e in cands)
+        cand_sql = (f"SELECT * FROM ({forms}) UNION ALL SELECT word, k + 1, coalesce(lex.lemma, form) FROM ({forms}) f "
+                    "LEFT JOIN lex ON lex.token = f.form")
     return f"""
-WITH {KNOWN},
+WITH {known},
 docs AS (SELECT doc_id, {clean_text('text')} AS text FROM documents),
 found AS (SELECT doc_id, unnest(regexp_extract_all(text, {_q(FIND3)})) AS word FROM docs),
 weird AS (SELECT DISTINCT word FROM found),
@@ -158,18 +166,28 @@ rebuilt AS (SELECT p.doc_id, string_agg(coalesce(f.correction, p.piece), '' ORDE
 SELECT d.doc_id, coalesce(r.text, d.text) AS text FROM docs d LEFT JOIN rebuilt r USING (doc_id)"""
 
 
-def _kept(tok_sql: str, extra_join: str = "", extra_where: str = "") -> str:
+NUMBER = r"^[+\-±~]?\p{Sc}?\p{Nd}+([.,/]\p{Nd}+)*[.,]?$"
+ORDINAL = r"^\p{Nd}+([sS][tT]|[nN][dD]|[rR][dD]|[tT][hH])$"
+RAW_TOKENS = r"regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+')"
+LEXICON = """(SELECT token, lemma, CASE WHEN lemma <> token THEN 'VERB' WHEN length(token) % 2 = 0 THEN 'ADJ' ELSE 'NOUN' END AS tag
+    FROM (SELECT token, CASE WHEN length(regexp_replace(token, '(ing|ed|s)$', '')) >= 3
+                             THEN regexp_replace(token, '(ing|ed|s)$', '') ELSE token END AS lemma
+          FROM (SELECT DISTINCT unnest({tokens}) AS token FROM documents) WHERE regexp_full_match(token, '[a-z]+')))"""
+CUSTOM = "('the', 'tion', 'that', 'erst', 'onth')"
+
+
+def _kept(tok_sql: str, extra_join: str = "", extra_where: str = "", term: str = "toks.term", more: str = "") -> str:
     return f"""
 WITH stop(term) AS (VALUES {_stop_values()}),
 numwords(term) AS (VALUES {_number_values()}),
 toks AS (SELECT id AS doc_id, unnest(t) AS term, unnest(range(len(t))) AS pos FROM ({tok_sql})),
-kept AS (SELECT toks.doc_id, toks.pos, toks.term FROM toks {extra_join}
+kept AS (SELECT toks.doc_id, toks.pos, {term} AS term FROM toks {extra_join}
          WHERE toks.term NOT IN (SELECT term FROM stop) AND lower(toks.term) NOT IN (SELECT term FROM numwords)
            AND NOT regexp_matches(toks.term, '^\\p{{P}}+$') AND NOT regexp_matches(toks.term, '^[{WS}]+$')
            AND NOT regexp_matches(toks.term, '^\\p{{Nd}}+$')
-           AND NOT regexp_matches(toks.term, '^[+-]?\\p{{Nd}}+([.,/]\\p{{Nd}}+)*$') {extra_where}),
-agg AS (SELECT doc_id, string_agg(term, ' ' ORDER BY pos) AS text FROM kept GROUP BY doc_id)
-SELECT i.id AS doc_id, coalesce(agg.text, '') AS text FROM ({tok_sql}) i LEFT JOIN agg ON agg.doc_id = i.id"""
+           AND NOT regexp_matches(toks.term, '{NUMBER}') AND NOT regexp_matches(toks.term, '{ORDINAL}') {extra_where}),
+agg AS (SELECT doc_id, string_agg(term, ' ' ORDER BY pos) AS text, count(*)::INTEGER AS n FROM kept GROUP BY doc_id)
+SELECT i.id AS doc_id, {more}coalesce(agg.text, '') AS text FROM ({tok_sql}) i LEFT JOIN agg ON agg.doc_id = i.id"""
 
 
 def _text() -> dict[str, str]:
@@ -190,6 +208,25 @@ def _text() -> dict[str, str]:
         "correct_repeated": _correct_repeated(),
         "clean_tokens": _kept(f"SELECT doc_id AS id, {tokens('text')} AS t FROM documents"),
         "pos_filter": _kept(part_tok, lex, "AND lex.tag = 'NOUN'"),
+        "clean_raw_tokens": _kept(f"SELECT doc_id AS id, {RAW_TOKENS} AS t FROM documents",
+                                  f"JOIN {LEXICON.format(tokens=RAW_TOKENS)} lex ON lex.token = toks.term",
+                                  f"AND lex.tag IN ('NOUN', 'ADJ') AND lex.lemma NOT IN {CUSTOM}", "lex.lemma"),
+        "clean_marked_tokens": _kept(f"SELECT doc_id AS id, {RAW_TOKENS} AS t FROM documents", "",
+                                     f"AND toks.term NOT IN {CUSTOM}", more="coalesce(agg.n, 0)::INTEGER AS n_tokens, "),
+        "number_tokens": rf"""WITH numwords(term) AS (VALUES {_number_values()}),
+t AS (SELECT unnest(regexp_extract_all(html, '[^\x20\x09-\x0D<>]+')) AS token FROM pages)
+SELECT token, count(*) AS n, regexp_matches(token, '^\p{{P}}+$') AS punct, regexp_matches(token, '^\p{{Nd}}+$') AS digit,
+       regexp_matches(token, '{NUMBER}') OR regexp_matches(token, '{ORDINAL}') OR lower(token) IN (SELECT term FROM numwords) AS number
+FROM t GROUP BY token""",
+        "correct_repeated_lemma": _correct_repeated(lemma=True),
+        "suggest_types_text": """SELECT * FROM (VALUES ('event_id', 'int64', 'BIGINT'), ('ts', 'datetime64[ns]', 'TIMESTAMP'),
+    ('ts_broken', 'datetime64[ns]', 'TIMESTAMP'), ('ts_note', 'category', 'CATEGORY'), ('event_type', 'category', 'CATEGORY')
+    ) t(column_name, numpy_type, suggested_type) WHERE column_name <> 'event_id'
+UNION ALL SELECT 'event_id', CASE WHEN mx <= 255 THEN 'uint8' WHEN mx <= 65535 THEN 'uint16' WHEN mx <= 4294967295 THEN 'uint32' ELSE 'int64' END,
+       CASE WHEN mx <= 127 THEN 'TINYINT' WHEN mx <= 32767 THEN 'SMALLINT' WHEN mx <= 2147483647 THEN 'INT' ELSE 'BIGINT' END
+FROM (SELECT max(event_id) AS mx FROM events)""",
+        "parse_timestamps": """SELECT event_id, date_trunc('second', ts) AS ts,
+       CASE WHEN event_id % 7 <> 0 THEN date_trunc('second', ts) END AS ts_broken, NULL::TIMESTAMP AS ts_note FROM events""",
     }
 
 
@@ -239,8 +276,12 @@ SELECT lang, CAST(rk AS INTEGER) AS "rank", term, round(score, 6) AS score FROM
                           "LEFT JOIN tfidf t ON t.doc_id = d.doc_id GROUP BY d.doc_id",
         "nonzero_counts": f"WITH {_tfidf_cte()} SELECT f.term_id, {N_DOCS} AS n_rows, count(n.weight) FILTER (WHERE n.weight > 0) "
                           "AS n_nonzero FROM filtered f LEFT JOIN normed n USING (term_id) GROUP BY f.term_id",
-        "sparse_to_wide": f"WITH {_tfidf_cte(20)} SELECT d.doc_id, {wide_cols} FROM documents d "
+        "sparse_to_wide": f"WITH {_tfidf_cte()} SELECT d.doc_id, {wide_cols} FROM documents d "
                           "LEFT JOIN tfidf t ON t.doc_id = d.doc_id GROUP BY d.doc_id",
+        "wide_rows": f"WITH {_tfidf_cte()} SELECT d.doc_id, (SELECT count(*) FROM filtered)::INTEGER AS width, "
+                     "count(t.weight) FILTER (WHERE t.weight <> 0)::INTEGER AS n_nonzero, round(coalesce(sum(t.weight), 0), 5) AS total, "
+                     "round(coalesce(sum(t.weight * (t.term_id + 1)), 0), 3) AS by_place FROM documents d "
+                     "LEFT JOIN tfidf t ON t.doc_id = d.doc_id GROUP BY d.doc_id",
     }
 
 
@@ -462,6 +503,32 @@ UNION ALL SELECT 'orthogonality', 0.0::DOUBLE UNION ALL SELECT 'projection', 0.0
         "explained_variance": f"""WITH {CORRELATIONS}
 SELECT (SELECT count(DISTINCT i) FROM cor) AS components, 1.0::DOUBLE AS whole,
        round(sum(r * r) / power((SELECT count(DISTINCT i) FROM cor), 2), 8) AS concentration FROM cor""",
+        "descriptor_cells": f"""WITH {LONG},
+px AS (SELECT vec_id, dim // 8 AS y, dim % 8 AS x, floor(255.0::DOUBLE * (x - mn) / (mx - mn)) AS v FROM (
+    SELECT *, min(x) OVER (PARTITION BY vec_id) AS mn, max(x) OVER (PARTITION BY vec_id) AS mx FROM long) t),
+g AS (SELECT *, CASE WHEN y = 0 THEN below - v WHEN y = 7 THEN v - above ELSE (below - above) / 2 END AS gy,
+                CASE WHEN x = 0 THEN rightv - v WHEN x = 7 THEN v - leftv ELSE (rightv - leftv) / 2 END AS gx FROM (
+    SELECT *, lag(v) OVER (PARTITION BY vec_id, x ORDER BY y) AS above, lead(v) OVER (PARTITION BY vec_id, x ORDER BY y) AS below,
+              lag(v) OVER (PARTITION BY vec_id, y ORDER BY x) AS leftv, lead(v) OVER (PARTITION BY vec_id, y ORDER BY x) AS rightv FROM px)),
+o AS (SELECT vec_id, (y // 4) * 2 + x // 4 AS cell, sqrt(gx * gx + gy * gy) / 255.0::DOUBLE AS mag,
+             CASE WHEN atan2(gy, gx) < 0 THEN atan2(gy, gx) + 2 * pi() ELSE atan2(gy, gx) END AS ang FROM g),
+b AS (SELECT vec_id, cell, least(floor(ang / (2 * pi()) * 8 + 1e-9::DOUBLE), 7)::INTEGER AS bin, sum(mag) AS m FROM o GROUP BY ALL),
+c AS (SELECT vec_id, cell, sum(m) AS energy, sqrt(sum(m * m)) AS nm FROM b GROUP BY ALL),
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY cell) - 1 AS INTEGER) AS desc_ix FROM c WHERE energy / 16 >= 0.04)
+SELECT k.vec_id AS image_id, desc_ix, round(energy, 5) AS energy, CAST(r.i AS INTEGER) AS bin,
+       round(CASE WHEN nm > 0 THEN coalesce(b.m, 0) / nm ELSE 0 END::FLOAT::DOUBLE, 5) AS v
+FROM k CROSS JOIN range(0, 8) r(i) LEFT JOIN b ON b.vec_id = k.vec_id AND b.cell = k.cell AND b.bin = r.i""",
+        "wide_to_vector": "SELECT vec_id, CAST(len(embedding) AS INTEGER) AS size, "
+                          "round(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))), 6) AS norm FROM embeddings",
+        "label_count": "SELECT count(DISTINCT label) AS n_labels FROM embeddings",
+        "confusion_square": f"""WITH {CLUSTERED}, code AS (SELECT label_code AS c FROM cont UNION SELECT cluster FROM cont)
+SELECT CAST(a.c AS INTEGER) AS label_code, CAST(b.c AS INTEGER) AS cluster, coalesce(n, 0) AS n FROM code a CROSS JOIN code b
+LEFT JOIN cont ON cont.label_code = a.c AND cont.cluster = b.c""",
+        "table_roundtrip": "SELECT p_partkey AS business_id, p_name AS categories FROM part",
+        "photo_meta_json": "SELECT CAST(vec_id AS VARCHAR) AS photo_id, CAST(label AS VARCHAR) AS label, "
+                           "'/data/photos/' || vec_id || '.jpg' AS photo_path FROM embeddings",
+        "list_photo_files": "SELECT vec_id || '.png' AS file_name, CAST(vec_id AS VARCHAR) AS photo_id FROM embeddings "
+                            "UNION ALL SELECT 'corrupt.png', 'corrupt'",
         "kmeans_steps": _lloyd(4),
         "dictionary_steps": _dictionary(3),
     }
@@ -537,8 +604,9 @@ def _dbl(x: float) -> str:
 
 
 def _images() -> dict[str, str]:
-    k = gaussian_kernel(3, 0.0)
-    stencil = ", ".join(f"({dy - 1}, {dx - 1}, {_dbl(k[dy] * k[dx])})" for dy in range(3) for dx in range(3))
+    # kernel width 3: sigma = 0.3 * ((3 - 1) / 2 - 1) + 0.8 = 0.8, so 2 sigma^2 = 1.28
+    stencil = ", ".join(f"({dy}, {dx}, exp(-{dy * dy + dx * dx} / 1.28::DOUBLE) / "
+                        "(1 + 4 * exp(-1 / 1.28::DOUBLE) + 4 * exp(-2 / 1.28::DOUBLE)))" for dy in (-1, 0, 1) for dx in (-1, 0, 1))
     means = NETWORK_CHANNEL_MEANS
 
     def refl(e):

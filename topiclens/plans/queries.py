@@ -184,6 +184,55 @@ def clean_tokens(spark, d):
     return kept.select("doc_id", F.array_join("tokens", " ").alias("text"))
 
 
+CUSTOM_STOP_WORDS = ["the", "tion", "that", "erst", "onth"]  # tested on the lemma
+
+
+def clean_raw_tokens(spark, d):
+    """T8, T9, J4, J8 on raw tokens (marks, digits, ordinals): nouns and adjectives of a lexicon, by lemma, with both stop lists."""
+    toks = SI.raw_tokens(spark, d)
+    stop = CL.word_table(spark, CL.default_stop_words("english"))
+    kept = CL.clean_tokens(VO.explode_tokens(toks), stop_words=stop, lexicon=SI.suffix_lexicon(toks),
+                           pos_to_keep=["NOUN", "ADJ"], custom_stop_words=CL.word_table(spark, CUSTOM_STOP_WORDS))
+    return _kept_text(kept, toks.select("doc_id"))
+
+
+def clean_marked_tokens(spark, d):
+    """T8, T9 on raw tokens without a lexicon: what is left beside punctuation, blanks, digits, numbers and stop words."""
+    kept = CL.clean_token_arrays(SI.raw_tokens(spark, d), stop_words=CL.default_stop_words("english"),
+                                 custom_stop_words=CUSTOM_STOP_WORDS)
+    return kept.select("doc_id", F.size("tokens").alias("n_tokens"), F.array_join("tokens", " ").alias("text"))
+
+
+def number_tokens(spark, d):
+    """T9 by class: raw tokens of all pages' text with how each predicate judges them, counted per token."""
+    html = _t(spark, d, "pages").select(F.explode(F.regexp_extract_all("html", F.lit(r"[^\x20\x09-\x0D<>]+"), 0)).alias("token"))
+    judged = html.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return judged.select("token", "n", TX.is_punct("token").alias("punct"), TX.is_digit("token").alias("digit"),
+                         TX.like_number("token").alias("number"))
+
+
+def correct_repeated_lemma(spark, d):
+    """T6 with a lexicon: a candidate counts as known by its form or by its lemma."""
+    docs = _t(spark, d, "documents").select("doc_id", TX.clean_text("text").alias("text"))
+    lexicon = SI.suffix_lexicon(SI.tokens(spark, d))
+    known = _known_words(spark, d).join(lexicon.filter("token <> lemma").select(F.col("token").alias("term")), "term", "left_anti")
+    return CL.correct_repeated(docs, known, lexicon).select("doc_id", "text")
+
+
+def suggest_types_text(spark, d):
+    """Types of a table read as text, with a true and a false timestamp column."""
+    from ..operators.profile import suggest_types as st
+
+    return st(SI.event_strings(spark, d)).select("column_name", "numpy_type", "suggested_type")
+
+
+def parse_timestamps(spark, d):
+    """Values with the prefix become timestamps; impossible ones and others become null."""
+    e = SI.event_strings(spark, d)
+    return e.select("event_id", TX.parse_timestamp("ts").alias("ts"), TX.parse_timestamp("ts_broken").alias("ts_broken"),
+                    TX.parse_timestamp("ts_note").alias("ts_note"))
+
+
 def pos_filter(spark, d):
     p = _t(spark, d, "part").select(F.col("p_partkey").alias("doc_id"),
                                     TX.tokenize(TX.lower_strip("p_name")).alias("tokens"))
@@ -250,11 +299,22 @@ def vector_lookup(spark, d):
 
 
 def sparse_to_wide(spark, d):
-    toks, _, w = _tfidf(spark, d, WIDE_KEEP_N)
+    """Weights over the whole vocabulary as columns; the first ``WIDE_KEEP_N`` of them are returned (all: ``wide_rows``)."""
+    toks, _, w = _tfidf(spark, d)
     wide = CU.long_to_wide(w, "doc_id", "term_id", "weight", list(range(WIDE_KEEP_N)), rows=toks, prefix="w")
     return wide.select("doc_id", *[F.round(f"w{i}", 6).alias(f"w{i}") for i in range(WIDE_KEEP_N)])
 
 
+def wide_rows(spark, d):
+    """R3 at full width: every document as a dense row of all vocabulary weights, with sums that fix each cell's place."""
+    toks, vocab, w = _tfidf(spark, d)
+    rows = CU.long_to_dense(w, "doc_id", "term_id", "weight", vocab.count(), rows=toks)
+    by_place = F.aggregate(F.transform("row", lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, x: a + x)
+    return rows.select("doc_id", F.size("row").alias("width"), F.size(F.filter("row", lambda x: x != 0)).alias("n_nonzero"),
+                       F.round(F.aggregate("row", F.lit(0.0), lambda a, x: a + x), 5).alias("total"),
+                       F.round(by_place, 3).alias("by_place"))
+
+
 def sparse_vectors(spark, d):
     """R3 over the whole vocabulary: one sparse vector per document."""
     toks, _, w = _tfidf(spark, d)
@@ -387,8 +447,50 @@ def label_codes(spark, d):
 
 
 def standard_scale(spark, d):
-    long = CU.explode_vector(SI.embeddings_double(spark, d), "vec_id", "vec")
-    return CU.standard_scale_long(long).select("id", "dim", F.round("value", 6).alias("value"))
+    """M1 by vector (no row per value until the result is listed)."""
+    from pyspark.ml.functions import vector_to_array
+
+    from . import models as MD
+
+    scaled = MD.standard_scale(_features(spark, d))
+    return scaled.select(F.col("vec_id").alias("id"), F.posexplode(vector_to_array("scaled")).alias("dim", "value")).withColumn(
+        "value", F.round("value", 6))
+
+
+def wide_to_vector(spark, d):
+    """Array columns as ML vectors: size, number of non-zeros and 2-norm of each."""
+    from pyspark.ml.feature import Normalizer
+    from pyspark.ml.functions import vector_to_array
+
+    unit = Normalizer(inputCol="features", outputCol="unit").transform(_features(spark, d))
+    a, u = vector_to_array("features"), vector_to_array("unit")
+    return unit.select("vec_id", F.size(a).alias("size"), F.round(a[0] / u[0], 6).alias("norm"))
+
+
+def label_count(spark, d):
+    """A10: number of different labels (the number of clusters asked for)."""
+    return CU.distinct_labels(_t(spark, d, "embeddings"), "label")
+
+
+def confusion_square(spark, d):
+    """The square confusion matrix over all codes, listed cell by cell (absent pairs are 0)."""
+    wide = CU.confusion_wide(CU.contingency(_clustered(spark, d)))
+    codes = wide.columns[1:]
+    cells = F.array(*[F.struct(F.lit(int(c[1:])).alias("cluster"), F.col(c).alias("n")) for c in codes])
+    return wide.select("label_code", F.explode(cells).alias("c")).select("label_code", "c.cluster", "c.n")
+
+
+def table_roundtrip(spark, d):
+    """An intermediate table written as Parquet and read again."""
+    path = RD.save_table(SI.businesses(spark, d), scratch_path(spark, "businesses"))
+    return RD.load_table(spark, path)
+
+
+def photo_meta_json(spark, d):
+    """S3 from JSON lines, as the photo metadata come."""
+    photos = SI.photos(spark, d).select("photo_id", F.col("label").cast("string").alias("label"))
+    path = RD.write_json(photos, scratch_path(spark, "photo_meta"))
+    return RD.load_photo_meta(spark, path, SI.PHOTOS_DIR).select("photo_id", "label", "photo_path")
 
 
 def covariance(spark, d):
@@ -635,7 +737,7 @@ def kmeans_best_of(spark, d):
     from . import models as MD
 
     f = _features(spark, d)
-    k = f.select(F.count_distinct("label")).first()[0]
+    k = CU.distinct_labels(f, "label").first()["n_labels"]
     fit, _ = MD.kmeans_best_of(f, k, n_init=30, seed=SEED)
     pred = fit.transform(f).select("vec_id", "label", F.col("prediction").alias("cluster"))
     return CU.label_codes(pred, "label")
@@ -686,6 +788,13 @@ def extract_descriptors(spark, d):
     return IO.extract_descriptors(SI.gray_patches(spark, d), cell=4, bins=8, contrast_threshold=0.04)
 
 
+def descriptor_cells(spark, d):
+    """M6 by value: every bin of every descriptor of the gray patches, and its cell's strength."""
+    desc = IO.extract_descriptors(SI.gray_patches(spark, d), cell=4, bins=8, contrast_threshold=0.04)
+    return desc.select("image_id", "desc_ix", F.round("energy", 5).alias("energy"), F.posexplode("descriptor").alias("bin", "v")
+                       ).withColumn("v", F.round(F.col("v").cast("double"), 5))
+
+
 def embed_images(spark, d):
     from . import models as MD
 
@@ -732,6 +841,12 @@ def load_images(spark, d):
                        "n_channels", _joined(IM.image_bytes_to_array("data")).alias("pixels"))
 
 
+def list_photo_files(spark, d):
+    """The files of a photo folder with their ids (contents are not read)."""
+    return RD.list_files(spark, write_patch_pngs(spark, d), "*.png").select(
+        "file_name", RD.file_stem("file_name", ".png").alias("photo_id"))
+
+
 ORACLE_QUERIES = [
     sparse_vectors, nonzero_counts, embed_images, load_images, doc_topic_mass,
     json_roundtrip, contains_ci_filter, inlist_filter, semi_join_reviews, load_reviews_lineitem,
@@ -744,7 +859,9 @@ ORACLE_QUERIES = [
     confusion_matrix, purity_matrix, match_clusters, adjusted_rand_index, evaluate_clusters, suggest_types,
     to_gray, equalize_hist, gaussian_blur, swap_channels, resize_nearest, center_channels,
     kmeans_steps, dictionary_steps, stratified_sample_large, u_mass_wide, coherence_models, fold_in_topics,
-    topic_report_terms, pca_spectrum, explained_variance,
+    topic_report_terms, pca_spectrum, explained_variance, clean_raw_tokens, clean_marked_tokens, number_tokens,
+    correct_repeated_lemma, suggest_types_text, parse_timestamps, descriptor_cells, wide_rows, wide_to_vector,
+    label_count, confusion_square, table_roundtrip, photo_meta_json, list_photo_files,
 ]
 ROWS_ONLY_QUERIES = [
     pca_reduce, kmeans_best_of, visual_dictionary, lda_topics, doc_topics, coherence_sweep, topic_report,

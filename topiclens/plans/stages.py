@@ -238,6 +238,7 @@ class CorpusVectorizerModel(_TableModel):
     @keyword_only
     def __init__(self, nDocs=None, nTerms=None, smartirs="nfc", applyTfidf=False):
         super().__init__()
+        self._setDefault(smartirs="nfc", applyTfidf=False)
         self._set_kw(self._input_kwargs)
 
     def vocabulary(self) -> DataFrame:

@@ -129,3 +129,28 @@ def part_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     adj = p.select(F.col("w")[0].alias("token"), F.lit("ADJ").alias("pos"))
     noun = p.select(F.col("w")[1].alias("token"), F.lit("NOUN").alias("pos"))
     return adj.union(noun).distinct().select("token", F.col("token").alias("lemma"), "pos")
+
+
+def raw_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, tokens)``: every run of non-blank characters of the lower-cased documents, with all its marks and digits."""
+    d = documents(spark, sf_dir)
+    return d.select("doc_id", F.regexp_extract_all(F.lower("text"), F.lit(r"[^\x20\x09-\x0D]+"), 0).alias("tokens"))
+
+
+def suffix_lexicon(tokens: DataFrame) -> DataFrame:
+    """``(token, lemma, pos)`` of the alphabetic tokens: a lemma loses the ending ``ing``, ``ed`` or ``s``; the
+    part of speech stands for what a tagger would say (VERB with such an ending, ADJ for an even length, else NOUN)."""
+    words = tokens.select(F.explode("tokens").alias("token")).filter(F.col("token").rlike("^[a-z]+$")).distinct()
+    stem = F.regexp_replace("token", "(ing|ed|s)$", "")
+    lemma = F.when(F.length(stem) >= 3, stem).otherwise(F.col("token"))
+    pos = F.when(lemma != F.col("token"), "VERB").when(F.length("token") % 2 == 0, "ADJ").otherwise("NOUN")
+    return words.select("token", lemma.alias("lemma"), pos.alias("pos"))
+
+
+def event_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as a text file would give it: the time as ``YYYY-MM-DD HH:MM:SS`` text, once with a broken month."""
+    e = read_table(spark, sf_dir, "events")
+    text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    broken = F.concat(F.substring(text, 1, 5), F.lit("13"), F.substring(text, 8, 12))
+    return e.select("event_id", text.alias("ts"), F.when(F.col("event_id") % 7 == 0, broken).otherwise(text).alias("ts_broken"),
+                    F.concat(F.lit("at "), text).alias("ts_note"), "event_type")
