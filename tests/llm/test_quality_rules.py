@@ -78,3 +78,18 @@ def test_clean_labels_are_kept_and_junk_goes(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert quality_measures(df).collect() == [] and clean_documents(df).collect() == []
+
+
+def test_sentence_marks_of_many_scripts(spark):
+    from topiclens.llm import quality_rules as Q
+
+    bodies = {"।": "यह एक छोटा सा वाक्य है जो समाप्त", "۔": "یہ ایک چھوٹا سا جملہ ہے جو ختم", "؟": "هل هذه جملة قصيرة تنتهي هنا بعلامة سؤال",
+              "？": "this one ends with a wide mark here", "։": "սա մի կարճ նախադասություն է որ ավարտվում", "።": "ይህ አጭር ዓረፍተ ነገር ነው እና እዚህ",
+              ".": "a plain one that ends with a dot", "»": "« une citation qui se termine ici bien fermée", "😀.": "an emoji stands before the last mark here"}
+    bodies |= {"": "this line just stops in the middle of", "Ł": "a line that ends in a letter of last byte"}  # U+0141 ends in 0x81
+    texts = {mark: "\n".join(" ".join(f"{i}{w}" for w in body.split()) + mark for i in range(12)) for mark, body in bodies.items()}
+    texts["ไทย"] = "\n".join(" ".join(f"{i}{w}" for w in "ประโยค ภาษาไทย ไม่มี เครื่องหมาย จบ".split()) for i in range(12))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts.values())], "doc_id long, text string")
+    kept = {list(texts)[r["doc_id"]]: r["kept"] for r in quality_measures(df).collect()}
+    assert {k for k, v in kept.items() if not v} == {"", "Ł"}
+    assert {ord(c) for c in ".!?:;\"')]}»”…。！।۔؟"} <= set(Q.CLOSING) and ord(",") not in Q.CLOSING

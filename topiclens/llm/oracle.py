@@ -76,7 +76,7 @@ def quality_rules() -> str:
     low = f"translate(line, '{upper}', '{upper.lower()}')"
     phrases = " OR ".join(f"contains({low}, '{x}')" for x in BOILERPLATE)
     labels = ", ".join(f"'{x}'" for x in NAVIGATION)
-    closing = ", ".join(f"'{b:02X}'" for b in CLOSING)
+    closing = ", ".join(map(str, CLOSING))
     return rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
 win AS (SELECT doc_id, i, array_to_string(w[i:i + {r.repeat_width - 1}], ' ') AS k
@@ -102,7 +102,7 @@ f AS (SELECT doc_id, line, n, symbols > {r.max_symbols_per_word} * n
         OR (n >= 2 AND marked > {r.max_repeated_marks} * n)
         OR ({phrases})
         OR (n BETWEEN {r.min_unclosed_words} AND {r.max_unclosed_words} AND pos < lines - 1
-            AND right(hex(encode(lw[-1])), 2) NOT IN ({closing})) AS failed FROM m),
+            AND unicode(right(lw[-1], 1)) NOT IN ({closing})) AS failed FROM m),
 g AS (SELECT doc_id, coalesce(sum(n) FILTER (WHERE failed), 0)::BIGINT AS lost,
              (count(*) - count(DISTINCT line))::BIGINT AS dups FROM f GROUP BY doc_id),
 b AS (SELECT d.doc_id, len(w)::BIGINT AS n_words,

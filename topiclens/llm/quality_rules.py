@@ -9,8 +9,12 @@ A line (text between ``\\n``) fails when one of these holds:
 * shouting: at least ``min_shout_words`` words, and most of its ASCII letters are upper case;
 * repeated punctuation: ``!!`` or ``??`` after more than ``max_repeated_marks`` of its words;
 * boilerplate: it holds one of the ``BOILERPLATE`` phrases (A-Z folded);
-* no closing mark: ``min_unclosed_words`` to ``max_unclosed_words`` words and no sentence mark
-  at its end (the text's last line may be cut off anywhere, and a longer line is a paragraph).
+* no closing mark: ``min_unclosed_words`` to ``max_unclosed_words`` words whose last character is neither
+  a sentence mark of any script, a closing bracket or quotation mark nor a colon, semicolon or ellipsis
+  (the text's last line may be cut off anywhere, a longer line is a paragraph, and Thai and Lao
+  close sentences without a mark, so a line that ends in one of these scripts does not fail).
+
+The phrase and label lists are English; the other rules hold for any script.
 
 Lines without a word are neutral and stay.  A document is rejected when its words fail
 ``base_failed`` (too few words, or too many words in repeated 5-word windows) or when the
@@ -28,6 +32,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
@@ -42,7 +47,16 @@ NAVIGATION = [
     "home", "next", "previous", "back", "menu", "skip to content", "log in", "login", "sign in", "sign up",
     "contact", "about", "search", "share", "read more", "top", "sitemap", "archive", "tags",
 ]
-CLOSING = b".!?:;\"')]}" + bytes([0xBB, 0x9D, 0xA6, 0x82, 0x81])  # ... and the last bytes of » ” … 。 ！
+
+
+def _closing_points() -> list[int]:
+    """Code points that may end a line: by Unicode's sentence-terminal property and its classes of closing marks,
+    colons, semicolons and ellipses, and all of the scripts that close sentences without a mark."""
+    mark = regex.compile(r"[\p{Sentence_Terminal}\p{Pe}\p{Pf}:;\"'\u2026\uFF1A\uFF1B\u061B\p{Script=Thai}\p{Script=Lao}]")
+    return [c for c in range(0x20000) if not 0xD800 <= c < 0xE000 and mark.match(chr(c))]
+
+
+CLOSING = _closing_points()
 
 SYMBOLS = np.zeros(256, dtype=bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -50,8 +64,7 @@ _UPPER = np.zeros(256, dtype=bool)
 _UPPER[65:91] = True
 _LETTER = _UPPER.copy()
 _LETTER[97:123] = True
-_CLOSING = np.zeros(256, dtype=bool)
-_CLOSING[list(CLOSING)] = True
+_CLOSING = np.array(CLOSING)
 _SEPARATORS = [b"|", b">", b"/", "»".encode(), "•".encode(), "·".encode()]
 
 
@@ -105,6 +118,20 @@ def _label_lines(t: Texts, lines: Spans, first: np.ndarray, counts: np.ndarray,
     return hit
 
 
+def _last_points(t: Texts, ends: np.ndarray) -> np.ndarray:
+    """The code points that end at the byte places ``ends``."""
+    at = ends - 1
+    point, shift = np.zeros(len(ends), dtype=np.int64), np.zeros(len(ends), dtype=np.int64)
+    for _ in range(3):
+        inner = (t.buf[at] & 0xC0) == 0x80
+        point += np.where(inner, (t.buf[at] & 0x3F).astype(np.int64) << shift, 0)
+        shift += 6 * inner
+        at = at - inner
+    lead = t.buf[at].astype(np.int64)
+    mask = np.array([0x7F, 0x1F, 0x0F, 0x07])[shift // 6]
+    return point + ((lead & mask) << shift)
+
+
 def failed_lines(t: Texts, words: Spans, lines: Spans, rules: Rules) -> tuple[np.ndarray, np.ndarray]:
     """``(failed, words per line)`` for all lines of the batch."""
     first = np.searchsorted(words.start, lines.start)
@@ -143,9 +170,9 @@ def failed_lines(t: Texts, words: Spans, lines: Spans, rules: Rules) -> tuple[np
 
     failed |= _phrase_lines(t, lines, BOILERPLATE)
 
-    last = np.zeros(len(counts), dtype=np.uint8)
-    last[some] = t.buf[words.end[first[some] + counts[some] - 1] - 1]
-    unclosed = (counts >= rules.min_unclosed_words) & (counts <= rules.max_unclosed_words) & ~_CLOSING[last]
+    unclosed = (counts >= rules.min_unclosed_words) & (counts <= rules.max_unclosed_words)
+    ends = words.end[first[unclosed] + counts[unclosed] - 1]
+    unclosed[unclosed] = ~np.isin(_last_points(t, ends), _CLOSING)
     unclosed[lines.first[1:] - 1] = False
     failed |= unclosed
     return failed & some, counts
@@ -233,7 +260,11 @@ def quality_measures(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """The kept documents, without their failed lines (all columns; ``n_chars``, if there, recounted)."""
+    """The kept documents, without their failed lines (all columns; ``n_chars``, if there, recounted).
+
+    Null, empty and blank texts fail ``base_failed`` and go; null ids and repeated rows are judged like any
+    other; an empty table gives an empty one.
+    """
     names = docs.columns
     given = docs.toDF(*[f"c{i}" for i in range(len(names))])
     text = f"c{names.index('text')}"
