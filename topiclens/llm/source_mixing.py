@@ -192,7 +192,8 @@ def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, cap: int = CAP,
 
     A document taken whole keeps its text; of one taken in part the taken runs of words stay, one
     space between words (``n_chars``, if there, is recounted).  A document no pass takes is not in
-    the mix.
+    the mix, nor is one without words (null, empty or blank text).  Null sources are one source, null and
+    repeated ids are placed like any other, and an empty table gives an empty one.
     """
     names = docs.columns
     given = docs.toDF(*[f"c{i}" for i in range(len(names))])
@@ -206,11 +207,10 @@ def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, cap: int = CAP,
         F.sort_array(F.collect_list(F.struct("low", "high"))).alias("runs"))
     mixed = placed.filter("size > 0").join(runs, ["sid", "pos"])
     text = F.col(f"row.{at['text']}")
-    words = words_in(text)
-    cut = F.array_join(F.flatten(F.transform(
-        F.col("runs"), lambda r: F.slice(F.col("all"), (r["low"] + 1).cast("int"),
-                                         (r["high"] - r["low"]).cast("int")))), " ")
-    mixed = mixed.withColumn("all", F.when(F.col("words") < F.col("size"), words))
+    # the words are an element of an array of one: a lambda evaluates a column that it names anew for each run
+    whole = F.array(F.struct(words_in(text).alias("all"), F.col("runs").alias("runs")))
+    cut = F.transform(whole, lambda d: F.array_join(F.flatten(F.transform(
+        d["runs"], lambda r: F.slice(d["all"], (r["low"] + 1).cast("int"), (r["high"] - r["low"]).cast("int")))), " "))[0]
     mixed = mixed.withColumn("new", F.when(F.col("words") < F.col("size"), cut).otherwise(text))
     out = []
     for n in names:
