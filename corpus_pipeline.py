@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from topiclens.llm.line_dedup import line_dedup
+from topiclens.llm.line_dedup import without_repeated_lines
 from topiclens.llm.packing import pack_documents
 from topiclens.llm.quality_rules import clean_documents
 from topiclens.llm.queries import tokenizer_path
@@ -24,7 +24,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-equal lines one stays; documents keep their other lines."""
-    return line_dedup(docs).select(*docs.columns)
+    return without_repeated_lines(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,6 +55,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``: the packed pieces of the cleaned and mixed corpus.
+
+    Null, empty and blank texts go in the first stage; null ids and repeated rows are rows like any other, extra
+    columns are carried to the last stage whatever their names, and an empty table gives no pieces.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"stage_{name}")
