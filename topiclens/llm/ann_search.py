@@ -41,6 +41,7 @@ BUCKET = 64
 BRANCH = 3.3
 UNIT = 2048
 GROUP = 16384
+PROBE_QUERIES = 128  # queries that one task hashes and probes
 QUERY_CHUNK = 4096
 SAMPLE = 2048
 SEED = 1234
@@ -259,7 +260,8 @@ def _nearest_alike(given: DataFrame, is_query: Column, k: int, tables: int) -> D
     sizes = hashed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     directory = materialize(sizes.select("bucket", F.ceil(F.col("n") / UNIT).cast("int").alias("salts")), "ann_buckets")
     groups = max(1, math.ceil(tables * n / GROUP))
-    chunks = max(1, math.ceil(asked.select("rid").distinct().count() / QUERY_CHUNK))
+    queries = asked.select("rid").distinct().count()
+    chunks = max(1, math.ceil(queries / QUERY_CHUNK))
 
     def unit(salt: Column) -> Column:
         return F.xxhash64("bucket", salt)
@@ -268,7 +270,9 @@ def _nearest_alike(given: DataFrame, is_query: Column, k: int, tables: int) -> D
     members = hashed.join(directory, "bucket").withColumn("unit", unit(F.pmod(F.xxhash64("rid"), F.col("salts")).cast("int")))
     heads = asked.select("rid").distinct().join(entries.select("rid", "v"), "rid")
     heads = heads.withColumn("chunk", F.pmod(F.xxhash64("rid"), F.lit(chunks)).cast("int"))
-    probes = heads.select("rid", "v").repartition(F.col("rid")).mapInArrow(_hash_queries(family, tables), "rid long, bucket long")
+    # small rows, dear tasks: their number follows the queries and not the bytes
+    probers = max(1, math.ceil(queries / PROBE_QUERIES))
+    probes = heads.select("rid", "v").repartition(probers, "rid").mapInArrow(_hash_queries(family, tables), "rid long, bucket long")
     wanted = probes.join(directory, "bucket").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     wanted = wanted.select("rid", unit(F.col("salt")).alias("unit")) \
         .withColumn("chunk", F.pmod(F.xxhash64("rid"), F.lit(chunks)).cast("int"))
