@@ -68,6 +68,9 @@ _CLOSING = np.array(CLOSING)
 _SEPARATORS = [b"|", b">", b"/", "»".encode(), "•".encode(), "·".encode()]
 
 
+SLICE_BYTES = 1 << 20  # text judged at once: prefix sums take eight bytes for each of these
+
+
 @dataclass(frozen=True)
 class Rules:
     max_symbols_per_word: float = 0.3
@@ -250,7 +253,7 @@ def quality_measures(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", SLICE_BYTES):
                 out, _, _ = measure(texts_of(batch.column("text")), rules)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), *(pa.array(out[c]) for c in MEASURES)], ["doc_id", *MEASURES])
@@ -272,7 +275,7 @@ def clean_documents(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, text):
+            for batch in slices(whole, text, SLICE_BYTES):
                 t = texts_of(batch.column(text))
                 out, failed, lines = measure(t, rules)
                 kept = np.flatnonzero(out["kept"])
