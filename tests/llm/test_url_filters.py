@@ -1,9 +1,10 @@
+import random
 import re
 
 import duckdb
 
 from topiclens.llm.oracle import SQL
-from topiclens.llm.url_filters import HOST_RULES, HostRule, PatternRule, compile_pattern, judge_urls, rule_index
+from topiclens.llm.url_filters import HOST_RULES, HostRule, PatternRule, candidates, compile_pattern, judge_urls, rule_index
 
 URLS = ["http://Example.ORG/es/x", "http://a.example.org/en/1", "http://a.example.org/en/123?q", "http://b.org", "http://b.org/",
         "https://m.x.com/fr/", "https://com/de/", "http://notcom/de/", None, "", "no scheme/org/", "a://b://c.org/x",
@@ -55,7 +56,7 @@ def test_tokens_are_whole_and_rarest_is_chosen(spark):
     assert compile_pattern("/a/b^c|")[1] == ["a", "b", "c"]
     pages = frame(spark, ["http://x.net/common/rare/"] + ["http://x.net/common/"] * 9)
     index = rule_index(pages, [HostRule("block", "net", "/q/z")], [PatternRule("block", "/common/rare/"), PatternRule("block", "open")])
-    assert {k: [r["name"] for r in v] for k, v in index.items()} == {"q": ["net/q/z"], "rare": ["/common/rare/"], "": ["open"]}
+    assert {k: [r.name for r in v] for k, v in index.items()} == {"q": ["net/q/z"], "rare": ["/common/rare/"], "": ["open"]}
 
 
 def test_a_rule_without_tokens_is_tried_everywhere(spark):
@@ -75,3 +76,30 @@ def test_sql_agrees(spark):
 
 def test_empty_table(spark):
     assert judge_urls(spark.createDataFrame([], "page_id long, url string")).collect() == []
+
+
+def many_rules(n):
+    rng = random.Random(7)
+    hosts = [HostRule(rng.choice(["allow", "block"]), f"site{i}.net", f"/p{i % 50}/") for i in range(n // 2)]
+    return hosts, [PatternRule(rng.choice(["allow", "block"]), f"||h{i}.*/x{i % 70}^") for i in range(n // 2)]
+
+
+def test_many_rules_equal_trying_all_and_cost_their_hits(spark):
+    hosts, patterns = many_rules(20_000)
+    rng = random.Random(8)
+    urls = [f"http://a.site{rng.randrange(12_000)}.net/p{rng.randrange(50)}/q" for _ in range(150)]
+    urls += [f"http://{r.host}{r.path}z" for r in hosts[:50]] + [f"http://h{i}.org/q/x{i % 70}?a" for i in range(50)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    tried = [re.compile(compile_pattern(r.pattern)[0]) for r in patterns]
+    hits = 0
+    for r in judge_urls(df, hosts, patterns).collect():
+        host, path, rule, action = brute(urls[r["page_id"]], hosts)
+        assert (r["host"], r["path"], r["rule"]) == (host, path, rule)
+        fits = [p for p, rx in zip(patterns, tried) if rx.search(urls[r["page_id"]])] if rule is None else []
+        if rule is None:
+            want = min(fits, key=lambda p: (-len(p.pattern), p.action, p.pattern), default=None)
+            assert (r["pattern"], r["verdict"]) == ((want.pattern, want.action) if want else (None, "allow"))
+        hits += rule is not None or bool(fits)
+    assert hits >= 100
+    index = rule_index(df, hosts, patterns)
+    assert max(len(candidates(index, u)) for u in urls) <= 4  # of 20,000 rules

@@ -8,16 +8,19 @@ anchor).  Each rule is filed under the token that is rarest in the urls at hand,
 all of them; rules without a token are filed under none and tried on every url.
 
 A url's tokens fetch the rules filed under them, and only those run their regular
-expressions.  The rule list is a parameter and small; it travels in the plan as a constant.
-The urls are read once for the counts and once for the verdicts, without a shuffle of rows.
+expressions.  The rule list is a parameter, travels to the tasks once and is looked up there in a hash
+table, its expressions compiled when first fetched; a url costs its tokens and its fetched rules,
+however many rules there are.  The urls are read once for the counts and once for the verdicts,
+without a shuffle of rows.
 """
 
 from __future__ import annotations
 
-import json
 import re
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,9 +71,9 @@ def compile_pattern(pattern: str) -> tuple[str, list[str]]:
         body, regex, left = body[1:], "^", "."
     right, tail = "\x00", ""
     if body.endswith("|"):
-        body, tail, right = body[:-1], "$", "."
+        body, tail, right = body[:-1], r"\Z", "."
     for c in body:
-        regex += ".*" if c == "*" else r"(?:[^a-z0-9_.%-]|$)" if c == "^" else re.escape(c)
+        regex += ".*" if c == "*" else r"(?:[^a-z0-9_.%-]|\Z)" if c == "^" else re.escape(c)
     framed = left + body + right  # \x00 marks an open end: a token there may go on in the url
     tokens = [m.group() for m in _TOKEN.finditer(framed)
               if framed[m.start() - 1] not in "\x00*" and framed[m.end()] not in "\x00*"]
@@ -103,27 +106,75 @@ def _tokens(url: Column) -> Column:
 
 def rarest_tokens(pages: DataFrame, tokens: set[str]) -> dict[str, int]:
     """How many urls hold each of the rules' tokens (at most as many numbers as tokens)."""
-    each = pages.select(F.explode(_tokens(F.col("url"))).alias("token")).filter(F.col("token").isin(*sorted(tokens)))
-    return {r["token"]: r["n"] for r in each.groupBy("token").agg(F.count(F.lit(1)).alias("n")).collect()}
+    each = pages.select(F.explode(_tokens(F.col("url"))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    wanted = pages.sparkSession.createDataFrame([(t,) for t in sorted(tokens)], "token string")
+    return {r["token"]: r["n"] for r in each.join(wanted, "token", "left_semi").collect()}
 
 
-def rule_index(pages: DataFrame, host_rules: list[HostRule], pattern_rules: list[PatternRule]) -> dict[str, list]:
+@dataclass
+class Filed:
+    """A rule in the index; its expression is compiled when a url first fetches it."""
+
+    kind: str
+    action: str
+    name: str
+    regex: str
+    fits: Callable | None = field(default=None, repr=False)
+
+    def __call__(self, target: str, folded_url: str) -> bool:
+        if self.fits is None:
+            self.fits = re.compile(self.regex).search
+        return self.fits(target if self.kind == "host" else folded_url) is not None
+
+
+def rule_index(pages: DataFrame, host_rules: list[HostRule], pattern_rules: list[PatternRule]) -> dict[str, list[Filed]]:
     """token -> rules filed under it (``""``: rules without a token)."""
-    compiled = []
-    for r in host_rules:
-        compiled.append((compile_host(r), {"kind": "host", "action": r.action, "name": r.name, "size": len(r.name)}))
-    for r in pattern_rules:
-        compiled.append((compile_pattern(r.pattern),
-                         {"kind": "pattern", "action": r.action, "name": r.pattern, "size": len(r.pattern)}))
+    compiled = [(compile_host(r), ("host", r.action, r.name)) for r in host_rules]
+    compiled += [(compile_pattern(r.pattern), ("pattern", r.action, r.pattern)) for r in pattern_rules]
     wanted = {t for (_, tokens), _ in compiled for t in tokens}
     counts = rarest_tokens(pages, wanted) if wanted else {}
-    index: dict[str, list] = {}
+    index: dict[str, list[Filed]] = {}
     for (regex, tokens), rule in compiled:
         key = min(tokens, key=lambda t: (counts.get(t, 0), t)) if tokens else ""
-        index.setdefault(key, []).append(rule | {"regex": regex})
+        index.setdefault(key, []).append(Filed(*rule, regex))
     return index
 
 
+def candidates(index: dict[str, list[Filed]], folded_url: str) -> list[Filed]:
+    """The rules that a url's tokens fetch, and those filed under no token."""
+    found = list(index.get("", ()))
+    for token in set(_TOKEN.findall(folded_url)):
+        found += index.get(token, ())
+    return found
+
+
+def verdict(index: dict[str, list[Filed]], target: str, folded_url: str) -> tuple[str | None, str | None, str]:
+    """``(host rule, pattern rule, verdict)`` of one url."""
+    host = pattern = None
+    for r in candidates(index, folded_url):
+        if not r(target, folded_url):
+            continue
+        if r.kind == "host":  # the longest, then the smaller name
+            host = min(host or r, r, key=lambda x: (-len(x.name), x.name, x.action))
+        else:  # the longest, then an allowing one, then the smaller name
+            pattern = min(pattern or r, r, key=lambda x: (-len(x.name), x.action, x.name))
+    deciding = host or pattern
+    return host and host.name, pattern and pattern.name, deciding.action if deciding else ALLOW
+
+
+def _judge(index: dict[str, list[Filed]]):
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [verdict(index, target.as_py(), low.as_py())
+                     for target, low in zip(batch.column("target"), batch.column("folded"))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in ("page_id", "host", "path")]
+                + [pa.array([f[i] for f in found], pa.string()) for i in range(3)],
+                ["page_id", "host", "path", "rule", "pattern", "verdict"])
+
+    return judge
+
+
 def judge_urls(pages: DataFrame, host_rules: list[HostRule] = HOST_RULES,
                pattern_rules: list[PatternRule] = PATTERN_RULES) -> DataFrame:
     """One row per input row: ``page_id, host, path, rule, pattern, verdict``.
@@ -136,24 +187,8 @@ def judge_urls(pages: DataFrame, host_rules: list[HostRule] = HOST_RULES,
     """
     given = pages.select("page_id", "url")
     index = rule_index(given, host_rules, pattern_rules)
-    kind = "map<string,array<struct<kind:string,action:string,name:string,size:int,regex:string>>>"
     host, path = host_and_path(F.col("url"))
-    rows = given.select("page_id", F.coalesce("url", F.lit("")).alias("url"), host.alias("host"), path.alias("path"))
-    rows = rows.withColumn("folded", folded(F.col("url"))).withColumn("target", F.concat("host", "path"))
-    rules = F.from_json(F.lit(json.dumps(index)), kind)
-    keys = F.concat(F.filter(_tokens(F.col("url")), lambda t: t.isin(*[k for k in index if k])), F.array(F.lit("")))
-    fetched = rows.withColumn("candidates", F.flatten(F.transform(
-        keys, lambda t: F.coalesce(rules[t], F.array().cast(kind[len("map<string,"):-1])))))
-    fits = fetched.withColumn("fits", F.filter("candidates", lambda r: F.regexp_like(
-        F.when(r["kind"] == "host", F.col("target")).otherwise(F.col("folded")), r["regex"])))
-
-    def best(which: str) -> Column:
-        # the largest size, then the smaller name; for patterns an allowing rule before a blocking one
-        ranked = F.transform(F.filter("fits", lambda r: r["kind"] == which), lambda r: F.struct(
-            (-r["size"]).alias("size"), (r["action"] if which == "pattern" else F.lit("")).alias("first"),
-            r["name"].alias("name"), r["action"].alias("action")))
-        return F.array_min(ranked)
-
-    judged = fits.select("page_id", "host", "path", best("host").alias("h"), best("pattern").alias("p"))
-    return judged.select("page_id", "host", "path", F.col("h.name").alias("rule"), F.col("p.name").alias("pattern"),
-                         F.coalesce("h.action", "p.action", F.lit(ALLOW)).alias("verdict"))
+    rows = given.select("page_id", host.alias("host"), path.alias("path"), folded(F.coalesce("url", F.lit(""))).alias("folded"))
+    schema = given.select("page_id").schema.add("host", "string").add("path", "string") \
+        .add("rule", "string").add("pattern", "string").add("verdict", "string")
+    return rows.withColumn("target", F.concat("host", "path")).mapInArrow(_judge(index), schema)
