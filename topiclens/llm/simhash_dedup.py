@@ -7,14 +7,15 @@ The pivot table holds, for each distinct fingerprint x, its distances to referen
 fingerprints.  Hamming distance is a metric, so |d(x, p) - d(y, p)| <= d(x, y) for every
 reference p, and a pair whose largest coordinate difference exceeds ``max_bits`` is out.
 
-References come in families.  Family f owns a slice of the 64 bits; its references are the
-zero fingerprint and the single bits of the slice.  d(x, 0) - d(x, bit) depends on that bit
-alone, so the relative coordinates of a family agree exactly when no bit of its slice
-differs.  Two fingerprints within ``max_bits`` differ in at most that many slices, hence
-agree in all coordinates of the others: agreement on ``families - max_bits`` families is the
-join key that proposes pairs, with no pair lost.  Proposed pairs are discarded by the
-largest coordinate difference over the dense references (``DENSE``), survivors are verified
-exactly.
+The references are the zero fingerprint and one per pair of neighbouring bits (the pair set, all
+else zero).  The table stores a fingerprint's distances to them and to a few dense references.  A
+ring coordinate is half the difference of two stored distances, (d(x, 0) - d(x, pair)) / 2 = bits set in
+that pair - 1, so a differing bit changes one ring coordinate only.  The 32 ring coordinates are
+dealt to families; two fingerprints within ``max_bits`` differ in the coordinates of at most that
+many families, so agreement on ``families - max_bits`` families is the join key that proposes
+pairs, with no pair lost.  A ring coordinate does not tell which bit of the pair is set, so proposals
+can be far apart: those whose largest coordinate difference over all stored distances exceeds
+``max_bits`` are discarded, and the survivors are verified exactly.
 
 A key held by more than ``group_limit`` distinct fingerprints is not paired out: its
 fingerprints go to a second exact route, where each is written under itself and all
@@ -25,6 +26,7 @@ there (for ``max_bits`` = 2; at most 65 fingerprints share a point).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -50,6 +52,10 @@ GROUP_LIMIT = 32
 DENSE = [0x5555555555555555, 0x3333333333333333, 0x0F0F0F0F0F0F0F0F, 0x00FF00FF00FF00FF,
          0x0000FFFF0000FFFF, 0x00000000FFFFFFFF, 0x0218A392CD3D5DBF, 0x07EDD5E59A4E28C2]
 
+RINGS = 32  # pairs of neighbouring bits
+# the references in the order of the stored distances: zero, the pairs, the dense ones
+REFERENCES = [0, *(3 << 2 * i for i in range(RINGS)), *DENSE]
+
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     """The SimHash of one text (unsigned)."""
@@ -111,42 +117,58 @@ def simhash(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 def pivot_columns(fp: Column) -> Column:
-    """Distances to the dense references, as one row of the pivot table."""
-    return F.array(*[F.bit_count(fp.bitwiseXOR(F.lit(p))).cast("byte") for p in DENSE])
-
-
-def _slice_masks(families: int) -> list[int]:
-    cuts = [round(64 * i / families) for i in range(families + 1)]
-    return [((1 << (b - a)) - 1) << a for a, b in zip(cuts, cuts[1:])]
-
-
-def _family_keys(fp: Column, families: int, max_bits: int) -> Column:
-    """One key per choice of agreeing families: the bits their relative coordinates spell."""
-    masks = _slice_masks(families)
+    """Distances to all references, as one row of the pivot table."""
+    signed = [p - (1 << 64) if p >> 63 else p for p in REFERENCES]
+    return F.array(*[F.bit_count(fp.bitwiseXOR(F.lit(p).cast("long"))).cast("byte") for p in signed])
+
+
+def _family_codes(pivots: Column, families: int) -> list[Column]:
+    """Per family the number that its ring coordinates (0, 1 or 2 after adding 1) spell in base 3."""
+    cuts = [round(RINGS * i / families) for i in range(families + 1)]
+    codes = []
+    for a, b in zip(cuts, cuts[1:]):
+        code = F.lit(0).cast("long")
+        for i in range(a, b):
+            ring = (pivots[0].cast("long") - pivots[1 + i].cast("long")) / 2 + 1
+            code = code * 3 + ring.cast("long")
+        codes.append(code)
+    return codes
+
+
+def _family_keys(codes: Column, families: int, max_bits: int) -> Column:
+    """One key per choice of agreeing families: the choice and the codes of its families."""
     keys = []
-    for k, chosen in enumerate(combinations(masks, families - max_bits)):
-        mask = sum(chosen)
-        signed = mask - (1 << 64) if mask >> 63 else mask
-        keys.append(F.struct(F.lit(k).cast("byte").alias("k"),
-                             fp.bitwiseAND(F.lit(signed)).alias("bits")))
+    for k, chosen in enumerate(combinations(range(families), families - max_bits)):
+        key = F.lit(0).cast("long")
+        for f in chosen:  # at most 32 ring coordinates: 3 ** 32 fits a long
+            key = key * 3 ** math.ceil(RINGS / families) + codes[f]
+        keys.append(F.struct(F.lit(k).cast("byte").alias("k"), key.alias("rings")))
     return F.array(*keys)
 
 
+def pivot_table(fps: DataFrame, families: int = FAMILIES) -> DataFrame:
+    """``fp, pivots, codes``: stored distances of every distinct fingerprint and the codes of its families."""
+    table = materialize(fps.select("fp", pivot_columns(F.col("fp")).alias("pivots")), "pivot_table")
+    return table.withColumn("codes", F.array(*_family_codes(F.col("pivots"), families)))
+
+
 def links(fps: DataFrame, max_bits: int = MAX_BITS, families: int = FAMILIES,
           group_limit: int = GROUP_LIMIT) -> DataFrame:
     """``a, b``: links that connect every pair of distinct fingerprints within ``max_bits``."""
     if max_bits not in (1, 2):
         raise ValueError("the exact route for large groups covers 1 or 2 bits")
-    table = fps.select("fp", pivot_columns(F.col("fp")).alias("pivots"))
-    keyed = table.withColumn("key", F.explode(_family_keys(F.col("fp"), families, max_bits)))
-    keyed = keyed.select("key.k", "key.bits", "fp", "pivots")
-    sizes = keyed.groupBy("k", "bits").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = materialize(keyed.join(sizes, ["k", "bits"]), "pivots")
+    if not max_bits < families <= RINGS:
+        raise ValueError("families must be more than max_bits and at most 32")
+    table = pivot_table(fps, families)
+    keyed = table.withColumn("key", F.explode(_family_keys(F.col("codes"), families, max_bits)))
+    keyed = keyed.select("key.k", "key.rings", "fp", "pivots")
+    sizes = keyed.groupBy("k", "rings").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = materialize(keyed.join(sizes, ["k", "rings"]), "pivots")
     small = shared.filter(F.col("n") <= group_limit).drop("n")
-    left = small.select("k", "bits", F.col("fp").alias("a"), F.col("pivots").alias("pa"))
-    right = small.select("k", "bits", F.col("fp").alias("b"), F.col("pivots").alias("pb"))
-    near = F.greatest(*[F.abs(F.col("pa")[i] - F.col("pb")[i]) for i in range(len(DENSE))]) <= max_bits
-    paired = (left.join(right, ["k", "bits"]).filter(F.col("a") < F.col("b")).filter(near)
+    left = small.select("k", "rings", F.col("fp").alias("a"), F.col("pivots").alias("pa"))
+    right = small.select("k", "rings", F.col("fp").alias("b"), F.col("pivots").alias("pb"))
+    near = F.greatest(*[F.abs(F.col("pa")[i] - F.col("pb")[i]) for i in range(len(REFERENCES))]) <= max_bits
+    paired = (left.join(right, ["k", "rings"]).filter(F.col("a") < F.col("b")).filter(near)
               .filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits).select("a", "b"))
     crowd = shared.filter(F.col("n") > group_limit).select("fp").distinct()
     flips = [F.lit(1 << i if i < 63 else -(1 << 63)) for i in range(64)]
