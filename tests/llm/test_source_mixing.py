@@ -104,3 +104,21 @@ def test_empty_and_wordless_tables(spark):
     assert mix_sources(frame(spark, [])).collect() == [] and mixed_documents(frame(spark, [])).collect() == []
     got = mix_sources(frame(spark, [(1, None, "a"), (2, " ", None)])).collect()
     assert [(r["size"], r["taken"], r["target"]) for r in got] == [(0, 0, 0.0)] * 2
+
+
+def test_many_sources_are_ranked_in_more_than_one_task(spark):
+    n = 30_000
+    df = spark.range(n).selectExpr("concat('s', id) AS source", "(id * 7919) % 1000 AS source_size")
+    rows = source_targets(df).select("source", "source_size", "sid", "base", "target").collect()
+    sizes = {r["source"]: r["source_size"] for r in rows}
+    names = sorted(sizes)
+    by_name = {r["source"]: r for r in rows}
+    assert [by_name[s]["sid"] for s in names] == list(range(n))
+    total = 0
+    for s in names:
+        assert by_name[s]["base"] == total
+        total += sizes[s]
+    assert abs(sum(r["target"] for r in rows) - total) < 1e-3
+    assert all(r["target"] <= 3 * r["source_size"] + 1e-9 for r in rows)
+    free = {round(r["target"] / (5, 2, 1)[r["sid"] % 3], 6) for r in rows if r["target"] < 3 * r["source_size"] - 1e-6}
+    assert len(free) <= 1  # all that are not stopped stand at one level

@@ -13,7 +13,8 @@ The words of each source form one stream (documents in a fixed order), cut into
 
 A source that holds a third of all rows is never one group: documents are placed by (source,
 chunk) with chunk starts summed apart, slots are expanded from segments of bounded length, and
-joins use the block number.
+joins use the block number.  Running sums over sources, chunks and shards are made over range
+partitions, so neither the number of sources nor the size of one decides what a task holds.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ SEGMENT_SLOTS = 1 << 14
 SHARD_SLOTS = 1 << 14
 TASK_SLOTS = 1 << 17  # slots that one task expands
 ROUNDS = 12
+FRACTION = 1 << 20  # parts of a slot in which shares are summed
 SEED = 20240607
 BROADCAST_SOURCES = 10_000  # above this many sources their table is joined by shuffle
 
@@ -59,33 +61,47 @@ def permuted(df: DataFrame, x: str, n: Column, key: list[Column], out: str) -> D
     return df.drop("_other")
 
 
+def _running(df: DataFrame, order: list[str | Column], sums: dict[str, str], name: str) -> DataFrame:
+    """Add, per new name in ``sums``, the sum of a column over all rows up to this one in ``order`` (no two rows equal).
+
+    Range partitions with a running sum each, written once, and one row of totals per
+    partition: a hot source's rows are spread like any others.
+    """
+    ranged = df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id())
+    inside = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = materialize(ranged.select("*", *[F.sum(c).over(inside).alias(n) for n, c in sums.items()]), name)
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = local.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()]).select(
+        "_pid", *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_off_{n}") for n in sums])
+    joined = local.join(F.broadcast(offsets), "_pid")
+    return joined.withColumns({n: F.col(n) + F.col(f"_off_{n}") for n in sums}) \
+        .drop("_pid", *[f"_off_{n}" for n in sums])
+
+
 def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP) -> DataFrame:
-    """``source, source_size, sid, target``: one row per source (``sizes``: source, source_size).
+    """``source, source_size, sid, base, target``: one row per source (``sizes``: source, source_size).
 
-    Sources in code point order (null last) take the weights in turn.  Shares of all words
-    are filled like vessels: with the sources in the order of cap * size / weight, the
-    common level is the first one that the next source's cap does not undercut.
+    Sources in code point order (null last) take the weights in turn; ``base`` is the words of the
+    sources before.  Shares of all words are filled like vessels: with the sources in the order of
+    cap * size / weight, the common level is the first one that the next source's cap does not
+    undercut.  No step holds all sources in one task.
     """
-    one = Window.partitionBy(F.lit(0))
-    ranked = sizes.withColumn("sid", F.row_number().over(
-        Window.partitionBy(F.lit(0)).orderBy(F.col("source").asc_nulls_last())) - 1)
+    ranked = _running(sizes.withColumn("one", F.lit(1).cast("long")), [F.col("source").asc_nulls_last()],
+                      {"place": "one", "upto": "source_size"}, "mix_order")
     turn = F.array(*[F.lit(float(w)) for w in weights])
-    full = ranked.select("source", "source_size", "sid",
-                         turn[F.col("sid") % F.lit(len(weights))].alias("weight"),
-                         (F.lit(float(cap)) * F.col("source_size")).alias("most"))
-    order = Window.partitionBy(F.lit(0)).orderBy(F.col("most") / F.col("weight"), "sid")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    onward = order.rowsBetween(0, Window.unboundedFollowing)
-    level = (F.sum("source_size").over(one) - F.coalesce(F.sum("most").over(before), F.lit(0.0))) \
-        / F.sum("weight").over(onward)
-    levels = full.withColumn("level", level).withColumn(
-        "fits", F.when(F.col("level") <= F.col("most") / F.col("weight"), F.col("level")))
-    common = F.first("fits", ignorenulls=True).over(
-        order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return levels.withColumn("common", common).select(
-        "source", "source_size", "sid",
-        F.when(F.col("common").isNull(), F.col("most"))
-        .otherwise(F.least(F.col("most"), F.col("weight") * F.col("common"))).alias("target"))
+    full = ranked.select("source", "source_size", (F.col("place") - 1).alias("sid"),
+                         (F.col("upto") - F.col("source_size")).alias("base"),
+                         (F.lit(float(cap)) * F.col("source_size")).alias("most")) \
+        .withColumn("weight", turn[(F.col("sid") % F.lit(len(weights))).cast("int")]) \
+        .withColumn("ratio", F.col("most") / F.col("weight"))
+    summed = _running(full, ["ratio", "sid"], {"most_upto": "most", "weight_upto": "weight"}, "mix_levels")
+    all_words, all_weight = (x or 0 for x in summed.agg(F.sum("source_size"), F.sum("weight")).first())
+    level = (F.lit(all_words) - (F.col("most_upto") - F.col("most"))) \
+        / (F.lit(all_weight) - (F.col("weight_upto") - F.col("weight")))
+    common = summed.withColumn("level", level).filter("level <= ratio") \
+        .agg(F.min(F.struct("ratio", "sid", "level")).alias("first")).first()["first"]
+    filled = F.col("most") if common is None else F.least(F.col("most"), F.col("weight") * F.lit(common["level"]))
+    return summed.select("source", "source_size", "sid", "base", filled.alias("target"))
 
 
 def _placed(docs: DataFrame, targets: DataFrame, rows: int) -> DataFrame:
@@ -97,46 +113,47 @@ def _placed(docs: DataFrame, targets: DataFrame, rows: int) -> DataFrame:
     chunks = max(1, math.ceil(rows / CHUNK_ROWS))
     chunked = joined.withColumn("_chunk", F.pmod(F.xxhash64("doc_id", "tie"), F.lit(chunks)).cast("int"))
     sums = chunked.groupBy("sid", "_chunk").agg(F.sum("size").alias("_sum"))
-    earlier = Window.partitionBy("sid").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(F.col("sid").alias("_sid"), F.col("_chunk").alias("_of"),
-                         F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
+    upto = _running(sums, ["sid", "_chunk"], {"_upto": "_sum"}, "mix_chunks")
+    starts = upto.select(F.col("sid").alias("_sid"), F.col("_chunk").alias("_of"),
+                         (F.col("_upto") - F.col("_sum")).alias("_start"))
     inside = Window.partitionBy("sid", "_chunk").orderBy("doc_id", "tie", "size") \
         .rowsBetween(Window.unboundedPreceding, -1)
     own = chunked.withColumn("_own", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     return own.join(starts, (own["sid"] == starts["_sid"]) & (own["_chunk"] == starts["_of"])) \
-        .withColumn("pos", (F.col("_start") + F.col("_own")).cast("long")) \
-        .drop("_sid", "_of", "_start", "_own", "_chunk")
+        .withColumn("pos", (F.col("_start") - F.col("base") + F.col("_own")).cast("long")) \
+        .drop("_sid", "_of", "_start", "_own", "_chunk", "base")
 
 
 def draws(targets: DataFrame, words: int, block_words: int = BLOCK_WORDS, cap: int = CAP) -> DataFrame:
     """``sid, block, pass``: the blocks that the mix takes, one row per slot."""
-    order = Window.partitionBy(F.lit(0)).orderBy("sid")
+    # whole numbers, so that sums do not depend on their order
+    want = F.col("target") / F.col("source_size") * F.ceil(F.col("source_size") / block_words)
     sources = targets.filter("source_size > 0").select(
         "sid", F.ceil(F.col("source_size") / block_words).alias("blocks"),
-        (F.col("target") / F.col("source_size") * F.ceil(F.col("source_size") / block_words)).alias("want"))
-    cut = sources.withColumn("to", F.round(F.sum("want").over(
-        order.rowsBetween(Window.unboundedPreceding, 0))).cast("long"))
-    cut = cut.withColumn("from", F.coalesce(F.lag("to").over(order), F.lit(0).cast("long")))
-    cut = cut.withColumn("slots", F.max("to").over(Window.partitionBy(F.lit(0)))).filter("to > from")
-    segments = cut.select("sid", "slots", "from", "to", F.explode(F.sequence(
+        F.round(want * FRACTION).cast("long").alias("want"))
+    cut = _running(sources, ["sid"], {"upto": "want"}, "mix_strata").select(
+        "sid", "blocks", F.round((F.col("upto") - F.col("want")) / FRACTION).cast("long").alias("from"),
+        F.round(F.col("upto") / FRACTION).cast("long").alias("to"))
+    slots = F.lit(max(1, cut.agg(F.max("to")).first()[0] or 0)).cast("long")
+    segments = cut.filter("to > from").select("sid", "blocks", "from", "to", F.explode(F.sequence(
         F.lit(0).cast("long"), F.floor((F.col("to") - F.col("from") - 1) / SEGMENT_SLOTS))).alias("segment"))
     low = F.col("from") + F.col("segment") * SEGMENT_SLOTS
     # small rows that grow when expanded: the number of tasks follows the slots, not their bytes
     tasks = max(1, math.ceil(words / block_words / TASK_SLOTS))
     strata = segments.repartition(tasks, "sid", "segment").select(
-        "sid", "slots", F.explode(F.sequence(low, F.least(low + SEGMENT_SLOTS, F.col("to")) - 1)).alias("stratum"))
-    dealt = permuted(strata, "stratum", F.col("slots"), [], "slot")
+        "sid", "blocks", "from", F.explode(F.sequence(low, F.least(low + SEGMENT_SLOTS, F.col("to")) - 1)).alias("stratum"))
+    dealt = permuted(strata, "stratum", slots, [], "slot")
     # how many slots of each output shard every source fills
-    counts = materialize(dealt.groupBy("sid", F.floor(F.col("slot") / SHARD_SLOTS).alias("shard"))
-                         .agg(F.count(F.lit(1)).alias("n")), "mix_shards")
-    earlier = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = counts.withColumn("start", F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("long")))
-    numbered = numbered.join(sources.select("sid", "blocks"), "sid")
-    slots = numbered.repartition(tasks, "sid", "shard").select(
+    counts = dealt.groupBy("sid", "blocks", "from", F.floor(F.col("slot") / SHARD_SLOTS).alias("shard")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    # the sources before fill as many slots as their strata, so the rest of the sum is the source's own
+    numbered = _running(counts, ["sid", "shard"], {"upto": "n"}, "mix_shards") \
+        .withColumn("start", F.col("upto") - F.col("n") - F.col("from"))
+    taken = numbered.repartition(tasks, "sid", "shard").select(
         "sid", "blocks", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("i"))
-    slots = slots.withColumn("pass", F.floor(F.col("i") / F.col("blocks"))) \
+    taken = taken.withColumn("pass", F.floor(F.col("i") / F.col("blocks"))) \
         .filter(F.col("pass") < cap).withColumn("j", F.col("i") % F.col("blocks"))
-    blocks = permuted(slots, "j", F.col("blocks"), [F.col("sid"), F.col("pass")], "block")
+    blocks = permuted(taken, "j", F.col("blocks"), [F.col("sid"), F.col("pass")], "block")
     # written: a join key's null check would otherwise be pushed through every round of the chain
     return materialize(blocks.select("sid", "block", "pass"), "mix_slots")
 
