@@ -117,3 +117,15 @@ def test_dense_rows(spark):
     rows = spark.createDataFrame([(1,), (2,), (3,)], "doc_id long")
     got = {r["doc_id"]: r["row"] for r in CU.long_to_dense(cells, "doc_id", "term_id", "weight", 1000, rows).collect()}
     assert all(len(v) == 1000 for v in got.values()) and got[1][:3] == [1.5, 0, 0.5] and got[2][999] == 2.0 and not any(got[3])
+
+
+def test_dense_rows_are_summed_where_they_are_laid_out(spark):
+    cells = spark.createDataFrame([(1, 0, 0.5), (1, 4999, 2.0), (2, 7, -1.0), (2, 8, 1.0), (None, 3, 4.0)],
+                                  "doc_id long, term_id int, weight double")
+    rows = spark.createDataFrame([(1,), (2,), (2,), (3,), (None,)], "doc_id long")
+    got = CU.long_to_dense(cells, "doc_id", "term_id", "weight", 5000, rows, CU.dense_sums,
+                           "width int, n_nonzero int, total double, by_place double")
+    want = [(1, 5000, 2, 2.5, 10000.5), (2, 5000, 2, 0.0, 1.0), (2, 5000, 2, 0.0, 1.0), (3, 5000, 0, 0.0, 0.0), (None, 5000, 0, 0.0, 0.0)]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert CU.long_to_dense(cells, "doc_id", "term_id", "weight", 0, rows.limit(0), CU.dense_sums,
+                            "width int, n_nonzero int, total double, by_place double").collect() == []
