@@ -99,3 +99,36 @@ def test_u_mass_of_two_hundred_terms_matches_brute_force(spark):
     assert abs(both[7] - got[0]) < 1e-12 and abs(both[8] - (got[0] + got[1]) / 2) < 1e-12
     plan = by_model._jdf.queryExecution().toString()
     assert plan.count("== Physical Plan ==") == 1
+
+
+def test_fold_in_sends_plain_numbers_and_keeps_every_document(spark):
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    terms = [f"w{i}" for i in range(40)]
+    model = [(t, w, float(p)) for t in ("a", "b", "c") for w, p in zip(terms, rng.dirichlet(np.ones(40))) if p > 0.004]
+    docs = [(d, w, int(rng.integers(1, 9))) for d in [*range(300), None] for w in rng.choice(terms, 1 + (d or 0) % 30, False)]
+    docs += [(0, terms[0], 2), (0, terms[0], 2), (1000, "unknown", 5)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # documents go on in later batches
+    try:
+        out = TP.fold_in(spark.createDataFrame(docs, "doc_id long, term string, tf long"),
+                         spark.createDataFrame(model, "topic string, term string, p double"), ["a", "b", "c"], 4)
+        sent = out._jdf.queryExecution().optimizedPlan().toString()
+        got = {(r["doc_id"], r["topic"]): r["p"] for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "collect_list" not in sent
+    p_of = {(t, w): p for t, w, p in model}
+    seen = 0
+    for d, rows in pd.DataFrame([(-1 if d is None else d, w, n) for d, w, n in docs]).groupby(0):
+        p = np.array([[p_of.get((t, w), 0.0) for t in "abc"] for w in rows[1]])
+        tf, p = rows[2].to_numpy(float)[p.any(axis=1)], p[p.any(axis=1)]
+        if not len(p):
+            continue
+        seen += 1
+        theta = np.full(3, 1 / 3)
+        for _ in range(4):
+            theta = (tf[:, None] * p * theta / (p * theta).sum(axis=1, keepdims=True)).sum(axis=0) / tf.sum()
+        assert np.allclose([got[None if d == -1 else d, t] for t in "abc"], theta, atol=1e-12)
+    assert len(got) == 3 * seen and (1000, "a") not in got

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
@@ -289,28 +290,52 @@ def fold_in(counts: DataFrame, topic_term: DataFrame, topics: list, iterations:
 
     From equal shares, every iteration gives each topic its share of the document's known words,
     ``p(t|d) = sum_w tf(w) p(w|t) p(t|d) / sum_s p(w|s) p(s|d) / sum_w tf(w)``.  ``topics`` lists the model's
-    topics (k entries).  A document is one row of its known terms; one without any has no rows.  The terms'
-    k probabilities travel by key, never as a whole model.
+    topics (k entries).  A document without any known term has no rows.  The terms' k probabilities travel by
+    key, never as a whole model.
+
+    A (document, term) row moves as plain numbers without its word.  Rows are dealt by document and sorted, which
+    fixes the order of the sums, so that a task reads one document after another and moves many at once.
     """
     by_term = topic_term.groupBy("term").pivot("topic", topics).agg(F.first("p"))
-    share = F.array(*[F.coalesce(F.col(f"`{t}`"), F.lit(0.0)) for t in topics]).alias("_p")
-    words = counts.join(by_term.select("term", share), "term").filter(F.exists("_p", lambda p: p > 0))
-    docs = words.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("term", "tf", "_p"))).alias("_w"))
-    docs = docs.select("doc_id", F.col("_w.tf").cast("array<double>").alias("tf"), F.flatten("_w._p").alias("p"))
-    id_field = counts.schema["doc_id"]
     k = len(topics)
+    shares = [f"_p{i}" for i in range(k)]
+    named = by_term.select("term", *[F.coalesce(F.col(f"`{t}`"), F.lit(0.0)).alias(c) for t, c in zip(topics, shares)])
+    any_share = F.exists(F.array(*shares), lambda p: p > 0)
+    words = counts.join(named.filter(any_share), "term").select(
+        "doc_id", F.col("tf").cast("long").alias("tf"), *shares)
+    docs = words.repartition("doc_id").sortWithinPartitions("doc_id", "tf", *shares)
+    id_field = counts.schema["doc_id"]
+
+    def steps(ids: pa.Array, first: np.ndarray, table: pa.Table) -> pa.RecordBatch:
+        tf = table.column("tf").to_numpy().astype(np.float64)
+        p = np.stack([table.column(c).to_numpy() for c in shares], axis=1)
+        owner = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(tf))))
+        total = np.add.reduceat(tf, first)
+        theta = np.full((len(first), k), 1.0 / k)
+        for _ in range(iterations):
+            mix = p * theta[owner]
+            theta = np.add.reduceat(tf[:, None] * mix / mix.sum(axis=1, keepdims=True), first, axis=0) / total[:, None]
+        return pa.RecordBatch.from_arrays(
+            [ids, pa.ListArray.from_arrays(pa.array(np.arange(len(first) + 1) * k, pa.int32()), pa.array(theta.ravel()))],
+            ["doc_id", "s"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # the rows of the last document seen, which may go on in the next batch
         for batch in batches:
-            shares = []
-            for tf, p in zip(batch.column("tf"), batch.column("p")):
-                tf, p = tf.values.to_numpy(), p.values.to_numpy().reshape(-1, k)
-                theta = np.full(k, 1.0 / k)
-                for _ in range(iterations):
-                    mix = p * theta
-                    theta = (tf[:, None] * mix / mix.sum(axis=1, keepdims=True)).sum(axis=0) / tf.sum()
-                shares.append(theta.tolist())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(shares, pa.list_(pa.float64()))], ["doc_id", "s"])
+            code = pc.fill_null(batch.column("doc_id").dictionary_encode().indices, -1).to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero(code[1:] != code[:-1]) + 1
+            if held and len(code) and held[0].column("doc_id")[0].as_py() != batch.column("doc_id")[0].as_py():
+                cuts = np.concatenate(([0], cuts))
+            if len(cuts):
+                whole = pa.Table.from_batches([*held, batch.slice(0, cuts[-1])])
+                first = np.concatenate(([0], sum(b.num_rows for b in held) + cuts[:-1]))
+                yield steps(whole.column("doc_id").combine_chunks().take(pa.array(first)), first, whole)
+                held = []
+            rest = batch.slice(cuts[-1] if len(cuts) else 0)
+            held += [rest] if rest.num_rows else []
+        if held:
+            whole = pa.Table.from_batches(held)
+            yield steps(whole.column("doc_id").combine_chunks().slice(0, 1), np.array([0]), whole)
 
     found = docs.mapInArrow(run, StructType([id_field, StructField("s", ArrayType(DoubleType()))]))
     names = F.array(*[F.lit(t) for t in topics])
