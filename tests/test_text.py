@@ -119,3 +119,24 @@ def test_parse_timestamp(spark):
     df = spark.createDataFrame([(v,) for v in values], "v string")
     got = [None if r[0] is None else str(r[0]) for r in df.select(TX.parse_timestamp("v")).collect()]
     assert got == ["2021-03-04 05:06:07"] * 2 + [None] * 4
+
+
+def test_words_are_judged_once_and_not_per_token(spark):
+    rows = [(1, i, w) for i, w in enumerate(["the", "cats", "...", "cats", "12", "run", "two"] * 3)] + [(None, 0, "cats"), (2, 0, None)]
+    toks = spark.createDataFrame(rows, "doc_id long, pos int, term string")
+    lex = spark.createDataFrame([("cats", "cat", "NOUN"), ("run", "run", "VERB")], "token string, lemma string, pos string")
+    kept = CL.clean_tokens(toks, CL.word_table(spark, ["the"]), lex, ["NOUN"])
+    assert "RLIKE" not in kept._jdf.queryExecution().optimizedPlan().toString().upper()
+    want = [(1, p, "cat") for p in (1, 3, 8, 10, 15, 17)] + [(None, 0, "cat")]
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(want, key=str)
+
+
+def test_a_lexicon_is_made_of_distinct_words(spark):
+    from topiclens.sources import standins as SI
+
+    toks = spark.createDataFrame([(1, ["used", "used", "cat", "A1"]), (2, ["cat", "dogs"]), (3, None), (4, [])],
+                                 "doc_id long, tokens array<string>")
+    lex = SI.suffix_lexicon(toks)
+    lemmas = lex.groupBy("token").agg({"lemma": "min"})
+    assert "GENERATE" not in lemmas._jdf.queryExecution().optimizedPlan().toString().upper()
+    assert sorted(map(tuple, lex.collect())) == [("cat", "cat", "NOUN"), ("dogs", "dog", "VERB"), ("used", "used", "ADJ")]

@@ -16,9 +16,16 @@ from ..session import materialize
 HOT_SHARE = 1 / 1024
 
 
-def hot_keys(left: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """The keys with more than ``share`` of the rows (and more than one row); fewer than ``1 / share``."""
-    counts = materialize(left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")), "key_counts")
+def key_counts(left: DataFrame, key: str) -> DataFrame:
+    """``(key, _n)``: the rows of every key that is not null, a written table."""
+    return materialize(left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")), "key_counts")
+
+
+def hot_keys(left: DataFrame, key: str, share: float = HOT_SHARE, counts: DataFrame | None = None) -> DataFrame:
+    """The keys with more than ``share`` of the rows (and more than one row); fewer than ``1 / share``.
+
+    ``counts``: the rows per key, where :func:`key_counts` has been called already."""
+    counts = key_counts(left, key) if counts is None else counts
     total = counts.agg(F.sum("_n")).first()[0] or 0
     return counts.filter(F.col("_n") > max(1.0, share * total)).select(key)
 
@@ -30,14 +37,15 @@ def split(left: DataFrame, right: DataFrame, key: str, hot: DataFrame) -> tuple[
             left.join(few, key, "left_anti"), right.join(few, key, "left_anti"))
 
 
-def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", share: float = HOT_SHARE) -> DataFrame:
+def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", share: float = HOT_SHARE,
+                counts: DataFrame | None = None) -> DataFrame:
     """``left`` joined with ``right`` (one row per key) by ``key``; ``how`` is ``inner`` or ``left``.
 
     Rows of ``left`` with a null key match nothing; a left join keeps them without shuffling them.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    hot_left, hot_right, cold_left, cold_right = split(left, right, key, materialize(hot_keys(left, key, share), "hot_keys"))
+    hot_left, hot_right, cold_left, cold_right = split(left, right, key, materialize(hot_keys(left, key, share, counts), "hot_keys"))
     some = cold_left.filter(F.col(key).isNotNull())
     out = hot_left.join(F.broadcast(hot_right), key, how).unionByName(some.join(cold_right, key, how))
     if how == "left":
