@@ -159,3 +159,16 @@ def test_tiny_tables(spark, rows):
     got = fit_and_score(frame(spark, rows), SMALL)[0].collect()
     assert len(got) == len(rows) and all(math.isfinite(r["score"]) for r in got)
     same(got, brute(rows))
+
+
+def test_strengths_are_learned_from_every_block(spark, monkeypatch):
+    import topiclens.llm.maxent_lm as lm
+
+    rows = [(i, f"a{i % 7} b{i % 5} a{i % 7} b{i % 5} c{i % 3}") for i in range(400)]
+    learned = []
+    monkeypatch.setattr(lm, "learn_strength", lambda cells: learned.append(cells["n"].sum()) or learn_strength(cells))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert lm.text_bytes(docs) > 16 * 200
+    for block_bytes in (1 << 20, 200):  # one block, and more than 16
+        fit_and_score(docs, SMALL, block_bytes)
+    assert learned[0] == learned[1] > 0

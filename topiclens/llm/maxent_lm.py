@@ -14,8 +14,8 @@ used once over all rounds.  This table has a fixed size (``rows`` x ``classes``)
 P(w | c, h) = q(w) exp(f(h, w)) / Z(h, c), where q is the smoothed share of w in its class and
 f(h, w) = log(1 + n(h, w) / (m q(w))), so that Z(h, c) = 1 + n(h, c) / m and the words of a class add up to
 one.  n counts training tokens.  The strength m depends on n(h, c) (one value per power of two) and is
-learned by gradient ascent on the leave-one-out likelihood of the training tokens of at most
-``fit_blocks`` blocks.  Pairs are hashed to a table of 2^bits places; bits follow the bytes of the
+learned by gradient ascent on the leave-one-out likelihood of all training tokens, which are added
+up by powers of two.  Pairs are hashed to a table of 2^bits places; bits follow the bytes of the
 corpus, so this table grows with the input at one rate of collisions.
 
 Counts cover all training documents.  Each block sends its distinct words, pairs and (history, class)
@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, scratch_path
 from .arrow_text import mix64, slices, span_hashes, texts_of, words_of
 from .blocks import BLOCK_BYTES, dealt, text_bytes
 
@@ -50,7 +50,7 @@ STRENGTHS = 64  # one per power of two of n(h, c)
 
 @dataclass(frozen=True)
 class Shape:
-    """Sizes and rates of the class softmax, and the blocks that the strengths are learned from."""
+    """Sizes and rates of the class softmax."""
 
     rows: int = 1 << 14
     classes: int = 64
@@ -58,7 +58,6 @@ class Shape:
     batch: int = 4096
     rate: float = 0.35
     chunks: int = 64
-    fit_blocks: int = 16
 
 
 @dataclass
@@ -406,27 +405,60 @@ def _facts(block: Block, totals: dict[int, np.ndarray]):
                                      for k in (WORD, PAIR, HISTORY))
 
 
+CELL_NAMES = ["level", "pair", "share", "n", "pairs", "histories", "shares"]
 CELLS = "level int, pair int, share int, n long, pairs double, histories double, shares double"
+FACTS = ("ids array<long>, held array<boolean>, n_tokens array<long>, n_known array<long>, base array<double>, "
+         f"class_score array<double>, classes binary, counts binary, pairs binary, histories binary, cells array<struct<{CELLS}>>")
+_LEAST = 100  # shares are above 2^-100
+
+
+def _cells(pair, history, share) -> list[dict]:
+    """Training tokens without themselves, added up by their powers of two (a bounded table)."""
+    k, h = pair - 1, np.maximum(history, pair) - 1
+    powers = [np.frexp(x.astype(float))[1].astype(np.int64) for x in (h, k, share)]
+    code = (powers[0] * 64 + powers[1]) * 128 + powers[2] + _LEAST
+    n = np.bincount(code)
+    held = np.flatnonzero(n)
+    sums = [np.bincount(code, weights=x)[held].tolist() for x in (k, h, share)]
+    columns = [held // 128 // 64, held // 128 % 64, held % 128 - _LEAST, n[held]]
+    return [dict(zip(CELL_NAMES, row)) for row in zip(*(c.tolist() for c in columns), *sums)]
+
+
+def _known(model: Model):
+    """What is known of a block before the strengths: a row per slice with its texts' finished sums, the totals
+    of every token's keys, and the slice's training tokens as :func:`_cells`."""
+    shape = model.shape
+    kind = np.uint8 if shape.classes <= 256 else np.uint16
 
+    def known(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
+        block = _block_of(docs, shape, model.bits)
+        out = {c: [] for c in FACT_TYPES}
+        for ids, held, tok, cls, count, pair, history in _facts(block, _totals(answers)):
+            log_class = class_log_probabilities(model.weights, model.bias, features_of(tok, shape.rows), cls)
+            base = np.log10((count + 0.5) / (model.tokens + 0.5 * (model.types + 1)))
+            use = ~held[tok.doc] & (cls > 0) & (history > 1)
 
-def _evidence(model: Model):
-    """Training tokens of a block without themselves, added up by their powers of two (a bounded table)."""
+            def per_text(x, n=len(ids), doc=tok.doc):
+                return np.bincount(doc, weights=x, minlength=n)
 
-    def evidence(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
-        block = _block_of(docs, model.shape, model.bits)
-        parts = []
-        for _, held, tok, cls, count, pair, history in _facts(block, _totals(answers)):
-            use = ~held[tok.doc] & (cls > 0) & (history > 1)
-            c, k, h = count[use] - 1, pair[use] - 1, np.maximum(history[use], pair[use]) - 1
-            q = _share(c, cls[use], model)
-            parts.append(pd.DataFrame({
-                "level": np.frexp(h.astype(float))[1], "pair": np.frexp(k.astype(float))[1],
-                "share": np.frexp(q)[1], "n": 1, "pairs": k.astype(float), "histories": h.astype(float), "shares": q}))
-        cells = pd.concat(parts).groupby(["level", "pair", "share"], as_index=False).sum()
-        return pa.Table.from_pandas(cells.astype({"level": "int32", "pair": "int32", "share": "int32"}),
-                                    preserve_index=False)
+            row = {"ids": ids, "held": held.tolist(), "n_tokens": np.diff(tok.first).astype(np.int64),
+                   "n_known": per_text(count > 0).astype(np.int64), "base": per_text(base),
+                   "class_score": per_text(log_class / np.log(10)), "classes": cls.astype(kind).tobytes(),
+                   "counts": _packed(count), "pairs": _packed(pair), "histories": _packed(history),
+                   "cells": _cells(pair[use], history[use], _share(count[use] - 1, cls[use], model))}
+            for c in out:
+                out[c].append(row[c])
+        return pa.table({c: pa.array(v, FACT_TYPES[c]) for c, v in out.items()})
+
+    return known
 
-    return evidence
+
+FACT_TYPES = {
+    "ids": pa.list_(pa.int64()), "held": pa.list_(pa.bool_()), "n_tokens": pa.list_(pa.int64()), "n_known": pa.list_(pa.int64()),
+    "base": pa.list_(pa.float64()), "class_score": pa.list_(pa.float64()), "classes": pa.binary(), "counts": pa.binary(),
+    "pairs": pa.binary(), "histories": pa.binary(),
+    "cells": pa.list_(pa.struct([(c, pa.int32()) for c in CELL_NAMES[:3]] + [("n", pa.int64())] + [(c, pa.float64()) for c in CELL_NAMES[4:]])),
+}
 
 
 def learn_strength(cells: pd.DataFrame, steps: int = 300) -> np.ndarray:
@@ -447,34 +479,28 @@ def learn_strength(cells: pd.DataFrame, steps: int = 300) -> np.ndarray:
     return np.exp(log_m)
 
 
-def _score(model: Model):
-    shape = model.shape
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
-    def score(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
-        block = _block_of(docs, shape, model.bits)
-        out = {c: [] for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")}
-        for ids, held, tok, cls, count, pair, history in _facts(block, _totals(answers)):
-            log_class = class_log_probabilities(model.weights, model.bias, features_of(tok, shape.rows), cls)
-            inside = np.log10(inside_probability(pair, history, _share(count, cls, model), model.strength))
-            inside[cls == 0] = 0.0
-            base = np.log10((count + 0.5) / (model.tokens + 0.5 * (model.types + 1)))
 
-            def per_text(x, n=len(ids), doc=tok.doc):
-                return np.bincount(doc, weights=x, minlength=n)
+def _score(model: Model):
+    """The scores of the texts of each row of facts, once the strengths are known."""
+    kind = "u1" if model.shape.classes <= 256 else "<u2"
 
-            out["doc_id"] += ids
-            out["held_out"] += held.tolist()
-            out["n_tokens"].append(np.diff(tok.first))
-            out["n_known"].append(per_text(count > 0).astype(np.int64))
-            out["base_score"].append(per_text(base))
-            out["score"].append(per_text(log_class / np.log(10) + inside))
-        rows = len(out["doc_id"])
-        flat = {k: np.concatenate(v) if v else np.zeros(0) for k, v in out.items() if k not in ("doc_id", "held_out")}
-        return pa.table({
-            "doc_id": pa.array(out["doc_id"], pa.int64()), "held_out": pa.array(out["held_out"], pa.bool_()),
-            "n_tokens": pa.array(flat["n_tokens"].astype(np.int64)), "n_known": pa.array(flat["n_known"].astype(np.int64)),
-            "train_tokens": pa.array(np.full(rows, model.tokens, dtype=np.int64)),
-            "base_score": pa.array(flat["base_score"]), "score": pa.array(flat["score"])})
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                r = {c: batch.column(c)[at] for c in batch.schema.names}
+                sizes = r["n_tokens"].values.to_numpy()
+                total = int(sizes.sum())
+                cls = np.frombuffer(r["classes"].as_py(), kind).astype(np.int64)
+                count, pair, history = (_unpacked(r[c].as_py(), total).astype(np.int64) for c in ("counts", "pairs", "histories"))
+                inside = np.log10(inside_probability(pair, history, _share(count, cls, model), model.strength))
+                inside[cls == 0] = 0.0
+                inside = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=inside, minlength=len(sizes))
+                yield pa.RecordBatch.from_pydict({
+                    "doc_id": r["ids"].values, "held_out": r["held"].values, "n_tokens": r["n_tokens"].values,
+                    "n_known": r["n_known"].values, "train_tokens": pa.array(np.full(len(sizes), model.tokens, dtype=np.int64)),
+                    "base_score": r["base"].values, "score": pa.array(r["class_score"].values.to_numpy() + inside)})
 
     return score
 
@@ -504,12 +530,13 @@ def fit_and_score(docs: DataFrame, shape: Shape = Shape(), block_bytes: int = BL
                   int(tokens.sum()), int(types.sum()), tokens, types, bits, np.ones(STRENGTHS))
     train_weights(given, model)
     totals = answers.filter("block >= 0").select("block", "kind", "part", "n", "totals")
-    some = F.col("block") < shape.fit_blocks
-    cells = (dealt(given, count).filter(some).groupBy("block").cogroup(totals.filter(some).groupBy("block"))
-             .applyInArrow(_evidence(model), CELLS).groupBy("level", "pair", "share")
-             .agg(*(F.sum(c).alias(c) for c in ("n", "pairs", "histories", "shares"))).toPandas())
+    # the texts meet their totals once: what the scores need is written, and every training token is evidence
+    path = scratch_path(docs.sparkSession, "lm_facts")
+    known = blocks.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(_known(model), FACTS)
+    known.write.option("compression", "zstd").parquet(path)
+    facts = docs.sparkSession.read.parquet(path)
+    cells = (facts.select(F.inline("cells")).groupBy("level", "pair", "share")
+             .agg(*(F.sum(c).alias(c) for c in CELL_NAMES[3:])).toPandas())
     model.strength = learn_strength(cells)
-    scored = (blocks.groupBy("block").cogroup(totals.groupBy("block"))
-              .applyInArrow(_score(model), "doc_id long, held_out boolean, n_tokens long, n_known long, "
-                                           "train_tokens long, base_score double, score double"))
+    scored = facts.drop("cells").mapInArrow(_score(replace(model, weights=np.zeros((0, shape.classes), np.float32))), SCORED)
     return scored, model
