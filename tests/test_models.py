@@ -62,3 +62,10 @@ def test_pca_components_and_variance(spark):
     assert all(a >= b - 1e-12 for a, b in zip(ev, ev[1:])) and abs(sum(ev) - 1) < 1e-9
     frac = MD.pca_reduce(df, 0.5)
     assert len([c for c in frac.columns if c.startswith("C")]) >= 1
+
+
+def test_doc_topics_make_the_vectors_once(spark):
+    from topiclens.plans import queries as Q
+
+    plan = Q.doc_topics(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and "documents.parquet" not in plan and "text#" not in plan
