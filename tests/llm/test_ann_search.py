@@ -2,8 +2,10 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from topiclens.llm import ann_search
 from topiclens.llm.ann_search import _best_first, nearest
 
 
@@ -105,3 +107,25 @@ def test_vectors_of_two_lengths(spark):
     assert {r["query_id"] for r in got} == {i for i, _ in long + short if i % 20 == 0}
     check(ours, brute(list(rows.items())), 0.9)
     assert all((r["query_id"] >= 1000) == (r["vec_id"] >= 1000) for r in got)
+
+
+def test_probes_are_a_row_per_query_and_group():
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(30, 8))
+    family = ann_search.Family(float(np.linalg.norm(v, axis=1).max()), 0.5, [rng.normal(size=(9, 4)) for _ in range(2)],
+                               [rng.uniform(0, ann_search.WIDTH, size=4) for _ in range(2)])
+    batch = pa.RecordBatch.from_pydict({"rid": pa.array(range(30), pa.int64()), "v": pa.array(v.tolist())})
+    rows = pa.Table.from_batches(list(ann_search._hash_queries(family, 2, 3)([batch]))).to_pylist()
+    assert len(rows) <= 30 * 3 and len({(r["rid"], r["grp"]) for r in rows}) == len(rows)
+    for i in range(30):
+        want = {int(b) for t in range(2) for b in family.probes(family.project(v, t, True)[i], t)}
+        assert sorted(b for r in rows if r["rid"] == i for b in r["buckets"]) == sorted(want) and len(want) > 9
+
+
+def test_groups_in_parts_find_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in x_]) for i, x_ in enumerate(rng.normal(size=(400, 6)))]
+    whole = sorted(nearest(frame(spark, rows), F.col("id") % 20 == 0).collect())
+    monkeypatch.setattr(ann_search, "GROUP", 20)
+    monkeypatch.setattr(ann_search, "QUERY_CHUNK", 6)
+    assert sorted(nearest(frame(spark, rows), F.col("id") % 20 == 0).collect()) == whole

@@ -13,9 +13,10 @@ table; candidates of all tables are merged and ranked by the exact inner product
 the number of vectors, so buckets keep their size.  Every vector is indexed.
 
 Equal vectors are one entry with its smallest ids (more than ``k`` + 1 can never be returned), so a
-vector that a third of all rows share is one candidate.  A bucket of many different vectors
-is split into units of about ``UNIT`` vectors, and queries are dealt in chunks, so no task
-holds an unbounded group; a unit travels only to the chunks that probe it.
+vector that a third of all rows share is one candidate.  Buckets are dealt to groups of about
+``GROUP`` vectors; a group that holds more is split into parts, and queries are dealt in chunks, so no
+task holds an unbounded group; a bucket travels only to the chunks that probe it.  The buckets
+that a query probes stay an array per query and group: a pair of query and bucket is never a row.
 """
 
 from __future__ import annotations
@@ -39,7 +40,6 @@ WIDTH = 1.5
 SUCCESS = 0.74
 BUCKET = 64
 BRANCH = 3.3
-UNIT = 2048
 GROUP = 16384
 PROBE_QUERIES = 128  # queries that one task hashes and probes
 QUERY_CHUNK = 4096
@@ -156,45 +156,80 @@ def fit(entries: DataFrame, k: int, tables: int, n: int) -> Family:
                   [rng.uniform(0, WIDTH, size=m) for _ in range(tables)])
 
 
-def _hash_members(family: Family, tables: int):
+def _group_of(bucket: np.ndarray, groups: int) -> np.ndarray:
+    return (mix64(bucket.view(np.uint64)) % np.uint64(groups)).astype(np.int32)
+
+
+def _grouped(batch: pa.RecordBatch, bucket: np.ndarray, groups: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*batch.columns, pa.array(bucket), pa.array(_group_of(bucket, groups))],
+                                      [*batch.schema.names, "bucket", "grp"])
+
+
+def _hash_members(family: Family, tables: int, groups: int):
     def run(batches):
         for batch in batches:
             v = _matrix(batch.column("v"))
             for t in range(tables):
                 if len(v):
                     cells = np.floor((family.project(v, t, False) + family.offsets[t]) / WIDTH)
-                    yield pa.RecordBatch.from_arrays(
-                        [*batch.columns, pa.array(family.bucket(cells, t))], [*batch.schema.names, "bucket"])
+                    yield _grouped(batch, family.bucket(cells, t), groups)
 
     return run
 
 
-def _hash_queries(family: Family, tables: int):
+def _hash_queries(family: Family, tables: int, groups: int):
+    """Of each query and group the buckets to visit, in one row."""
+
     def run(batches):
         for batch in batches:
             v, rid = _matrix(batch.column("v")), batch.column("rid").to_numpy()
-            for t in range(tables):
-                for r, p in zip(rid, family.project(v, t, True) if len(v) else []):
-                    found = np.unique(family.probes(p, t))
-                    yield pa.RecordBatch.from_pydict({"rid": np.full(len(found), r), "bucket": found})
+            p = [family.project(v, t, True) if len(v) else [] for t in range(tables)]
+            for i, r in enumerate(rid):
+                found = np.unique(np.concatenate([family.probes(p[t][i], t) for t in range(tables)]))
+                group = _group_of(found, groups)
+                order = np.argsort(group, kind="stable")
+                own, first = np.unique(group[order], return_index=True)
+                ends = np.append(first, len(found)).astype(np.int32)
+                yield pa.RecordBatch.from_pydict({"rid": np.full(len(own), r), "grp": own, "buckets": pa.ListArray.from_arrays(
+                    pa.array(ends), pa.array(found[order]))})
 
     return run
 
 
+def _probed(key: tuple, held: pa.Table, queries: pa.Table) -> pa.Table:
+    """The queries of a chunk with those of their buckets that a group holds; and, with a null query, all of these."""
+    rids, buckets = [], []
+    if held.num_rows and queries.num_rows:
+        there = np.sort(held.column("buckets").combine_chunks().flatten().to_numpy())
+        met = np.zeros(len(there), dtype=bool)
+        for r, asked in zip(queries.column("rid").to_pylist(), queries.column("buckets")):
+            own = asked.values.to_numpy()
+            at = np.minimum(np.searchsorted(there, own), len(there) - 1)
+            own, at = own[there[at] == own], at[there[at] == own]
+            met[at] = True
+            if len(own):
+                rids.append(r)
+                buckets.append(own)
+        rids.append(None)
+        buckets.append(there[met])
+    return pa.table({"grp": pa.array([key[0].as_py()] * len(rids), pa.int32()), "chunk": pa.array([key[1].as_py()] * len(rids), pa.int32()),
+                     "rid": pa.array(rids, pa.int64()), "buckets": pa.array(buckets, pa.list_(pa.int64()))})
+
+
 def _rank(k: int):
     def rank(key: tuple, members: pa.Table, queries: pa.Table) -> pa.Table:
         out = {"rid": [], "id": [], "score": []}
         if members.num_rows and queries.num_rows:
             x, q = _matrix(members.column("v")), _matrix(queries.column("v"))
-            unit, at = np.unique(members.column("unit").to_numpy(), return_inverse=True)
+            bucket, at = np.unique(members.column("bucket").to_numpy(), return_inverse=True)
             ids = members.column("ids").to_pylist()
             least = np.array([i[0] for i in ids])
             copies = np.array([len(i) for i in ids])
-            units, rids = queries.column("units").to_pylist(), queries.column("rid").to_pylist()
+            probed, rids = queries.column("buckets"), queries.column("rid").to_pylist()
             for a in range(0, len(q), 64):  # bounded score blocks
                 scores = q[a:a + 64] @ x.T
                 for row, r in enumerate(range(a, min(a + 64, len(q)))):
-                    seen = np.isin(unit, units[r])[at]
+                    seen = np.isin(bucket, probed[r].values.to_numpy())[at]
                     own = np.flatnonzero(seen)
                     own = own[np.unique(least[own], return_index=True)[1]]  # a vector may come from two tables
                     s = scores[row][own]
@@ -256,33 +291,30 @@ def _nearest_alike(given: DataFrame, is_query: Column, k: int, tables: int) -> D
     n = entries.count()
     family = fit(entries, k, tables, n)
 
-    hashed = entries.mapInArrow(_hash_members(family, tables), "rid long, ids array<long>, v array<double>, bucket long")
-    sizes = hashed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    directory = materialize(sizes.select("bucket", F.ceil(F.col("n") / UNIT).cast("int").alias("salts")), "ann_buckets")
     groups = max(1, math.ceil(tables * n / GROUP))
+    hashed = entries.mapInArrow(_hash_members(family, tables, groups), "rid long, ids array<long>, v array<double>, bucket long, grp int")
+    held = hashed.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.collect_set("bucket").alias("buckets"))
+    directory = materialize(held.select("grp", F.ceil(F.col("n") / (2 * GROUP)).cast("int").alias("parts"), "buckets"), "ann_buckets")
+    parts = directory.select("grp", "parts")
     queries = asked.select("rid").distinct().count()
     chunks = max(1, math.ceil(queries / QUERY_CHUNK))
 
-    def unit(salt: Column) -> Column:
-        return F.xxhash64("bucket", salt)
-
-    group = F.pmod(F.col("unit"), F.lit(groups)).cast("int")
-    members = hashed.join(directory, "bucket").withColumn("unit", unit(F.pmod(F.xxhash64("rid"), F.col("salts")).cast("int")))
+    chunk = F.pmod(F.xxhash64("rid"), F.lit(chunks)).cast("int")
     heads = asked.select("rid").distinct().join(entries.select("rid", "v"), "rid")
-    heads = heads.withColumn("chunk", F.pmod(F.xxhash64("rid"), F.lit(chunks)).cast("int"))
     # small rows, dear tasks: their number follows the queries and not the bytes
     probers = max(1, math.ceil(queries / PROBE_QUERIES))
-    probes = heads.select("rid", "v").repartition(probers, "rid").mapInArrow(_hash_queries(family, tables), "rid long, bucket long")
-    wanted = probes.join(directory, "bucket").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    wanted = wanted.select("rid", unit(F.col("salt")).alias("unit")) \
-        .withColumn("chunk", F.pmod(F.xxhash64("rid"), F.lit(chunks)).cast("int"))
-    wanted = materialize(wanted.withColumn("grp", group).groupBy("grp", "chunk", "rid")
-                         .agg(F.collect_list("unit").alias("units")), "ann_probes")
-    needed = wanted.select("chunk", F.explode("units").alias("unit")).distinct()
-    sent = members.join(needed, "unit").withColumn("grp", group).select("grp", "chunk", "unit", "ids", "v")
-    asking = wanted.join(heads.select("rid", "v"), "rid").select(
-        *[F.col(c).alias(c) for c in ("grp", "chunk", "rid", "v", "units")])  # own columns: both sides come from wanted
-    found = sent.groupBy("grp", "chunk").cogroup(asking.groupBy("grp", "chunk")) \
+    probes = heads.repartition(probers, "rid").mapInArrow(_hash_queries(family, tables, groups), "rid long, grp int, buckets array<long>")
+    listed = directory.select("grp", "buckets", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
+    found = listed.groupBy("grp", "chunk").cogroup(probes.withColumn("chunk", chunk).groupBy("grp", "chunk")) \
+        .applyInArrow(_probed, "grp int, chunk int, rid long, buckets array<long>")
+    probed = materialize(found, "ann_probes")
+    needed = probed.filter("rid is null").select("chunk", F.explode("buckets").alias("bucket"))
+    sent = hashed.join(needed, "bucket").join(parts, "grp").select(
+        "grp", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int").alias("part"), "chunk", "bucket", "ids", "v")
+    asking = probed.filter("rid is not null").join(parts, "grp") \
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).join(heads.select("rid", "v"), "rid").select(
+        *[F.col(c).alias(c) for c in ("grp", "part", "chunk", "rid", "v", "buckets")])  # own columns: both sides come from probed
+    found = sent.groupBy("grp", "part", "chunk").cogroup(asking.groupBy("grp", "part", "chunk")) \
         .applyInArrow(_rank(k), "rid long, id long, score double")
 
     order = Window.partitionBy("rid").orderBy(F.desc("score"), "id")
