@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
+from topiclens.llm import source_mixing
 from topiclens.llm.source_mixing import mix_sources, mixed_documents, permuted, source_targets
 
 
@@ -122,3 +123,18 @@ def test_many_sources_are_ranked_in_more_than_one_task(spark):
     assert all(r["target"] <= 3 * r["source_size"] + 1e-9 for r in rows)
     free = {round(r["target"] / (5, 2, 1)[r["sid"] % 3], 6) for r in rows if r["target"] < 3 * r["source_size"] - 1e-6}
     assert len(free) <= 1  # all that are not stopped stand at one level
+
+
+def test_the_mix_writes_no_texts(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "a b c d " * (i % 5 + 1), "s" if i % 3 else None, i) for i in range(60)] + [(7, "a b", "s", 1)] * 2,
+                                 "doc_id long, text string, source string, extra long")
+    written, write = [], source_mixing.materialize
+
+    def spied(df, name="table"):
+        written.append((name, set(df.columns)))
+        return write(df, name)
+
+    monkeypatch.setattr(source_mixing, "materialize", spied)
+    mixed = source_mixing.mixed_documents(docs).collect()
+    assert mixed and {"mix_sizes", "mix_placed"} <= {n for n, _ in written}
+    assert not any({"row", "text"} & columns for _, columns in written)

@@ -20,6 +20,7 @@ partitions, so neither the number of sources nor the size of one decides what a
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -104,21 +105,31 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, cap: float = CAP)
     return summed.select("source", "source_size", "sid", "base", filled.alias("target"))
 
 
-def _placed(docs: DataFrame, targets: DataFrame, rows: int) -> DataFrame:
-    """Rows with ``sid, source_size, target`` and ``pos``, the words of their source before them."""
+def _chunked(docs: DataFrame, targets: DataFrame, chunks: int) -> DataFrame:
+    """Rows with the columns of their source and the chunk they are placed in."""
     few = targets.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
     table = targets.withColumnRenamed("source", "_source")
     joined = docs.join(F.broadcast(table) if few else table, docs["source"].eqNullSafe(F.col("_source"))) \
         .drop("_source")
-    chunks = max(1, math.ceil(rows / CHUNK_ROWS))
-    chunked = joined.withColumn("_chunk", F.pmod(F.xxhash64("doc_id", "tie"), F.lit(chunks)).cast("int"))
-    sums = chunked.groupBy("sid", "_chunk").agg(F.sum("size").alias("_sum"))
+    return joined.withColumn("_chunk", F.pmod(F.xxhash64("doc_id", "tie"), F.lit(chunks)).cast("int"))
+
+
+def _chunk_starts(sized: DataFrame, targets: DataFrame, chunks: int) -> DataFrame:
+    """``_sid, _of, _start``: the words before each chunk of a source."""
+    sums = _chunked(sized, targets, chunks).groupBy("sid", "_chunk").agg(F.sum("size").alias("_sum"))
     upto = _running(sums, ["sid", "_chunk"], {"_upto": "_sum"}, "mix_chunks")
-    starts = upto.select(F.col("sid").alias("_sid"), F.col("_chunk").alias("_of"),
-                         (F.col("_upto") - F.col("_sum")).alias("_start"))
+    return upto.select(F.col("sid").alias("_sid"), F.col("_chunk").alias("_of"),
+                       (F.col("_upto") - F.col("_sum")).alias("_start"))
+
+
+def _placed(docs: DataFrame, targets: DataFrame, starts: DataFrame, chunks: int) -> DataFrame:
+    """Rows with ``sid, source_size, target`` and ``pos``, the words of their source before them.
+
+    Rows that the order leaves equal have one id, text and source, so their places may be
+    exchanged: two readings give the same places to the same texts."""
     inside = Window.partitionBy("sid", "_chunk").orderBy("doc_id", "tie", "size") \
         .rowsBetween(Window.unboundedPreceding, -1)
-    own = chunked.withColumn("_own", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    own = _chunked(docs, targets, chunks).withColumn("_own", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     return own.join(starts, (own["sid"] == starts["_sid"]) & (own["_chunk"] == starts["_of"])) \
         .withColumn("pos", (F.col("_start") - F.col("base") + F.col("_own")).cast("long")) \
         .drop("_sid", "_of", "_start", "_own", "_chunk", "base")
@@ -173,12 +184,15 @@ def _sized(docs: DataFrame, extra: list[Column]) -> DataFrame:
                        F.xxhash64("text").alias("tie"), F.size(words_in(F.col("text"))).cast("long").alias("size"))
 
 
-def _plan(sized: DataFrame, weights: tuple, cap: int, block_words: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _plan(sized: DataFrame, weights: tuple, cap: int, block_words: int) -> tuple[Callable[[DataFrame], DataFrame], DataFrame]:
+    """What gives rows of ``_sized`` their places, and the slots."""
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     totals = materialize(totals, "mix_sources")
     rows, words = (x or 0 for x in totals.agg(F.sum("rows"), F.sum("source_size")).first())
     targets = materialize(source_targets(totals.drop("rows"), weights, cap), "mix_targets")
-    return targets, _placed(sized, targets, rows), draws(targets, words, block_words, cap)
+    chunks = max(1, math.ceil(rows / CHUNK_ROWS))
+    starts = _chunk_starts(sized, targets, chunks)
+    return lambda docs: _placed(docs, targets, starts, chunks), draws(targets, words, block_words, cap)
 
 
 def mix_sources(docs: DataFrame, weights: tuple = WEIGHTS, cap: int = CAP,
@@ -192,8 +206,8 @@ def mix_sources(docs: DataFrame, weights: tuple = WEIGHTS, cap: int = CAP,
     ``doc_id``, ``text`` and ``source`` are read.
     """
     sized = materialize(_sized(docs.select("doc_id", "text", "source"), []), "mix_sizes")
-    _, placed, slots = _plan(sized, weights, cap, block_words)
-    placed = materialize(placed, "mix_placed")
+    place, slots = _plan(sized, weights, cap, block_words)
+    placed = materialize(place(sized), "mix_placed")
     uses = slots.groupBy("sid", "block").agg(F.count(F.lit(1)).alias("uses"))
     taken = _parts(placed, block_words).join(uses, ["sid", "block"]).groupBy("sid", "pos") \
         .agg(F.sum(F.col("uses") * (F.col("high") - F.col("low"))).alias("taken"))
@@ -216,13 +230,13 @@ def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, cap: int = CAP,
     given = docs.toDF(*[f"c{i}" for i in range(len(names))])
     at = {n: f"c{i}" for i, n in enumerate(names)}
     packed = given.select(*[F.col(at[c]).alias(c) for c in ("doc_id", "text", "source")], F.struct("*").alias("row"))
-    sized = _sized(packed, [F.col("row")])  # not written: texts are written once, with their places
-    _, placed, slots = _plan(sized, weights, cap, block_words)
-    placed = materialize(placed, "mix_placed")
-    runs = _parts(placed, block_words).join(slots, ["sid", "block"]).groupBy("sid", "pos", "pass").agg(
+    # only sizes are written; the texts get the same places when they meet their runs
+    sized = materialize(_sized(packed, []), "mix_sizes")
+    place, slots = _plan(sized, weights, cap, block_words)
+    runs = _parts(materialize(place(sized).select("sid", "pos", "size"), "mix_placed"), block_words).join(slots, ["sid", "block"]).groupBy("sid", "pos", "pass").agg(
         F.sum(F.col("high") - F.col("low")).alias("words"),
         F.sort_array(F.collect_list(F.struct("low", "high"))).alias("runs"))
-    mixed = placed.filter("size > 0").join(runs, ["sid", "pos"])
+    mixed = place(_sized(packed, [F.col("row")])).filter("size > 0").join(runs, ["sid", "pos"])
     text = F.col(f"row.{at['text']}")
     # the words are an element of an array of one: a lambda evaluates a column that it names anew for each run
     whole = F.array(F.struct(words_in(text).alias("all"), F.col("runs").alias("runs")))
