@@ -7,6 +7,7 @@ import pandas as pd
 import pyarrow as pa
 import pytest
 
+from topiclens.llm import maxent_lm
 from topiclens.llm.maxent_lm import (STRENGTHS, Shape, _run_sums, class_log_probabilities, classes_of, features_of, fit_and_score,
                                      inside_probability, learn_strength, previous_of, strength_of, tokens_of)
 
@@ -172,3 +173,17 @@ def test_strengths_are_learned_from_every_block(spark, monkeypatch):
     for block_bytes in (1 << 20, 200):  # one block, and more than 16
         fit_and_score(docs, SMALL, block_bytes)
     assert learned[0] == learned[1] > 0
+
+
+def test_steps_and_counts_are_sent_in_few_bytes():
+    rng = np.random.default_rng(3)
+    steps = np.diff(np.sort(rng.integers(0, 1 << 44, 50_000, dtype=np.uint64)))  # the largest needs four bytes
+    assert steps.max() >= 1 << 24
+    counts = np.minimum(rng.geometric(0.7, 50_000), 1 << 17)
+    counts[7] = 70_000
+    for x, bits in ((steps, 31), (counts, 4)):
+        sent = maxent_lm._packed(x)
+        assert (maxent_lm._unpacked(sent, len(x)) == x).all() and 8 * len(sent) < bits * len(x)
+    for x in ([], [0], [255, 256], [(1 << 64) - 1, 5], [1 << 40] * 3):
+        x = np.array(x, dtype=np.uint64)
+        assert maxent_lm._unpacked(maxent_lm._packed(x), len(x)).tolist() == x.tolist()

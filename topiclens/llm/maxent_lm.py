@@ -252,14 +252,21 @@ def train_weights(docs: DataFrame, model: Model) -> None:
 
 
 def _packed(x: np.ndarray) -> bytes:
-    """Whole numbers in the narrowest unsigned type that holds them."""
+    """Whole numbers as planes of their bytes, compressed: the high bytes of steps and counts are alike."""
     most = int(x.max()) if len(x) else 0
-    width = next(w for w in (1, 2, 4, 8) if most < 1 << 8 * w)
-    return x.astype(f"<u{width}").tobytes()
+    width = max(1, -(-most.bit_length() // 8))
+    planes = x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    return bytes([width]) + pa.compress(planes, codec="zstd", asbytes=True)
 
 
 def _unpacked(b: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(b, f"<u{len(b) // n}") if n else np.zeros(0, np.uint64)
+    if not n:
+        return np.zeros(0, np.uint64)
+    width = b[0]
+    planes = pa.decompress(b[1:], decompressed_size=n * width, codec="zstd", asbytes=True)
+    out = np.zeros((n, next(w for w in (1, 2, 4, 8) if w >= width)), dtype=np.uint8)
+    out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, n).T
+    return out.view(f"<u{out.shape[1]}").ravel()
 
 
 def _distinct(x: np.ndarray) -> np.ndarray:
