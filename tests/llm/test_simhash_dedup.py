@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from topiclens.llm.components import connected_components
 from topiclens.llm.simhash_dedup import keep_first, links, simhash_dedup
+from topiclens.session import ensure_checkpoint_dir
 
 
 def union_find(nodes, pairs):
@@ -119,3 +121,12 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert simhash_dedup(df).collect() == [] and keep_first(df).collect() == []
     assert simhash_dedup(df.select("doc_id", F.col("text"))).columns[0] == "doc_id"
+
+
+def test_steps_that_nothing_reads_again_are_removed(spark):
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:") + "/tables"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    out = keep_first(spark.createDataFrame([(d, t) for d, t in corpus()], "doc_id long, text string"))
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before}
+    assert left == {"simhash_rows", "components"}
+    assert out.count() > 0

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ..session import materialize
+from ..session import discard, materialize
 from .arrow_text import slices, texts_of
 from .blocks import lookup
 from .components import connected_components
@@ -164,6 +164,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, families: int = FAMILIES,
     keyed = keyed.select("key.k", "key.rings", "fp", "pivots")
     sizes = keyed.groupBy("k", "rings").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = materialize(keyed.join(sizes, ["k", "rings"]), "pivots")
+    discard(table)
     small = shared.filter(F.col("n") <= group_limit).drop("n")
     left = small.select("k", "rings", F.col("fp").alias("a"), F.col("pivots").alias("pa"))
     right = small.select("k", "rings", F.col("fp").alias("b"), F.col("pivots").alias("pb"))
@@ -201,7 +202,9 @@ def simhash_dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_B
 def _labels(prints: DataFrame, max_bits: int) -> DataFrame:
     """``fp, n, component_id, head``: n rows have the fingerprint; head marks the component's leading one."""
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
-    found = connected_components(links(nodes.select("fp"), max_bits))
+    near = links(nodes.select("fp"), max_bits)
+    found = connected_components(near)
+    discard(near)
     labelled = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left") \
         .withColumn("component", F.coalesce("component", "fp"))
     lead = F.struct(F.col("least").isNull().alias("none"), F.col("least").alias("id"), F.col("fp").alias("fp"))
