@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import kmeans as KM
+from ..operators import lda as LD
 from ..operators import pca as PC
 from ..operators import topics as TP
 from ..operators.nearest import nearest_centroid
@@ -43,8 +44,15 @@ def vocabulary_terms(vocab_ids: DataFrame) -> list[str]:
 def count_vectors(tokens: DataFrame, terms: list[str], tokens_col: str = "tokens",
                   out_col: str = "counts") -> DataFrame:
     """A3 as sparse vectors: ``CountVectorizerModel`` built from a fixed vocabulary."""
-    cv = CountVectorizerModel.from_vocabulary(terms, inputCol=tokens_col, outputCol=out_col)
-    return cv.transform(tokens)
+    sc = tokens.sparkSession.sparkContext
+    mark = next((m for m in map(chr, range(32)) if not any(m in t for t in terms)), None)
+    if not terms or mark is None or not all(terms):
+        cv = CountVectorizerModel.from_vocabulary(terms, inputCol=tokens_col, outputCol=out_col)
+        return cv.transform(tokens)
+    # one text that the JVM takes apart: ``from_vocabulary`` makes a call for every term
+    listed = sc._jvm.org.apache.commons.lang3.StringUtils.split(mark.join(terms), mark)
+    cv = CountVectorizerModel._create_from_java_class("org.apache.spark.ml.feature.CountVectorizerModel", listed)
+    return cv.setInputCol(tokens_col).setOutputCol(out_col)._set(vocabSize=len(terms)).transform(tokens)
 
 
 def tfidf_vectors(counts: DataFrame, idf: list[float], in_col: str = "counts",
@@ -94,7 +102,9 @@ def describe_topics(model, terms: list[str], n: int = 40) -> DataFrame:
     d = model.describeTopics(n)
     e = d.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("pos", "tw"))
     spark = d.sparkSession
-    vocab = spark.createDataFrame(list(enumerate(terms)), "term_id int, term string")
+    # the described terms only: k x n of the vocabulary's
+    told = sorted({i for r in d.select("termIndices").collect() for i in r[0]})
+    vocab = spark.createDataFrame([(i, terms[i]) for i in told], "term_id int, term string")
     return (e.select("topic", (F.col("pos") + 1).alias("rank"), F.col("tw.termIndices").alias("term_id"),
                      F.col("tw.termWeights").alias("weight"))
             .join(F.broadcast(vocab), "term_id").select("topic", "rank", "term", "weight"))
@@ -112,13 +122,18 @@ def topic_report(model, terms: list[str], doc_terms: DataFrame, n_docs: int, n:
     return TP.topic_report(describe_topics(model, terms, max(n, coherence_terms)), doc_terms, n_docs, n, coherence_terms)
 
 
+def lda_fits(vectors: DataFrame, ks: list[int], n_terms: int, seed: int = 16, max_iter: int = 50, features: str = "features"):
+    """M8 for every k of ``ks``: the models of :func:`lda_fit` (online, whole corpus), an iteration of all in one pass."""
+    data = checkpointed(vectors.select(F.monotonically_increasing_id().alias("row"), F.col(features).alias("features")))
+    return LD.fit_online(data, ks, n_terms, seed, max_iter)
+
+
 def coherence_sweep(vectors: DataFrame, terms: list[str], doc_terms: DataFrame, n_docs: int,
                     ks: list[int], seed: int = 16, max_iter: int = 30, top_n: int = 20) -> DataFrame:
     """``(num_topics, coherence)`` for each k (mean u_mass over topics, rounded to 2)."""
-    data = checkpointed(vectors.select("features"))
     tops = None
-    for k in ks:
-        top = describe_topics(lda_fit(data, k, seed=seed, max_iter=max_iter, checkpoint=False), terms, top_n)
+    for k, model in zip(ks, lda_fits(vectors, ks, len(terms), seed, max_iter)):
+        top = describe_topics(model, terms, top_n)
         named = top.select(F.lit(int(k)).alias("model"), "topic", "term", "rank")
         tops = named if tops is None else tops.unionByName(named)
     # k x top_n rows for every model: small, written once; the corpus is read once for all of them
