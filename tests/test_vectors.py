@@ -76,3 +76,19 @@ def test_explode_and_collect_tokens_roundtrip(spark):
     back = VO.collect_tokens(VO.explode_tokens(toks))
     got = {r.doc_id: r.tokens for r in back.collect()}
     assert got[1] == ["pizza", "cold", "pizza", "the"]
+
+
+def test_term_counts_need_no_sort_of_strings(spark):
+    from collections import Counter
+
+    docs = [(1, "x", ["b", "a", "b", "é", ""]), (None, "y", ["a"]), (1, "x", ["b"]), (2, None, []), (3, "z", None), (4, "z", ["zz"] * 300)]
+    toks = spark.createDataFrame(docs, "doc_id long, lang string, tokens array<string>")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        out = VO.term_counts(toks, keep=["lang"])
+        assert "sort_array" not in out._jdf.queryExecution().optimizedPlan().toString()
+        got = Counter(tuple(r) for r in out.collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert out.columns == ["doc_id", "lang", "term", "tf"] and out.schema["tf"].dataType.simpleString() == "bigint"
+    assert got == Counter((d, lang, t, n) for d, lang, words in docs for t, n in Counter(words or []).items())
